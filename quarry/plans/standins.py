@@ -55,11 +55,11 @@ TRIPS_SQL = """(SELECT event_id AS Trip_ID,
 
 # --------------------------------------------------------------------- blog export
 # events -> blog posts: title from type and id, a JSON text column `dates`
-# with createdOn (the event time) and publishedOn (floor(value) days later).
+# with createdOn (the event time) and publishedOn (floor(value) weeks later).
 
 def blog(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    published = F.timestamp_add("DAY", F.floor("value").cast("int"), F.col("ts"))
+    published = F.timestamp_add("DAY", F.floor("value").cast("int") * 7, F.col("ts"))
     dates = F.to_json(F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("createdOn"),
         F.date_format(published, "yyyy-MM-dd'T'HH:mm:ss").alias("publishedOn"),
@@ -74,7 +74,7 @@ def blog(spark: SparkSession, sf_dir: str) -> DataFrame:
 BLOG_SQL = """(SELECT event_id AS post_id,
         event_type || ' #' || CAST(event_id AS VARCHAR) AS title,
         strftime(ts, '%Y-%m-%dT%H:%M:%S') AS createdOn,
-        strftime(ts + to_days(CAST(floor(value) AS INTEGER)), '%Y-%m-%dT%H:%M:%S') AS publishedOn
+        strftime(ts + to_days(CAST(floor(value) AS INTEGER) * 7), '%Y-%m-%dT%H:%M:%S') AS publishedOn
    FROM events)"""
 
 
@@ -93,4 +93,4 @@ def part_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PART_WORDS_SQL = "string_split(p_name, ' ')"
-PART_CATEGORIES_SQL = "list_filter(string_split(p_name, ' '), w -> length(w) > 4)"
+PART_CATEGORIES_SQL = "list_filter(string_split(p_name, ' '), lambda w: length(w) > 4)"

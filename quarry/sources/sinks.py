@@ -16,6 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Text formats keep full microsecond precision (Spark's default text layout
+# for timestamps stops at milliseconds and would silently drop the rest).
+TEXT_TIMESTAMP_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _prepare(df: DataFrame, single_file: bool) -> DataFrame:
     return df.coalesce(1) if single_file else df
 
@@ -43,7 +51,7 @@ def write_parquet(df: DataFrame, path: str, *, compression: str = "snappy",
 def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",",
               mode: str = "overwrite", single_file: bool = False) -> str:
     return write_path(df, path, "csv", mode=mode, single_file=single_file,
-                      header=header, sep=sep)
+                      header=header, sep=sep, **TEXT_TIMESTAMP_OPTIONS)
 
 
 def _json_array_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,10 +84,12 @@ def write_json(df: DataFrame, path: str, *, layout: str = "lines", mode: str = "
     record; readers then get one task per file.
     """
     if layout == "lines":
-        return write_path(df, path, "json", mode=mode, single_file=single_file)
+        return write_path(df, path, "json", mode=mode, single_file=single_file,
+                          **TEXT_TIMESTAMP_OPTIONS)
     if layout != "array":
         raise ValueError("layout must be 'lines' or 'array'")
-    records = _prepare(df, single_file).select(F.to_json(F.struct(*df.columns)).alias("j"))
+    records = _prepare(df, single_file).select(
+        F.to_json(F.struct(*df.columns), TEXT_TIMESTAMP_OPTIONS).alias("j"))
     text = records.mapInPandas(_json_array_per_partition, "value string")
     text.write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     return path
