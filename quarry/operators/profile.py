@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -57,24 +57,154 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int
     return one.selectExpr(expr)
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
+                    buckets: int = 1024, final_rows: int = 4096, max_rounds: int = 12) -> DataFrame:
+    """Exact linear-interpolation quantiles (SQL ``quantile_cont``) by a
+    distributed radix select. Returns (column_name, p_index, value).
+
+    Spark's exact ``percentile`` keeps a map of every distinct value and
+    merges it in one task, which does not hold for high-cardinality columns
+    at scale. Here every pass is one scan with a small aggregate:
+
+    * pass 0: count, min and max of every column;
+    * each round: the values inside each open range are counted in
+      ``buckets`` equal-width buckets, with the min and max per bucket (at
+      most ranges x buckets result rows); for every target rank the driver
+      keeps the bucket holding it, adds the counts of the buckets before
+      it, and narrows the range to the values of that bucket. Later rounds
+      test membership with the same bucket expressions, so no value can
+      fall between ranges. Targets sharing a range share its scan entry;
+    * a range whose min equals its max is all ties: the value is known;
+    * last pass: ranges with at most ``final_rows`` rows (or still open
+      after ``max_rounds``) are counted per distinct value and the exact
+      rank is read off.
+
+    A value held by a third of all rows is one (value, count) pair, so hot
+    values cost nothing extra. Memory per task and on the driver is bounded
+    by ranges x max(buckets, final_rows) whatever the row count.
+    """
+    spark = df.sparkSession
+    xs = [F.col(f"`{c}`").cast("double") for c in cols]
+    head = df.agg(*[agg for i, x in enumerate(xs) for agg in (
+        F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
+
+    # target (column index, rank) -> state; a range is (column index, chain)
+    targets: dict[tuple[int, int], dict] = {}
+    wanted = []  # (column index, p index, rank lo, rank hi, frac)
+    for i in range(len(cols)):
+        n = int(head[f"n{i}"])
+        if n == 0:
+            continue
+        for j, p in enumerate(probs):
+            h = (n - 1) * float(p)
+            r_lo = int(h // 1)
+            r_hi = min(r_lo + 1, n - 1) if h > r_lo else r_lo
+            wanted.append((i, j, r_lo, r_hi, h - r_lo))
+            for r in (r_lo, r_hi):
+                targets.setdefault((i, r), {"chain": (), "lo": float(head[f"lo{i}"]),
+                                            "hi": float(head[f"hi{i}"]), "below": 0, "count": n})
+
+    def in_range(i: int, chain) -> Column:
+        cond = xs[i].isNotNull()
+        for lo, width, b in chain:
+            cond = cond & (_bucket(xs[i], lo, width, buckets) == b)
+        return cond
+
+    def ranges_of(ts):
+        """Distinct ranges of the given targets -> (range id, its state)."""
+        out = {}
+        for t in ts:
+            st = targets[t]
+            out.setdefault((t[0], st["chain"]), st)
+        return {key: (k, st) for k, (key, st) in enumerate(out.items())}
+
+    def scan(ranges, value_of) -> list:
+        entries = F.array(*[F.when(in_range(i, chain), F.struct(F.lit(k).alias("t"), *value_of(i, st)))
+                            for (i, chain), (k, st) in ranges.items()])
+        return df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+
+    for _ in range(max_rounds):
+        open_t = [t for t, st in targets.items() if st["count"] > final_rows and st["hi"] > st["lo"]]
+        if not open_t:
+            break
+        ranges = ranges_of(open_t)
+        rows = (scan(ranges, lambda i, st: [
+                    _bucket(xs[i], st["lo"], _width(st, buckets), buckets).alias("b"), xs[i].alias("x")])
+                .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"),
+                                       F.max("x").alias("mx"))
+                .collect())
+        counts: dict[int, list] = {}
+        for r in rows:
+            counts.setdefault(r["t"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
+        for t in open_t:
+            st = targets[t]
+            k, _ = ranges[(t[0], st["chain"])]
+            width, seen = _width(st, buckets), st["below"]
+            for b, c, mn, mx in sorted(counts.get(k, [])):
+                if seen + c > t[1]:
+                    # narrow to the bucket, and to the values actually in it
+                    targets[t] = {"chain": st["chain"] + ((st["lo"], width, b),), "below": seen,
+                                  "count": c, "lo": float(mn), "hi": float(mx)}
+                    break
+                seen += c
+
+    # a range whose min equals its max holds ties only: the value is known
+    value_at = {t: st["lo"] for t, st in targets.items() if st["hi"] <= st["lo"]}
+    rest = [t for t in targets if t not in value_at]
+    if rest:
+        ranges = ranges_of(rest)
+        rows = (scan(ranges, lambda i, st: [xs[i].alias("v")])
+                .groupBy("t", "v").agg(F.count(F.lit(1)).alias("c")).collect())
+        hist: dict[int, list] = {}
+        for r in rows:
+            hist.setdefault(r["t"], []).append((r["v"], r["c"]))
+        for t in rest:
+            st = targets[t]
+            k, _ = ranges[(t[0], st["chain"])]
+            seen = st["below"]
+            for v, c in sorted(hist.get(k, [])):
+                if seen + c > t[1]:
+                    value_at[t] = v
+                    break
+                seen += c
+    out = [(cols[i], j, value_at[(i, r_lo)] + frac * (value_at[(i, r_hi)] - value_at[(i, r_lo)]))
+           for i, j, r_lo, r_hi, frac in wanted]
+    return spark.createDataFrame(out, "column_name string, p_index int, value double")
+
+
+def _width(st: dict, buckets: int) -> float:
+    return (st["hi"] - st["lo"]) / buckets
+
+
+def _bucket(x: Column, lo: float, width: float, buckets: int) -> Column:
+    """Bucket index 0..buckets-1 of x in [lo, lo + buckets * width]."""
+    if width <= 0:
+        return F.lit(0).cast("long")
+    b = F.floor((x - F.lit(lo)) / F.lit(width))
+    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1)).cast("long")
+
+
 def column_quartiles(df: DataFrame, cols: Sequence[str], *, exact: bool = True,
                      accuracy: int = 10_000, digits: int = 6) -> DataFrame:
-    """25th, 50th and 75th percentile of numeric columns, one scan.
-
-    ``exact=True`` uses ``percentile`` (linear interpolation, equal to SQL
-    ``quantile_cont``); its state is a map of distinct value to count, so
-    memory grows with the number of distinct values per column.
-    ``exact=False`` uses ``percentile_approx`` (bounded-memory sketch,
-    ``accuracy`` controls the rank error 1/accuracy) for high-cardinality
-    columns at scale.
+    """25th, 50th and 75th percentile of numeric columns, long form.
+
+    ``exact=True``: linear interpolation between closest ranks (equal to
+    SQL ``quantile_cont`` and Spark's ``percentile``) by ``exact_quantiles``
+    with bounded memory. ``exact=False``: ``percentile_approx`` only (one
+    scan, rank error 1/accuracy; what ``DataFrame.summary()`` reports).
     """
     probs = [0.25, 0.5, 0.75]
+    if exact:
+        q = exact_quantiles(df, cols, probs)
+        return (q.groupBy("column_name").agg(*[
+            fixed_round(F.max(F.when(F.col("p_index") == j, F.col("value"))), digits).alias(name)
+            for j, name in enumerate(["q1", "median", "q3"])]))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
         for j, p in enumerate(probs):
-            q = F.percentile(x, F.lit(p)) if exact else F.percentile_approx(x, F.lit(p), F.lit(accuracy))
-            aggs.append(fixed_round(q, digits).alias(f"_{i}_{j}"))
+            aggs.append(fixed_round(F.percentile_approx(x, F.lit(p), F.lit(accuracy)), digits)
+                        .alias(f"_{i}_{j}"))
     one = df.agg(*aggs)
     parts = [", ".join([f"'{c}'"] + [f"`_{i}_{j}`" for j in range(3)]) for i, c in enumerate(cols)]
     return one.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) as (column_name, q1, median, q3)")
