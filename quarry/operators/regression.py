@@ -118,6 +118,7 @@ class LineFit:
     intercept: float
     r2: float
     n: int
+    rmse: float
 
     def predict(self, x: str | Column) -> Column:
         xc = F.col(x) if isinstance(x, str) else x
@@ -125,17 +126,25 @@ class LineFit:
 
 
 def line_fit_frame(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Least-squares line of ``y`` on ``x`` as a one-row frame (one pass)."""
-    return df.agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
-                  F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
-                  F.regr_r2(F.col(y), F.col(x)).alias("r2"),
-                  F.regr_count(F.col(y), F.col(x)).alias("n"))
+    """Least-squares line of ``y`` on ``x`` as a one-row frame (one pass).
+
+    The training RMSE comes from the same pass: for the least-squares
+    line the residual sum of squares is Syy - Sxy^2 / Sxx (centred sums).
+    """
+    yc, xc = F.col(y), F.col(x)
+    sse = F.regr_syy(yc, xc) - F.regr_sxy(yc, xc) * F.regr_sxy(yc, xc) / F.regr_sxx(yc, xc)
+    return df.agg(F.regr_slope(yc, xc).alias("slope"),
+                  F.regr_intercept(yc, xc).alias("intercept"),
+                  F.regr_r2(yc, xc).alias("r2"),
+                  F.regr_count(yc, xc).alias("n"),
+                  F.sqrt(F.greatest(sse, F.lit(0.0)) / F.regr_count(yc, xc)).alias("rmse"))
 
 
 def fit_line(df: DataFrame, x: str, y: str) -> LineFit:
     """Fit and bring the four numbers of the model to the driver."""
     row = line_fit_frame(df, x, y).first()
-    return LineFit(float(row["slope"]), float(row["intercept"]), float(row["r2"]), int(row["n"]))
+    return LineFit(float(row["slope"]), float(row["intercept"]), float(row["r2"]), int(row["n"]),
+                   float(row["rmse"]))
 
 
 def fit_linear(df: DataFrame, features_col: str, label: str, *, max_iter: int = 100,
