@@ -209,10 +209,9 @@ def rmse_band(c: str | Column = "Within_RMSE") -> Column:
 
 
 def residual_bands(residuals: DataFrame, col: str = "Within_RMSE") -> DataFrame:
-    """Rows per RMSE band, with the share of all rows."""
-    counts = residuals.groupBy(rmse_band(col).alias("RMSE_Multiple")).agg(
+    """Rows per RMSE band (1, 2 or 3)."""
+    return residuals.groupBy(rmse_band(col).alias("RMSE_Multiple")).agg(
         F.count(F.lit(1)).alias("count"))
-    return counts
 
 
 def residual_histogram(residuals: DataFrame, col: str = "Within_RMSE",

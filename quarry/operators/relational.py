@@ -105,19 +105,6 @@ def pre_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) ->
 
 # --------------------------------------------------------------------------- aggregates
 
-def count_by(df: DataFrame, keys: Sequence[str | Column], name: str = "count",
-             order: bool = True) -> DataFrame:
-    """Rows per group (partial aggregation before the shuffle)."""
-    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    if order:
-        out = out.orderBy(*[k if isinstance(k, Column) else F.col(k) for k in _names(keys)])
-    return out
-
-
-def _names(keys):
-    return [k if isinstance(k, str) else k for k in keys]
-
-
 def count_rows(df: DataFrame, name: str = "row_count") -> DataFrame:
     """The row count as a one-row frame (an operator, not a driver action)."""
     return df.agg(F.count(F.lit(1)).alias(name))

@@ -26,8 +26,14 @@ SCALE_CONF = {
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
-                  app_name: str = "quarry") -> SparkSession:
-    """A local session for tests and the benchmark (UI off, UTC)."""
+                  app_name: str = "quarry", warehouse_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the benchmark (UI off, UTC).
+
+    Managed tables go to a fresh warehouse folder per process unless one is
+    given: the in-memory catalog forgets tables between sessions while their
+    folders would stay, and a rerun would collide with them.
+    """
+    warehouse_dir = warehouse_dir or tempfile.mkdtemp(prefix="quarry-warehouse-")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -36,6 +42,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", warehouse_dir)
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
