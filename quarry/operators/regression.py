@@ -24,11 +24,11 @@ from dataclasses import dataclass
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from quarry.operators.relational import broadcast_if_small
+from quarry.operators.relational import broadcast_if_small, with_global_position
 
 # --------------------------------------------------------------------------- indexing
 
@@ -38,16 +38,22 @@ def fit_index(df: DataFrame, column: str, order: str = "frequencyDesc") -> DataF
     ``frequencyDesc``: most frequent value gets 0, ties alphabetical (the
     order of ``pyspark.ml.feature.StringIndexer``). ``alphabetAsc``:
     index = rank of the value in sort order (a local ``LabelEncoder``).
-    The ranking window runs over the distinct values only.
+
+    The distinct values are ranked by ``with_global_position`` (range
+    partitioned sort plus per-partition offsets), so even a column with
+    billions of distinct values is ranked without a one-task window; the
+    ranked table is checkpointed, so its size check and the join that
+    applies it do not rescan the source.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     if order == "frequencyDesc":
-        w = Window.orderBy(F.col("_n").desc(), F.col(column).asc())
+        keys = [F.col("_n").desc(), F.col(column).asc()]
     elif order == "alphabetAsc":
-        w = Window.orderBy(F.col(column).asc())
+        keys = [F.col(column).asc()]
     else:
         raise ValueError("order must be 'frequencyDesc' or 'alphabetAsc'")
-    return values.select(column, (F.row_number().over(w) - 1).cast("double").alias("_index"))
+    ranked = with_global_position(values, keys, "_pos")
+    return ranked.select(column, (F.col("_pos") - 1).cast("double").alias("_index"))
 
 
 def apply_index(df: DataFrame, labels: DataFrame, column: str, out_col: str,
