@@ -46,6 +46,8 @@ def read_csv(
     enforce_header: bool = True,
     mode: str = "PERMISSIVE",
     normalise: bool = False,
+    multi_line: bool = False,
+    keep_empty_strings: bool = True,
 ) -> DataFrame:
     """CSV scan in one of three typing modes.
 
@@ -56,8 +58,18 @@ def read_csv(
     * ``infer_schema=True``: one extra pass over the input (or a sample of
       it with ``sampling_ratio``) to pick the types.
     * neither: every column is a string.
+
+    ``multi_line=True`` allows quoted values that contain line breaks
+    (the writer quotes them); each file is then parsed by one task.
+
+    ``keep_empty_strings=True``: a quoted empty field (``""``) is an empty
+    string and only a missing field is null, which is how the writer
+    encodes them; Spark's default reads both as null.
     """
-    reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
+    reader = (spark.read.option("header", header).option("sep", sep).option("mode", mode)
+              .option("multiLine", multi_line))
+    if keep_empty_strings:
+        reader = reader.option("nullValue", "\u0000")
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", not enforce_header)
     elif infer_schema:

@@ -50,8 +50,11 @@ def write_parquet(df: DataFrame, path: str, *, compression: str = "snappy",
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",",
               mode: str = "overwrite", single_file: bool = False) -> str:
+    # Spark's CSV writer trims leading/trailing white space by default,
+    # which turns " " into null; values are written as they are.
     return write_path(df, path, "csv", mode=mode, single_file=single_file,
-                      header=header, sep=sep, **TEXT_TIMESTAMP_OPTIONS)
+                      header=header, sep=sep, ignoreLeadingWhiteSpace=False,
+                      ignoreTrailingWhiteSpace=False, **TEXT_TIMESTAMP_OPTIONS)
 
 
 def _json_array_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
