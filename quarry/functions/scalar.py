@@ -20,6 +20,7 @@ __all__ = [
     "parse_date_text",
     "format_date_text",
     "parse_compact_timestamp",
+    "parse_timestamp_text",
     "epoch_seconds",
     "to_timestamp_text",
     "salary_band",
@@ -28,6 +29,10 @@ __all__ = [
     "safe_cast",
     "in_list",
     "TRIP_TEXT_FORMAT",
+    "wall_text",
+    "TRIP_TEXT_LAYOUT",
+    "ISO_SECONDS_LAYOUT",
+    "COMPACT_TS_LAYOUT",
     "DAY_TEXT_FORMAT",
     "COMPACT_TS_FORMAT",
 ]
@@ -67,9 +72,21 @@ def _ts_literal(value: _dt.datetime, ntz: bool) -> Column:
     return F.lit(text).cast("timestamp_ntz" if ntz else "timestamp")
 
 
+def parse_timestamp_text(c: str | Column, fmt: str) -> Column:
+    """Text to ``timestamp_ntz`` with an explicit pattern; bad text is null.
+
+    ``to_timestamp_ntz`` reads the wall time exactly whatever the session
+    time zone (``try_to_timestamp`` would move wall times that fall into a
+    daylight-saving gap of the session zone); it raises on bad text under
+    ANSI, so it only runs where the lenient ``try_to_timestamp`` succeeded.
+    """
+    x = col_of(c)
+    return F.when(F.try_to_timestamp(x, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(x, F.lit(fmt)))
+
+
 def parse_date_text(c: str | Column, fmt: str = TRIP_TEXT_FORMAT) -> Column:
     """Text to ``date`` with an explicit pattern; unparseable text is null."""
-    return F.try_to_date(col_of(c), fmt)
+    return parse_timestamp_text(c, fmt).cast("date")
 
 
 def format_date_text(c: str | Column, fmt: str = DAY_TEXT_FORMAT) -> Column:
@@ -84,7 +101,7 @@ def parse_compact_timestamp(c: str | Column, fmt: str = COMPACT_TS_FORMAT) -> Co
     Kept as a real timestamp (not the string ``from_unixtime`` returns), and
     wall-clock based, so the result does not depend on the session time zone.
     """
-    return F.try_to_timestamp(col_of(c), F.lit(fmt)).cast("timestamp_ntz")
+    return parse_timestamp_text(c, fmt)
 
 
 def epoch_seconds(c: str | Column) -> Column:
@@ -93,8 +110,29 @@ def epoch_seconds(c: str | Column) -> Column:
 
 
 def to_timestamp_text(c: str | Column) -> Column:
-    """ISO-like text to ``timestamp_ntz``; null (not an error) on bad text."""
-    return F.try_to_timestamp(col_of(c)).cast("timestamp_ntz")
+    """ISO-like text to ``timestamp_ntz``; null (not an error) on bad text.
+    A cast, so wall times are kept whatever the session time zone."""
+    return col_of(c).try_cast("timestamp_ntz")
+
+
+def wall_text(c: str | Column, layout: str) -> Column:
+    """``timestamp_ntz`` to text from its wall-clock fields.
+
+    ``date_format`` converts a ``timestamp_ntz`` through the session time
+    zone, which moves wall times inside a daylight-saving gap; building the
+    text from year..second keeps it exact. ``layout`` is a ``format_string``
+    pattern over (year, month, day, hour, minute, second).
+    """
+    x = col_of(c)
+    return F.format_string(layout, F.year(x), F.month(x), F.dayofmonth(x), F.hour(x), F.minute(x),
+                           F.second(x))
+
+
+# The same text layouts as format_string patterns over
+# (year, month, day, hour, minute, second).
+TRIP_TEXT_LAYOUT = "%2$d/%3$d/%1$d %4$d:%5$d"
+ISO_SECONDS_LAYOUT = "%1$04d-%2$02d-%3$02dT%4$02d:%5$02d:%6$02d"
+COMPACT_TS_LAYOUT = "%1$04d%2$02d%3$02dT%4$02d%5$02d%6$02d"
 
 
 def salary_band(c: str | Column, width: float = 10_000) -> Column:

@@ -383,7 +383,8 @@ SELECT Trip_ID, End_Date, "Bike_#",
 FROM {TRIPS_SQL} t""")
 def sort_mixed(spark: SparkSession, sf: str) -> DataFrame:
     t = trips(spark, sf)
-    ev_end = F.try_to_timestamp("End_Date", F.lit("M/d/yyyy H:m"))
+    from quarry.functions.scalar import TRIP_TEXT_FORMAT, parse_timestamp_text
+    ev_end = parse_timestamp_text("End_Date", TRIP_TEXT_FORMAT)
     keyed = t.select("Trip_ID", "End_Date", "Bike_#", ev_end.alias("_end"))
     # newest end first, then bike, then trip id: a total order on real time
     # (the text form does not sort chronologically)
