@@ -166,7 +166,7 @@ def residual_bands(spark: SparkSession, sf: str) -> DataFrame:
 @query("residual_histogram", ops=("M13",), sql=f"""
 {_FIT_CTE}
 SELECT CAST(floor(Within_RMSE / 0.5) AS BIGINT) AS bucket, count(*) AS count,
-       CAST(floor(Within_RMSE / 0.5) AS BIGINT) * 0.5 AS bucket_start
+       CAST(CAST(floor(Within_RMSE / 0.5) AS BIGINT) AS DOUBLE) * 0.5 AS bucket_start
 FROM res GROUP BY 1""")
 def residual_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return M.residual_histogram(_residuals(spark, sf), width=0.5)
