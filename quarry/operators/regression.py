@@ -21,7 +21,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +84,23 @@ def index_column(df: DataFrame, column: str, out_col: str, order: str = "frequen
 
 # --------------------------------------------------------------------------- features
 
+def feature_pipeline(index_cols: Sequence[str], numeric_cols: Sequence[str],
+                     out_col: str = "features", handle_invalid: str = "keep") -> Pipeline:
+    """``pyspark.ml`` pipeline: index each string column by frequency, then
+    assemble the numeric and index columns into one vector.
+
+    ``StringIndexer`` brings the distinct labels of each column to the
+    driver when fitted, so this suits low-cardinality columns; for columns
+    whose distinct values grow with the data use ``index_column`` (ranked
+    and joined on the executors) followed by ``assemble``.
+    """
+    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=handle_invalid)
+                for c in index_cols]
+    assembler = VectorAssembler(inputCols=[*numeric_cols, *[f"{c}_index" for c in index_cols]],
+                                outputCol=out_col, handleInvalid="error")
+    return Pipeline(stages=[*indexers, assembler])
+
+
 def assemble(df: DataFrame, inputs: Sequence[str], out_col: str = "features",
              handle_invalid: str = "error") -> DataFrame:
     """Numeric columns to one vector column (``VectorAssembler``)."""

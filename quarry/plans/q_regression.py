@@ -186,7 +186,10 @@ EN_MAX_ITER, EN_REG, EN_ELASTIC = 500, 0.05, 0.05
 @query("elastic_net_fit", ops=("M06", "M04", "M08"), sql=None)
 def elastic_net_fit(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", LABEL, *FEATURES[:3])
-    data = _with_features(M.hash_split(li, "l_orderkey"))
+    split = M.hash_split(li, "l_orderkey")
+    # index + assemble as a fitted pipeline (the return flag has three values)
+    pipeline = M.feature_pipeline(["l_returnflag"], FEATURES[:3]).fit(split)
+    data = pipeline.transform(split)
     model = M.fit_linear(data.where(F.col("split") == "train"), "features", LABEL,
                          max_iter=EN_MAX_ITER, reg_param=EN_REG, elastic_net=EN_ELASTIC)
     return M.model_frame(spark, model, FEATURES)

@@ -83,3 +83,14 @@ def test_residual_bands_sum_to_test_rows(spark):
     q = E.queries()
     bands = sum(r["count"] for r in q["residual_bands"](spark, SF_SMALL).collect())
     assert bands == q["residuals"](spark, SF_SMALL).count()
+
+
+def test_pipeline_equals_distributed_index_and_assemble(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_discount")
+    piped = M.feature_pipeline(["l_returnflag"], ["l_quantity", "l_discount"]).fit(li).transform(li)
+    ours = M.assemble(M.index_column(li, "l_returnflag", "l_returnflag_index"),
+                      ["l_quantity", "l_discount", "l_returnflag_index"])
+    key = lambda df: sorted((r.l_orderkey, r.l_linenumber, tuple(r.features.toArray()))
+                            for r in df.select("l_orderkey", "l_linenumber", "features").collect())
+    assert key(piped) == key(ours)
