@@ -98,6 +98,31 @@ def join_any_of(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column,
     return out
 
 
+def full_outer_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Equi FULL OUTER JOIN as a left outer join plus the unmatched right rows.
+
+    ``L FULL JOIN R`` equals ``(L LEFT JOIN R) UNION ALL (R ANTI JOIN keys(L))``
+    with L's columns null in the second part. AQE cannot split a skewed
+    partition of a full outer sort-merge join; it can for the left outer
+    join (left side) and the anti join, and the anti join only needs the
+    *distinct* left keys, so a key holding a third of the left rows is one
+    row there. Null keys never match, in both forms.
+    """
+    cond = None
+    for lc, rc in pairs:
+        term = left[lc] == right[rc]
+        cond = term if cond is None else cond & term
+    matched = left.join(right, cond, "left")
+    lkeys = left.select(*[F.col(lc).alias(f"_k{i}") for i, (lc, _) in enumerate(pairs)]).distinct()
+    anti_cond = None
+    for i, (_, rc) in enumerate(pairs):
+        term = right[rc] == lkeys[f"_k{i}"]
+        anti_cond = term if anti_cond is None else anti_cond & term
+    unmatched = right.join(lkeys, anti_cond, "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+    return matched.unionByName(unmatched.select(*nulls, *right.columns))
+
+
 def pre_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Collapse the many side of a many-to-many join to one row per key."""
     return df.groupBy(*keys).agg(*aggs)

@@ -216,7 +216,12 @@ def _outer(how):
 
 query("join_left", ops=("J05",), sql=_OUTER_SQL.format(kind="LEFT"))(_outer("left"))
 query("join_right", ops=("J06",), sql=_OUTER_SQL.format(kind="RIGHT"))(_outer("right"))
-query("join_full", ops=("J07",), sql=_OUTER_SQL.format(kind="FULL OUTER"))(_outer("full"))
+@query("join_full", ops=("J07",), sql=_OUTER_SQL.format(kind="FULL OUTER"))
+def join_full(spark: SparkSession, sf: str) -> DataFrame:
+    # written as left join + anti join so AQE can split a hot customer key
+    o, c = _open_orders(spark, sf), _building_customers(spark, sf)
+    return R.full_outer_join(o, c, [("o_custkey", "c_custkey")]) \
+        .select("o_orderkey", "o_custkey", "c_custkey", "c_name")
 
 _SEMI_SQL = """
 SELECT o_orderkey, o_custkey, o_orderdate FROM orders o

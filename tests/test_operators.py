@@ -207,3 +207,15 @@ def test_wall_clock_text_ignores_session_zone(spark):
         assert (r.p.hour, r.p.minute) == (2, 14) and r.bad is None and r.c.hour == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@FAST
+@given(left=pairs, right=pairs)
+def test_full_outer_rewrite_equals_full_join(spark, left, right):
+    l = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(left)] or [], "lid int, a int")
+    r = spark.createDataFrame([(j, k) for j, (k, _) in enumerate(right)] or [], "rid int, k int")
+    expect = sorted(map(tuple, l.join(r, l.a == r.k, "full").select("lid", "a", "rid", "k").collect()),
+                    key=repr)
+    got = sorted(map(tuple, R.full_outer_join(l, r, [("a", "k")]).select("lid", "a", "rid", "k").collect()),
+                 key=repr)
+    assert got == expect
