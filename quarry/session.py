@@ -43,6 +43,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.warehouse.dir", warehouse_dir)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
@@ -56,18 +57,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder on shared storage
-    and is used as is. Only when nothing is configured (tests, a laptop) is
-    a fresh local folder created.
+    and is used as is. Only when nothing is configured on a ``local[...]``
+    master (tests, a laptop) is a fresh local folder created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             # a driver-local folder is invisible to executors on other machines
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
