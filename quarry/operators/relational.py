@@ -6,8 +6,10 @@ broadcast when the optimizer's size estimate is under
 time. The helpers here add what the optimizer cannot know:
 
 * an explicit, *checked* broadcast for sides whose row count is bounded;
-* the rewrite of a disjunctive (OR) equi-join into two hash joins, which
-  avoids the nested-loop join Spark would plan for it;
+* the rewrite of a disjunctive (OR) equi-join into one equi-join per
+  disjunct, which avoids the nested-loop join Spark would plan for it;
+* the rewrite of a full outer join into a left join plus an anti join on
+  distinct keys, whose skewed partitions AQE can split;
 * optional pre-aggregation of the many side of a many-to-many join, so a
   join key shared by many rows on both sides does not emit every pair.
 """
@@ -36,10 +38,11 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after proving the side has at most ``max_rows``.
 
-    The check is ``df.limit(max_rows + 1).count()``: it stops reading once
-    the bound is exceeded, so it is cheap even when the side turns out large.
-    Beyond the bound the frame is returned unhinted and Spark plans a
-    shuffle join.
+    The check is ``df.limit(max_rows + 1).count()``, which takes at most
+    ``max_rows + 1`` rows of the side's output from each task, so it stays
+    cheap when the side turns out large. Beyond the bound the frame is
+    returned unhinted and Spark plans a shuffle join. Pass a materialised
+    (checkpointed or cached) side when computing it is expensive.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
