@@ -18,43 +18,50 @@ from pyspark.sql.types import NumericType, StringType
 
 from quarry.functions.scalar import fixed_round
 
+def _lit(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _ref(name: str | None, sql_type: str) -> str:
+    return f"cast({_ident(name)} as {sql_type})" if name else f"cast(null as {sql_type})"
+
+
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
     """count, nulls, mean, stddev, min and max of every column, one scan.
 
     Output: column_name, ordinal, non_null, nulls, mean, stddev, min_num,
     max_num, min_text, max_text (numeric columns fill the ``*_num`` and
-    moment fields, string columns the ``*_text`` fields).
+    moment fields, other columns the ``*_text`` fields).
     """
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
-    aggs, entries = [F.count(F.lit(1)).alias("_rows")], []
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        p = f"_{i}_"
-        aggs += [F.count(c).alias(p + "nn")]
+        c, p = F.col(_ident(f.name)), f"_{i}_"
+        aggs.append(F.count(c).alias(p + "nn"))
         if isinstance(f.dataType, NumericType):
             aggs += [fixed_round(F.avg(c), digits).alias(p + "mean"),
                      fixed_round(F.stddev_samp(c), digits).alias(p + "sd"),
                      F.min(c).cast("double").alias(p + "min"),
                      F.max(c).cast("double").alias(p + "max")]
-            entries.append((f.name, [str(i + 1), p + "nn", p + "mean", p + "sd", p + "min", p + "max", "", ""]))
+            stats = [p + "mean", p + "sd", p + "min", p + "max", None, None]
         else:
-            text = c.cast("string") if not isinstance(f.dataType, StringType) else c
+            text = c if isinstance(f.dataType, StringType) else c.cast("string")
             aggs += [F.min(text).alias(p + "tmin"), F.max(text).alias(p + "tmax")]
-            entries.append((f.name, [str(i + 1), p + "nn", "", "", "", "", p + "tmin", p + "tmax"]))
-    one = df.agg(*aggs)
-    # ordinal is a literal position, carried through stack as a constant
-    parts = []
-    for label, fl in entries:
-        ordinal, nn, mean, sd, mn, mx, tmin, tmax = fl
-        def v(name, t):
-            return f"cast(`{name}` as {t})" if name else f"cast(null as {t})"
-        parts.append(", ".join([
-            f"'{label}'", f"cast({ordinal} as int)", v(nn, "bigint"),
-            f"cast(`_rows` - `{nn}` as bigint)", v(mean, "double"), v(sd, "double"),
-            v(mn, "double"), v(mx, "double"), v(tmin, "string"), v(tmax, "string")]))
-    expr = (f"stack({len(entries)}, {', '.join(parts)}) as "
-            "(column_name, ordinal, non_null, nulls, mean, stddev, min_num, max_num, min_text, max_text)")
-    return one.selectExpr(expr)
+            stats = [None, None, None, None, p + "tmin", p + "tmax"]
+        mean, sd, mn, mx, tmin, tmax = stats
+        rows.append(", ".join([
+            _lit(f.name), f"cast({i + 1} as int)", _ref(p + "nn", "bigint"),
+            f"cast(`_rows` - `{p}nn` as bigint)", _ref(mean, "double"), _ref(sd, "double"),
+            _ref(mn, "double"), _ref(mx, "double"), _ref(tmin, "string"), _ref(tmax, "string")]))
+    # the single result row is unpivoted into one row per column
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(rows)}, {', '.join(rows)}) as (column_name, ordinal, non_null, nulls, "
+        "mean, stddev, min_num, max_num, min_text, max_text)")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
@@ -84,7 +91,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by ranges x max(buckets, final_rows) whatever the row count.
     """
     spark = df.sparkSession
-    xs = [F.col(f"`{c}`").cast("double") for c in cols]
+    xs = [F.col(_ident(c)).cast("double") for c in cols]
     head = df.agg(*[agg for i, x in enumerate(xs) for agg in (
         F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
 
@@ -201,12 +208,12 @@ def column_quartiles(df: DataFrame, cols: Sequence[str], *, exact: bool = True,
             for j, name in enumerate(["q1", "median", "q3"])]))
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
+        x = F.col(_ident(c)).cast("double")
         for j, p in enumerate(probs):
             aggs.append(fixed_round(F.percentile_approx(x, F.lit(p), F.lit(accuracy)), digits)
                         .alias(f"_{i}_{j}"))
     one = df.agg(*aggs)
-    parts = [", ".join([f"'{c}'"] + [f"`_{i}_{j}`" for j in range(3)]) for i, c in enumerate(cols)]
+    parts = [", ".join([_lit(c)] + [f"`_{i}_{j}`" for j in range(3)]) for i, c in enumerate(cols)]
     return one.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) as (column_name, q1, median, q3)")
 
 
@@ -219,7 +226,7 @@ def distinct_counts(frames: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """
     out = None
     for label, frame, column in frames:
-        part = frame.agg(F.countDistinct(F.col(f"`{column}`")).alias("distinct_count")) \
+        part = frame.agg(F.countDistinct(F.col(_ident(column))).alias("distinct_count")) \
                     .select(F.lit(label).alias("source"), F.lit(column).alias("column_name"),
                             "distinct_count")
         out = part if out is None else out.unionByName(part)
@@ -238,9 +245,9 @@ def count_reconcile(source: DataFrame, copy: DataFrame) -> DataFrame:
 def schema_profile(df: DataFrame) -> DataFrame:
     """Column name, position, type and null count of every column (one scan)."""
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
-        F.count(F.col(f"`{f.name}`")).alias(f"_{i}") for i, f in enumerate(df.schema.fields)]
+        F.count(F.col(_ident(f.name))).alias(f"_{i}") for i, f in enumerate(df.schema.fields)]
     one = df.agg(*aggs)
-    parts = [f"'{f.name}', cast({i + 1} as int), '{f.dataType.simpleString()}', "
+    parts = [f"{_lit(f.name)}, cast({i + 1} as int), {_lit(f.dataType.simpleString())}, "
              f"cast(`_rows` - `_{i}` as bigint)" for i, f in enumerate(df.schema.fields)]
     return one.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as "
                           "(column_name, ordinal, data_type, nulls)")

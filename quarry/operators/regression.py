@@ -250,7 +250,8 @@ def feature_label_corr(df: DataFrame, features: Sequence[str], label: str,
                        digits: int = 6) -> DataFrame:
     """Pearson correlation of each feature with the label, one scan, long form."""
     from quarry.functions.scalar import fixed_round
+    from quarry.operators.profile import _lit
     one = df.agg(*[fixed_round(F.corr(F.col(f).cast("double"), F.col(label).cast("double")), digits)
                    .alias(f"_{i}") for i, f in enumerate(features)])
-    parts = ", ".join(f"'{f}', `_{i}`" for i, f in enumerate(features))
+    parts = ", ".join(f"{_lit(f)}, `_{i}`" for i, f in enumerate(features))
     return one.selectExpr(f"stack({len(features)}, {parts}) as (feature, corr)")

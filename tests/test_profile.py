@@ -68,3 +68,10 @@ def test_distinct_counts(spark):
     rows = P.distinct_counts([("a", spark.range(10), "id"),
                               ("b", spark.range(10).selectExpr("id % 3 as id"), "id")]).collect()
     assert {r.source: r.distinct_count for r in rows} == {"a": 10, "b": 3}
+
+
+def test_profiles_with_awkward_column_names(spark):
+    df = spark.createDataFrame([(1, "x")], "`it's` int, `a``b` string")
+    names = [r.column_name for r in P.column_profile(df).collect()]
+    assert names == ["it's", "a`b"]
+    assert [r.column_name for r in P.schema_profile(df).collect()] == ["it's", "a`b"]
