@@ -94,3 +94,12 @@ def test_pipeline_equals_distributed_index_and_assemble(spark):
     key = lambda df: sorted((r.l_orderkey, r.l_linenumber, tuple(r.features.toArray()))
                             for r in df.select("l_orderkey", "l_linenumber", "features").collect())
     assert key(piped) == key(ours)
+
+
+def test_rmse_source_is_explicit(spark):
+    from quarry.plans.q_regression import _residuals
+    rms = lambda df: df.agg(F.sqrt(F.avg(F.col("Within_RMSE") ** 2))).first()[0]
+    # divided by the test RMSE, the test residuals have an RMS of exactly one
+    assert abs(rms(_residuals(spark, SF_SMALL, rmse_source="test")) - 1.0) < 1e-9
+    # divided by the training RMSE they do not (the two notebooks differ here)
+    assert abs(rms(_residuals(spark, SF_SMALL, rmse_source="train")) - 1.0) > 1e-6
