@@ -79,21 +79,44 @@ def join_on(left: DataFrame, right: DataFrame, condition: Column, how: str = "in
     return left.join(right, condition, JOIN_TYPES.get(how, how))
 
 
-def join_any_of(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]]) -> DataFrame:
+def join_any_of(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Inner join on ``l1 = r1 OR l2 = r2 OR ...`` without a nested loop.
 
     Spark plans a disjunctive condition as a (broadcast) nested-loop join,
-    which compares every pair of rows. The same result is the union of one
-    equi-join per disjunct, where branch ``i`` keeps only pairs that no
-    earlier branch matched (``NOT coalesce(l_j = r_j, false)``), so each
-    matching pair appears exactly once, as in the OR join. Every branch is
-    a hash or sort-merge join on its own key.
+    which compares every pair of rows. ``pairs`` are (left column, right
+    column) names; the two frames must not share column names.
+
+    * All disjuncts against the same right column (``l1 = r OR l2 = r``):
+      each left row is expanded into one probe row per non-null key, the
+      probes are joined once on ``r``, and a pair is kept only for the
+      first disjunct that matches it. One scan of each side, one join.
+    * Otherwise: one equi-join per disjunct, where branch ``i`` keeps only
+      pairs no earlier branch matched (``NOT coalesce(l_j = r_j, false)``),
+      combined with a union.
+
+    Either way each matching pair appears exactly once, as in the OR join.
     """
+    def earlier_match(i: int, lcol, rcol) -> Column:
+        hit = F.lit(False)
+        for lj, rj in pairs[:i]:
+            hit = hit | F.coalesce(lcol(lj) == rcol(rj), F.lit(False))
+        return hit
+
+    right_keys = {rc for _, rc in pairs}
+    if len(right_keys) == 1:
+        (rk,) = right_keys
+        probes = F.array(*[F.struct(F.lit(i).alias("b"), F.col(lk).alias("k"))
+                           for i, (lk, _) in enumerate(pairs)])
+        expanded = (left.select(*[F.col(c) for c in left.columns], F.explode(probes).alias("_p"))
+                        .where(F.col("_p.k").isNotNull()))
+        joined = expanded.join(right, expanded["_p.k"] == right[rk], "inner")
+        keep = F.lit(True)
+        for i in range(1, len(pairs)):
+            keep = F.when(F.col("_p.b") == i, ~earlier_match(i, F.col, F.col)).otherwise(keep)
+        return joined.where(keep).drop("_p")
     branches = []
     for i, (lk, rk) in enumerate(pairs):
-        cond = lk == rk
-        for lj, rj in pairs[:i]:
-            cond = cond & ~F.coalesce(lj == rj, F.lit(False))
+        cond = (left[lk] == right[rk]) & ~earlier_match(i, lambda c: left[c], lambda c: right[c])
         branches.append(left.join(right, cond, "inner"))
     out = branches[0]
     for b in branches[1:]:

@@ -185,7 +185,7 @@ def join_or(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select(
         "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("prop_k"))
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    out = R.join_any_of(e, c, [(e.user_id, c.c_custkey), (e.prop_k, c.c_custkey)])
+    out = R.join_any_of(e, c, [("user_id", "c_custkey"), ("prop_k", "c_custkey")])
     return out.select("event_id", "c_custkey", "c_name")
 
 

@@ -151,7 +151,17 @@ def test_or_join_rewrite_equals_or_join(spark, left, right):
     l = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(left)] or [], "lid int, a int, b int")
     r = spark.createDataFrame([(j, k) for j, (k, _) in enumerate(right)] or [], "rid int, k int")
     expect = sorted(tuple(x) for x in l.join(r, (l.a == r.k) | (l.b == r.k)).select("lid", "rid").collect())
-    got = sorted(tuple(x) for x in R.join_any_of(l, r, [(l.a, r.k), (l.b, r.k)]).select("lid", "rid").collect())
+    got = sorted(tuple(x) for x in R.join_any_of(l, r, [("a", "k"), ("b", "k")]).select("lid", "rid").collect())
+    assert got == expect
+
+
+@FAST
+@given(left=pairs, right=pairs)
+def test_or_join_on_two_right_columns(spark, left, right):
+    l = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(left)] or [], "lid int, a int, b int")
+    r = spark.createDataFrame([(j, x, y) for j, (x, y) in enumerate(right)] or [], "rid int, x int, y int")
+    expect = sorted(tuple(v) for v in l.join(r, (l.a == r.x) | (l.b == r.y)).select("lid", "rid").collect())
+    got = sorted(tuple(v) for v in R.join_any_of(l, r, [("a", "x"), ("b", "y")]).select("lid", "rid").collect())
     assert got == expect
 
 
