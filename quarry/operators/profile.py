@@ -98,9 +98,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # target (column index, rank) -> state; a range is (column index, chain)
     targets: dict[tuple[int, int], dict] = {}
     wanted = []  # (column index, p index, rank lo, rank hi, frac)
+    empty = []   # (column index, p index) of columns without a non-null value
     for i in range(len(cols)):
         n = int(head[f"n{i}"])
         if n == 0:
+            empty += [(i, j) for j in range(len(probs))]
             continue
         for j, p in enumerate(probs):
             h = (n - 1) * float(p)
@@ -176,6 +178,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 seen += c
     out = [(cols[i], j, value_at[(i, r_lo)] + frac * (value_at[(i, r_hi)] - value_at[(i, r_lo)]))
            for i, j, r_lo, r_hi, frac in wanted]
+    out += [(cols[i], j, None) for i, j in empty]
     return spark.createDataFrame(out, "column_name string, p_index int, value double")
 
 

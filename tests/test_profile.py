@@ -75,3 +75,10 @@ def test_profiles_with_awkward_column_names(spark):
     names = [r.column_name for r in P.column_profile(df).collect()]
     assert names == ["it's", "a`b"]
     assert [r.column_name for r in P.schema_profile(df).collect()] == ["it's", "a`b"]
+
+
+def test_quartiles_of_an_all_null_column(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    rows = {r.column_name: r for r in P.column_quartiles(df, ["a", "b"]).collect()}
+    assert rows["a"].median == 1.5
+    assert rows["b"].q1 is None and rows["b"].median is None and rows["b"].q3 is None
