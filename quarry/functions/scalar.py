@@ -9,6 +9,7 @@ forms, which yield null instead of failing the job.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,9 +31,7 @@ __all__ = [
     "in_list",
     "TRIP_TEXT_FORMAT",
     "wall_text",
-    "TRIP_TEXT_LAYOUT",
-    "ISO_SECONDS_LAYOUT",
-    "COMPACT_TS_LAYOUT",
+    "ISO_SECONDS_FORMAT",
     "DAY_TEXT_FORMAT",
     "COMPACT_TS_FORMAT",
 ]
@@ -41,6 +40,7 @@ __all__ = [
 TRIP_TEXT_FORMAT = "M/d/yyyy H:m"
 DAY_TEXT_FORMAT = "MM/dd/yyyy"
 COMPACT_TS_FORMAT = "yyyyMMdd'T'HHmmss"
+ISO_SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def col_of(c: str | Column) -> Column:
@@ -115,24 +115,35 @@ def to_timestamp_text(c: str | Column) -> Column:
     return col_of(c).try_cast("timestamp_ntz")
 
 
-def wall_text(c: str | Column, layout: str) -> Column:
+# pattern letter -> (field of the wall time, zero-padded width; 0 = no padding)
+_WALL_FIELDS = {
+    "yyyy": (F.year, 4), "MM": (F.month, 2), "M": (F.month, 0), "dd": (F.dayofmonth, 2),
+    "d": (F.dayofmonth, 0), "HH": (F.hour, 2), "H": (F.hour, 0), "mm": (F.minute, 2),
+    "m": (F.minute, 0), "ss": (F.second, 2), "s": (F.second, 0),
+}
+_WALL_TOKENS = re.compile(r"'[^']*'|yyyy|MM|M|dd|d|HH|H|mm|m|ss|s|.")
+
+
+def wall_text(c: str | Column, pattern: str) -> Column:
     """``timestamp_ntz`` to text from its wall-clock fields.
 
     ``date_format`` converts a ``timestamp_ntz`` through the session time
-    zone, which moves wall times inside a daylight-saving gap; building the
-    text from year..second keeps it exact. ``layout`` is a ``format_string``
-    pattern over (year, month, day, hour, minute, second).
+    zone, which moves wall times inside a daylight-saving gap. This builds
+    the text from year..second with ``concat``/``lpad`` (codegen, no
+    per-row formatter) and accepts the numeric subset of the
+    ``date_format`` pattern letters (yyyy, M, MM, d, dd, H, HH, m, mm, s,
+    ss, and 'quoted' literals).
     """
     x = col_of(c)
-    return F.format_string(layout, F.year(x), F.month(x), F.dayofmonth(x), F.hour(x), F.minute(x),
-                           F.second(x))
-
-
-# The same text layouts as format_string patterns over
-# (year, month, day, hour, minute, second).
-TRIP_TEXT_LAYOUT = "%2$d/%3$d/%1$d %4$d:%5$d"
-ISO_SECONDS_LAYOUT = "%1$04d-%2$02d-%3$02dT%4$02d:%5$02d:%6$02d"
-COMPACT_TS_LAYOUT = "%1$04d%2$02d%3$02dT%4$02d%5$02d%6$02d"
+    parts = []
+    for tok in _WALL_TOKENS.findall(pattern):
+        if tok in _WALL_FIELDS:
+            field, width = _WALL_FIELDS[tok]
+            text = field(x).cast("string")
+            parts.append(F.lpad(text, width, "0") if width else text)
+        else:
+            parts.append(F.lit(tok[1:-1] if tok.startswith("'") else tok))
+    return F.concat(*parts)
 
 
 def salary_band(c: str | Column, width: float = 10_000) -> Column:

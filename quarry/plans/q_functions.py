@@ -39,7 +39,7 @@ SELECT event_id, strftime(ts, '%Y%m%dT%H%M%S') AS compact,
 FROM events""")
 def parse_compact_ts(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events").select(
-        "event_id", X.wall_text("ts", X.COMPACT_TS_LAYOUT).alias("compact"))
+        "event_id", X.wall_text("ts", X.COMPACT_TS_FORMAT).alias("compact"))
     parsed = ev.withColumn("parsed_ts", X.parse_compact_timestamp("compact"))
     return parsed.select("event_id", "compact", X.epoch_seconds("parsed_ts").alias("epoch_seconds"),
                          "parsed_ts")

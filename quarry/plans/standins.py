@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import ISO_SECONDS_LAYOUT, TRIP_TEXT_LAYOUT, wall_text
+from quarry.functions.scalar import ISO_SECONDS_FORMAT, TRIP_TEXT_FORMAT, wall_text
 from quarry.sources.readers import read_table
 
 
@@ -33,8 +33,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("Trip_ID"),
         duration.alias("Duration"),
-        wall_text("ts", TRIP_TEXT_LAYOUT).alias("Start_Date"),
-        wall_text(end_ts, TRIP_TEXT_LAYOUT).alias("End_Date"),
+        wall_text("ts", TRIP_TEXT_FORMAT).alias("Start_Date"),
+        wall_text(end_ts, TRIP_TEXT_FORMAT).alias("End_Date"),
         F.col("user_id").alias("Start_Terminal"),
         F.col("user_id").alias("Bike_#"),
         F.col("event_type").alias("Subscriber_Type"),
@@ -61,8 +61,8 @@ def blog(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     published = F.timestamp_add("DAY", F.floor("value").cast("int") * 7, F.col("ts"))
     dates = F.to_json(F.struct(
-        wall_text("ts", ISO_SECONDS_LAYOUT).alias("createdOn"),
-        wall_text(published, ISO_SECONDS_LAYOUT).alias("publishedOn"),
+        wall_text("ts", ISO_SECONDS_FORMAT).alias("createdOn"),
+        wall_text(published, ISO_SECONDS_FORMAT).alias("publishedOn"),
         F.lit("UTC").alias("tz")))
     return ev.select(
         F.col("event_id").alias("post_id"),

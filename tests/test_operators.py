@@ -208,12 +208,14 @@ def test_wall_clock_text_ignores_session_zone(spark):
         # 02:14:47 on 2025-03-09 does not exist in Los Angeles (DST gap)
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         df = spark.sql("select timestamp_ntz'2025-03-09 02:14:47' as t, '3/9/2025 2:14' as s, 'bad' as b")
-        r = df.select(X.wall_text("t", X.ISO_SECONDS_LAYOUT).alias("iso"),
-                      X.wall_text("t", X.TRIP_TEXT_LAYOUT).alias("trip"),
+        r = df.select(X.wall_text("t", X.ISO_SECONDS_FORMAT).alias("iso"),
+                      X.wall_text("t", X.TRIP_TEXT_FORMAT).alias("trip"),
+                      X.wall_text("t", X.COMPACT_TS_FORMAT).alias("compact"),
                       X.parse_timestamp_text("s", X.TRIP_TEXT_FORMAT).alias("p"),
                       X.parse_timestamp_text("b", X.TRIP_TEXT_FORMAT).alias("bad"),
                       X.to_timestamp_text(F.lit("2025-03-09T02:14:47")).alias("c")).first()
         assert r.iso == "2025-03-09T02:14:47" and r.trip == "3/9/2025 2:14"
+        assert r.compact == "20250309T021447"
         assert (r.p.hour, r.p.minute) == (2, 14) and r.bad is None and r.c.hour == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
