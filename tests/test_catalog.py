@@ -57,3 +57,22 @@ def test_ansi_setting(spark):
         assert spark.sql("select try_cast('x' as int) as v").first().v is None
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from quarry.plans.inspect import plan_text
+    from quarry.session import unique_table
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    to, tc = unique_table(spark, "orders_b"), unique_table(spark, "customer_b")
+    SK.save_table(o.withColumnRenamed("o_custkey", "custkey"), to, bucket_by=(8, ["custkey"]))
+    SK.save_table(c.withColumnRenamed("c_custkey", "custkey"), tc, bucket_by=(8, ["custkey"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force a sort-merge join
+        j = spark.read.table(to).join(spark.read.table(tc), "custkey")
+        text = plan_text(j, "simple")
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert j.count() == o.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
