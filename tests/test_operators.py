@@ -231,3 +231,32 @@ def test_full_outer_rewrite_equals_full_join(spark, left, right):
     got = sorted(map(tuple, R.full_outer_join(l, r, [("a", "k")]).select("lid", "a", "rid", "k").collect()),
                  key=repr)
     assert got == expect
+
+
+def test_select_expr_needs_backticks_for_spaced_names(spark):
+    df = spark.createDataFrame([("a", 5)], "`Start Station` string, `Bike #` int")
+    with pytest.raises(Exception):  # parsed as `Start AS Station`: unresolved column
+        df.selectExpr("Start Station").collect()
+    r = df.selectExpr("`Start Station`", "`Bike #` between 1 and 100 as premium_bike").first()
+    assert r["Start Station"] == "a" and r.premium_bike is True
+
+
+@FAST
+@given(vals=st.lists(st.floats(0, 1e7, allow_nan=False), min_size=1, max_size=30))
+def test_bands_are_monotone(spark, vals):
+    df = spark.createDataFrame([(v,) for v in vals], "s double")
+    rows = sorted((r.s, r.b) for r in df.select("s", X.salary_band("s").alias("b")).collect())
+    bands = [b for _, b in rows]
+    assert bands == sorted(bands)
+
+
+@FAST
+@given(arrays=st.lists(st.one_of(st.none(), st.lists(st.sampled_from(["x", "y", None]), max_size=3)),
+                       min_size=1, max_size=15))
+def test_explode_outer_keeps_every_parent(spark, arrays):
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "k int, a array<string>")
+    out = S.explode_array(df, "a", "e", ["k"], outer=True)
+    assert sorted({r.k for r in out.collect()}) == list(range(len(arrays)))
+    assert out.count() == sum(max(1, len(a or [])) for a in arrays)
+    inner = S.explode_array(df, "a", "e", ["k"])
+    assert inner.count() == sum(len(a or []) for a in arrays)
