@@ -134,7 +134,8 @@ def table_schema_replace(spark: SparkSession, sf: str) -> DataFrame:
     # second version: one column changed, one added, one removed
     v2 = (c.select("c_custkey", "c_name", F.abs("c_acctbal").alias("c_acctbal"))
            .withColumn("balance_band", salary_band("c_acctbal", 1000.0)))
-    # materialise before replacing the table the plan would otherwise read from
+    # v2 reads the source files, not the table it replaces (Spark refuses to
+    # overwrite a table that the written plan reads from)
     SK.save_table(v2, name, mode="overwrite")
     return spark.read.table(name)
 
