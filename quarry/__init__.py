@@ -9,4 +9,17 @@ plans      the named queries, their DuckDB oracle SQL and plan checks
 streaming  running the stateless operators on a streaming frame
 """
 
+import sys as _sys
+
 __version__ = "0.1.0"
+
+# The few Python functions that run on executors (the pandas UDF and the
+# JSON-array writer) are shipped by value, so Python workers do not need
+# this package on their path (a driver that imports it from a checkout
+# works without installing it on every executor).
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: ship the package instead
+    pass
