@@ -58,3 +58,40 @@ def test_flagship_pre_aggregates_before_join(spark):
 def test_udf_query_is_arrow_batched(spark):
     text = plan_text(Q["duration_minutes"](spark, SF_SMALL), "simple")
     assert "ArrowEvalPython" in text and "BatchEvalPython" not in text
+
+
+def test_full_outer_rewrite_lets_aqe_split_a_hot_key(spark):
+    """One key holds a third of the rows: AQE splits it in the rewritten
+    full outer join (left join + anti join), never in Spark's own."""
+    from pyspark.sql import functions as F
+
+    from quarry.operators.relational import full_outer_join
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        facts = spark.range(30000).select(
+            F.col("id").alias("fid"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"))
+        dims = spark.range(1000).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("v"))
+
+        def executed(df):
+            rows = df.collect()  # runs this frame's own plan, so AQE finalises it
+            return len(rows), df._jdf.queryExecution().executedPlan().toString()
+
+        n_native, native = executed(facts.join(dims, facts.k == dims.dk, "full"))
+        n_rewrite, rewrite = executed(full_outer_join(facts, dims, [("k", "dk")]))
+        assert n_native == n_rewrite == 30000
+        assert "skew=true" not in native
+        assert "SortMergeJoin(skew=true)" in rewrite
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
