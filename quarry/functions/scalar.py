@@ -85,8 +85,12 @@ def parse_timestamp_text(c: str | Column, fmt: str) -> Column:
 
 
 def parse_date_text(c: str | Column, fmt: str = TRIP_TEXT_FORMAT) -> Column:
-    """Text to ``date`` with an explicit pattern; unparseable text is null."""
-    return parse_timestamp_text(c, fmt).cast("date")
+    """Text to ``date`` with an explicit pattern; unparseable text is null.
+
+    One lenient parse: a wall time inside a daylight-saving gap of the
+    session zone moves forward by less than an hour, so its date is kept.
+    """
+    return F.try_to_date(col_of(c), fmt)
 
 
 def format_date_text(c: str | Column, fmt: str = DAY_TEXT_FORMAT) -> Column:
