@@ -5,7 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from quarry.sources import readers as RD
 from quarry.sources import sinks as SK
