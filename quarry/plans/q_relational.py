@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import fixed_round, salary_band, year_at_least
+from quarry.functions.scalar import (TRIP_TEXT_FORMAT, fixed_round, format_date_text,
+                                     parse_date_text, parse_timestamp_text, salary_band,
+                                     year_at_least)
 from quarry.operators import relational as R
 from quarry.operators import profile as P
 from quarry.plans.registry import fixed_sql, query
@@ -288,7 +290,6 @@ SELECT CAST(start_ts AS DATE) AS start_day, CAST(end_ts AS DATE) AS end_day,
        count(*) AS trips
 FROM {TRIPS_SQL} t GROUP BY 1, 2 ORDER BY 1, 2""")
 def sum_by_dates(spark: SparkSession, sf: str) -> DataFrame:
-    from quarry.functions.scalar import format_date_text, parse_date_text
     t = trips(spark, sf)
     days = t.select(parse_date_text("Start_Date").alias("start_day"),
                     parse_date_text("End_Date").alias("end_day"), "Duration")
@@ -388,7 +389,6 @@ SELECT Trip_ID, End_Date, "Bike_#",
 FROM {TRIPS_SQL} t""")
 def sort_mixed(spark: SparkSession, sf: str) -> DataFrame:
     t = trips(spark, sf)
-    from quarry.functions.scalar import TRIP_TEXT_FORMAT, parse_timestamp_text
     ev_end = parse_timestamp_text("End_Date", TRIP_TEXT_FORMAT)
     keyed = t.select("Trip_ID", "End_Date", "Bike_#", ev_end.alias("_end"))
     # newest end first, then bike, then trip id: a total order on real time
