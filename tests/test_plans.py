@@ -112,3 +112,36 @@ def test_range_partitioned_sort_spreads_a_hot_leading_key(spark):
         assert max(r["count"] for r in parts) < 10100
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_or_join_probe_side_hot_key_is_split(spark):
+    """A third of the left rows share one key: AQE splits it in the single
+    join over probe rows that implements the OR join."""
+    from pyspark.sql import functions as F
+
+    from quarry.operators.relational import join_any_of
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ev = spark.range(30000).select(
+            F.col("id").alias("eid"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("u"),
+            (F.col("id") % 997).alias("p"))
+        cu = spark.range(1000).select(F.col("id").alias("ck"))
+        df = join_any_of(ev, cu, [("u", "ck"), ("p", "ck")])
+        expect = ev.join(cu, (ev.u == cu.ck) | (ev.p == cu.ck)).count()
+        assert len(df.collect()) == expect
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
