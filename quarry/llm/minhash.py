@@ -190,7 +190,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, crowd: int = 64) -> Data
     says that the row is that document. percent must be at least 80, for which
     the index is laid out. Null, empty and blank texts have an empty set and
     link with nothing. Rows that repeat a doc_id are each judged by their
-    own text. A null doc_id is returned with a null component and not kept. Other columns
+    own text. A row with a null doc_id gets the component of its
+    class (null if no other row has its text) and is not kept. Other columns
     of docs are ignored; an empty table gives no rows.
     """
     if percent < 80:

@@ -66,7 +66,7 @@ def test_null_empty_short_tied_and_long_texts(spark):
 
 def test_empty_table_null_id_and_low_threshold(spark):
     assert run(spark, []) == []
-    df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
-    assert {tuple(r) for r in near_duplicates(df).collect()} == {(None, 2, None, False), (1, 2, 1, True)}
+    df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (None, "z")], "doc_id long, text string")
+    assert {tuple(r) for r in near_duplicates(df).collect()} == {(None, 2, 1, False), (1, 2, 1, True), (None, 1, None, False)}
     with pytest.raises(ValueError):
         near_duplicates(df, percent=50)
