@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import round_trip
 from quarry.llm.decontam import contamination
 from quarry.llm.minhash import near_duplicates
+from quarry.llm.sharding import assign
+from quarry.llm.urls import Rule, filter_urls
+from quarry.session import scratch_path
+
+# The rules of op9.
+URL_RULES = [Rule("org/", "allow"), Rule("example.org/es/", "block"), Rule("example.org/en/1", "block"),
+             Rule("com/fr/", "allow"), Rule("com/de/", "block")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,17 +26,27 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign(_table(spark, sf_dir, "documents"), 24, scratch_path(spark, "slot-map"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op4_sharding": op4_sharding,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_url_filters": op9_url_filters,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
