@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe import round_trip
 from quarry.llm.decontam import contamination
+from quarry.llm.embeddings import near_duplicate_vectors
 from quarry.llm.minhash import near_duplicates
 from quarry.llm.sharding import assign
 from quarry.llm.urls import Rule, filter_urls
@@ -26,6 +27,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(_table(spark, sf_dir, "documents"), 24, scratch_path(spark, "slot-map"))
 
@@ -44,6 +49,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_sharding": op4_sharding,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_url_filters": op9_url_filters,
