@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import round_trip
 from quarry.llm.decontam import contamination
 from quarry.llm.embeddings import near_duplicate_vectors
+from quarry.llm.langid import identify, train
 from quarry.llm.minhash import near_duplicates
 from quarry.llm.sharding import assign
 from quarry.llm.urls import Rule, filter_urls
@@ -35,6 +36,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(_table(spark, sf_dir, "documents"), 24, scratch_path(spark, "slot-map"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
@@ -51,6 +57,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_sharding": op4_sharding,
+    "op5_language_id": op5_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
