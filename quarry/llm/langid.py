@@ -36,6 +36,7 @@ def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         out[1:][capital] += 0x20
     keep = out != 0x20
     keep[1:] |= out[:-1] != 0x20
+    keep[offsets[:-1][np.diff(offsets) > 0]] = True  # rows don't depend on the row before
     places = np.concatenate([[0], np.cumsum(keep)])
     return out[keep], places[offsets]
 
