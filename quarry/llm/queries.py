@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import round_trip
 from quarry.llm.decontam import contamination
 from quarry.llm.embeddings import near_duplicate_vectors
+from quarry.llm.html import main_text
 from quarry.llm.langid import identify, train
 from quarry.llm.minhash import near_duplicates
 from quarry.llm.sharding import assign
@@ -45,6 +46,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_language_id": op5_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_url_filters": op9_url_filters,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
