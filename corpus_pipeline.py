@@ -2,27 +2,66 @@
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and is written as Parquet
 to the shared checkpoint folder and read again as the next one's ``docs``.
+All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.bpe import decode, encode, load_ranks
+from quarry.llm.decontam import drop_contaminated
+from quarry.llm.langid import keep_identified, train
 from quarry.llm.minhash import near_duplicates
+from quarry.llm.substring import remove_passages, repeated_passages
 from quarry.session import scratch_path
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go. The network learns from the
+    labelled part of what the stage is given."""
+    return keep_identified(docs, train(docs))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the
-    smallest doc_id. Documents with no words and rows without a doc_id stay."""
-    judged = near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id")
-    return docs.join(judged.distinct(), "doc_id", "left_anti").select(docs.columns)
+    smallest doc_id (once, if its row is repeated). Rows without a doc_id stay."""
+    gone = near_duplicates(docs, percent=80).where("not kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that repeat an earlier document's are cut out."""
+    cut = remove_passages(docs, repeated_passages(docs))
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows cover 5 % of the words or more go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the
+    digests of ids and of the bytes they decode to."""
+    ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return decode(encode(docs, ranks), ranks).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
 
-STAGES = [("minhash_near_dedup", near_dedup)]
+STAGES = [
+    ("language_id", language_id),
+    ("minhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_encoding", bpe_encoding),
+]
 
-#: Shingle similarity, trained models and tokenizers are not SQL; the stages are tested by brute force.
+#: A trained network, signatures and a tokenizer are not SQL; each stage is tested against brute force.
 ORACLE_SQL = None
 
 

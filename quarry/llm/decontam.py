@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.tokens import ALNUM, binary_array, bounds, mix, row_ids, slices, words
+from quarry.llm.tokens import ALNUM, bounds, row_ids, slices, words
 
 MAX_BENCHMARK_BYTES = 256 << 20
 
@@ -201,6 +201,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, with_
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_judge(shared, with_spans), schema)
 
 
+def _drop(shared):
+    def drop(batches):
+        for batch in slices(batches, "text"):
+            counts, n_hit, *_ = _judge_rows(shared.value, batch.column("text"))
+            yield batch.filter(pa.array((n_hit == 0) | (20 * n_hit < counts)))
+    return drop
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
+    """The rows of docs that contamination() doesn't call contaminated."""
+    shared = docs.sparkSession.sparkContext.broadcast(build_automaton(benchmark.select("item_id", "text"), window))
+    return docs.mapInArrow(_drop(shared), docs.schema)
+
+
 def _cut(shared, names: list[str], max_share: float):
     def cut(batches):
         machine = shared.value

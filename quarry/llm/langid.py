@@ -177,34 +177,53 @@ def train(docs: DataFrame, per_language: int = 1000, piece: int = 2048, seed: in
     return network
 
 
+def judge(column: pa.Array, network: ByteNetwork | None) -> tuple[list, np.ndarray]:
+    """(language, score) of each text of a column."""
+    data, offsets = flat(column)
+    folded, at = normalise(data, offsets)
+    letters = np.concatenate([[0], np.cumsum((folded >= 0x61) & (folded <= 0x7A))])
+    has_letter = letters[at[1:]] > letters[at[:-1]]
+    high = np.concatenate([[0], np.cumsum(folded >= 0x80)])
+    for i in np.flatnonzero(~has_letter & (high[at[1:]] > high[at[:-1]])):
+        has_letter[i] = any(map(str.isalpha, column[int(i)].as_py()))
+    lang, score = ["und"] * len(column), np.zeros(len(column))
+    if network is not None:
+        grid, row, length = windows(folded, at)
+        p = network.probabilities(grid) * length[:, None]
+        total = np.zeros((len(column), len(network.languages)))
+        np.add.at(total, row, p)
+        total /= np.maximum(np.bincount(row, length, len(column)), 1)[:, None]
+        best = total.argmax(axis=1)
+        for i in np.flatnonzero(has_letter):
+            lang[i] = network.languages[best[i]]
+            score[i] = min(1.0, total[i, best[i]])
+    return lang, score
+
+
 def _predict(shared):
     def predict(batches):
-        network = shared.value
         for batch in slices(batches, "text", 1 << 20):
-            column = batch.column("text")
-            data, offsets = flat(column)
-            folded, at = normalise(data, offsets)
-            letters = np.concatenate([[0], np.cumsum((folded >= 0x61) & (folded <= 0x7A))])
-            has_letter = letters[at[1:]] > letters[at[:-1]]
-            high = np.concatenate([[0], np.cumsum(folded >= 0x80)])
-            for i in np.flatnonzero(~has_letter & (high[at[1:]] > high[at[:-1]])):
-                has_letter[i] = any(map(str.isalpha, column[int(i)].as_py()))
-            lang, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
-            if network is not None:
-                grid, row, length = windows(folded, at)
-                p = network.probabilities(grid) * length[:, None]
-                total = np.zeros((batch.num_rows, len(network.languages)))
-                np.add.at(total, row, p)
-                total /= np.maximum(np.bincount(row, length, batch.num_rows), 1)[:, None]
-                best = total.argmax(axis=1)
-                for i in np.flatnonzero(has_letter):
-                    lang[i] = network.languages[best[i]]
-                    score[i] = min(1.0, total[i, best[i]])
+            lang, score = judge(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                                              names=["doc_id", "held_out", "lang_pred", "score"])
     return predict
 
 
+def _keep(shared, min_score: float):
+    def keep(batches):
+        for batch in slices(batches, "text", 1 << 20):
+            lang, score = judge(batch.column("text"), shared.value)
+            yield batch.filter(pa.array((np.array(lang) != "und") & (score >= min_score)))
+    return keep
+
+
+def keep_identified(docs: DataFrame, network: ByteNetwork | None, min_score: float = 0.35) -> DataFrame:
+    """The rows of docs whose text has a language: those that identify() calls
+    ``und`` go, and those whose best language has less than ``min_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+    return docs.mapInArrow(_keep(shared, min_score), docs.schema)
+
+
 def identify(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score per row of docs (doc_id, text).
 

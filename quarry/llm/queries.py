@@ -10,8 +10,10 @@ from quarry.llm.decontam import contamination
 from quarry.llm.embeddings import near_duplicate_vectors
 from quarry.llm.html import main_text
 from quarry.llm.langid import identify, train
+from quarry.llm.lm import score_by_quality
 from quarry.llm.minhash import near_duplicates
 from quarry.llm.sharding import assign
+from quarry.llm.substring import repeated_passages
 from quarry.llm.urls import Rule, filter_urls
 from quarry.session import scratch_path
 
@@ -29,6 +31,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
 
@@ -42,6 +48,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_by_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
@@ -60,9 +70,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_sharding": op4_sharding,
     "op5_language_id": op5_language_id,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_url_filters": op9_url_filters,
