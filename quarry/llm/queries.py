@@ -13,6 +13,7 @@ from quarry.llm.langid import identify, train
 from quarry.llm.lm import score_by_quality
 from quarry.llm.minhash import near_duplicates
 from quarry.llm.sharding import assign
+from quarry.llm.sql import OP3, OP7, OP9, OP10
 from quarry.llm.substring import repeated_passages
 from quarry.llm.urls import Rule, filter_urls
 from quarry.session import scratch_path
@@ -81,4 +82,10 @@ QUERIES = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-SQL: dict[str, str] = {}
+#: The others train a model, hash into slots or use a tokenizer: they are tested by brute force.
+SQL = {
+    "op3_embedding_near_dedup": OP3,
+    "op7_minhash_near_dedup": OP7,
+    "op9_url_filters": OP9,
+    "op10_benchmark_decontamination": OP10,
+}
