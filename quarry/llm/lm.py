@@ -176,5 +176,6 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 def score_by_quality(docs: DataFrame, labels: DataFrame, size: int = WORDS) -> DataFrame:
     """score() with the documents that labels (doc_id, quality) gives quality 1 as the target."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id")
+    # a shuffle join whatever the labels' size: texts meet labels that grow with them
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").hint("merge")
     return score(docs, fit(docs, docs.join(good, "doc_id", "left_semi"), size))
