@@ -27,6 +27,7 @@ __all__ = [
     "salary_band",
     "fixed_round",
     "seconds_to_minutes",
+    "epoch_to_timestamp",
     "safe_cast",
     "in_list",
     "TRIP_TEXT_FORMAT",
@@ -159,21 +160,32 @@ def salary_band(c: str | Column, width: float = 10_000) -> Column:
     return F.round(col_of(c) / F.lit(float(width))).cast("int")
 
 
-def fixed_round(c: str | Column, digits: int) -> Column:
-    """``floor(c * 10^d + 0.5) / 10^d`` as double.
+def fixed_round(c: str | Column, digits: int | None) -> Column:
+    """``floor(c * 10^d + 0.5) / 10^d`` as double; unrounded if digits is None.
 
     A rounding that every engine computes bit-identically from the same
     double (no decimal-string detour), used for reporting aggregates whose
-    last bits depend on addition order.
+    last bits depend on addition order. NaN, infinities and values of which
+    ``c * 10^d`` reaches 2^53 have no such digits and are returned unchanged.
     """
-    scale = float(10 ** digits)
-    return (F.floor(col_of(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    x = col_of(c).cast("double")
+    if digits is None:
+        return x
+    scale = F.lit(float(10 ** digits))
+    return F.when(F.abs(x * scale) >= F.lit(float(2 ** 53)), x) \
+        .otherwise((F.floor(x * scale + F.lit(0.5)) / scale).cast("double"))
 
 
 def seconds_to_minutes(c: str | Column, digits: int | None = None) -> Column:
-    """Native minutes from seconds (the fast path for the reference's UDF)."""
-    minutes = col_of(c).cast("double") / F.lit(60.0)
-    return minutes if digits is None else F.round(minutes, digits)
+    """Minutes from seconds, rounded by ``fixed_round`` if digits are given."""
+    return fixed_round(col_of(c).cast("double") / F.lit(60.0), digits)
+
+
+def epoch_to_timestamp(c: str | Column) -> Column:
+    """Seconds since 1970-01-01 to the ``timestamp_ntz`` of that UTC wall time
+    (the inverse of ``epoch_seconds``, whatever the session time zone)."""
+    return F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)) \
+        + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col_of(c))
 
 
 def safe_cast(c: str | Column, dtype: str) -> Column:

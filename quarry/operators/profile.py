@@ -11,10 +11,12 @@ separate fields.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
 from quarry.functions.scalar import fixed_round
 
@@ -31,12 +33,13 @@ def _ref(name: str | None, sql_type: str) -> str:
     return f"cast({_ident(name)} as {sql_type})" if name else f"cast(null as {sql_type})"
 
 
-def column_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+def column_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = None) -> DataFrame:
     """count, nulls, mean, stddev, min and max of every column, one scan.
 
     Output: column_name, ordinal, non_null, nulls, mean, stddev, min_num,
     max_num, min_text, max_text (numeric columns fill the ``*_num`` and
-    moment fields, other columns the ``*_text`` fields).
+    moment fields, other columns the ``*_text`` fields). Min and max are
+    taken in the column's own type; ``digits`` rounds mean and stddev.
     """
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
@@ -50,8 +53,7 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int
                      F.max(c).cast("double").alias(p + "max")]
             stats = [p + "mean", p + "sd", p + "min", p + "max", None, None]
         else:
-            text = c if isinstance(f.dataType, StringType) else c.cast("string")
-            aggs += [F.min(text).alias(p + "tmin"), F.max(text).alias(p + "tmax")]
+            aggs += [F.min(c).cast("string").alias(p + "tmin"), F.max(c).cast("string").alias(p + "tmax")]
             stats = [None, None, None, None, p + "tmin", p + "tmax"]
         mean, sd, mn, mx, tmin, tmax = stats
         rows.append(", ".join([
@@ -65,137 +67,184 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
-                    buckets: int = 1024, final_rows: int = 4096, max_rounds: int = 12) -> DataFrame:
-    """Exact linear-interpolation quantiles (SQL ``quantile_cont``) by a
-    distributed radix select. Returns (column_name, p_index, value).
+                    accuracy: int = 10_000, buckets: int = 1024, final_rows: int = 4096) -> DataFrame:
+    """Exact linear-interpolation quantiles (SQL ``quantile_cont``) by
+    distributed selection. Returns (column_name, p_index, value).
 
     Spark's exact ``percentile`` keeps a map of every distinct value and
     merges it in one task, which does not hold for high-cardinality columns
-    at scale. Here every pass is one scan with a small aggregate:
-
-    * pass 0: count, min and max of every column;
-    * each round: the values inside each open range are counted in
-      ``buckets`` equal-width buckets, with the min and max per bucket (at
-      most ranges x buckets result rows); for every target rank the driver
-      keeps the bucket holding it, adds the counts of the buckets before
-      it, and narrows the range to the values of that bucket. Later rounds
-      test membership with the same bucket expressions, so no value can
-      fall between ranges. Targets sharing a range share its scan entry;
-    * a range whose min equals its max is all ties: the value is known;
-    * last pass: ranges with at most ``final_rows`` rows (or still open
-      after ``max_rounds``) are counted per distinct value and the exact
-      rank is read off.
-
-    A value held by a third of all rows is one (value, count) pair, so hot
-    values cost nothing extra. Memory per task and on the driver is bounded
-    by ranges x max(buckets, final_rows) whatever the row count.
+    at scale. Here each target rank has an open interval of values that
+    holds it, and every round narrows the interval until at most
+    ``final_rows`` rows are inside; those are counted per distinct value
+    and the rank is read off. Two ways to narrow, by type:
+
+    * doubles, by row count: ``percentile_approx`` inside the interval
+      gives an edge just below and one just above the rank, and one scan
+      counts the rows below, at and between the edges. A round leaves about
+      2 / accuracy of the rows whatever their spread, and always at least
+      the edges themselves fewer. Comparisons are native, so infinities and
+      NaN (the largest value) keep Spark's order;
+    * integers and decimals, by value: the interval is cut into ``buckets``
+      parts of equal width in integer arithmetic, so values beyond 2^53 are
+      exact and the rounds end with the bits of the type.
+
+    A value held by many rows is answered by its own count. What reaches the
+    driver is bounded by targets x max(buckets, final_rows) rows a round.
     """
     spark = df.sparkSession
-    xs = [F.col(_ident(c)).cast("double") for c in cols]
+    xs, scales, whole = [], [], []
+    for c in cols:
+        kind = df.schema[c].dataType
+        whole.append(isinstance(kind, (IntegralType, DecimalType)))
+        scales.append(kind.scale if isinstance(kind, DecimalType) else 0)
+        x = F.col(_ident(c))
+        if whole[-1]:  # the unscaled number; a shift of the point, not a rounding
+            x = (x * F.lit(Decimal(10) ** scales[-1]) if scales[-1] else x).cast("decimal(38,0)")
+        xs.append(x if whole[-1] else x.cast("double"))
     head = df.agg(*[agg for i, x in enumerate(xs) for agg in (
-        F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
-
-    # target (column index, rank) -> state; a range is (column index, chain)
-    targets: dict[tuple[int, int], dict] = {}
-    wanted = []  # (column index, p index, rank lo, rank hi, frac)
-    empty = []   # (column index, p index) of columns without a non-null value
+        F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+        F.count(x if whole[i] else F.when(~F.isnan(x), x)).alias(f"m{i}"))]).first()
+
+    # a target (column index, rank) is known, or has an interval lo <(=) x <(=) hi
+    # with the rows below it and inside it; ends are inclusive only at the start
+    known: dict[tuple[int, int], object] = {}
+    open_: dict[tuple[int, int], _Interval] = {}
+    wanted, empty = [], []
     for i in range(len(cols)):
-        n = int(head[f"n{i}"])
-        if n == 0:
-            empty += [(i, j) for j in range(len(probs))]
-            continue
+        n, m = int(head[f"n{i}"]), int(head[f"m{i}"])
         for j, p in enumerate(probs):
+            if n == 0:
+                empty.append((cols[i], j, None))
+                continue
             h = (n - 1) * float(p)
             r_lo = int(h // 1)
             r_hi = min(r_lo + 1, n - 1) if h > r_lo else r_lo
             wanted.append((i, j, r_lo, r_hi, h - r_lo))
             for r in (r_lo, r_hi):
-                targets.setdefault((i, r), {"chain": (), "lo": float(head[f"lo{i}"]),
-                                            "hi": float(head[f"hi{i}"]), "below": 0, "count": n})
-
-    def in_range(i: int, chain) -> Column:
-        cond = xs[i].isNotNull()
-        for lo, width, b in chain:
-            cond = cond & (_bucket(xs[i], lo, width, buckets) == b)
-        return cond
-
-    def ranges_of(ts):
-        """Distinct ranges of the given targets -> (range id, its state)."""
-        out = {}
-        for t in ts:
-            st = targets[t]
-            out.setdefault((t[0], st["chain"]), st)
-        return {key: (k, st) for k, (key, st) in enumerate(out.items())}
-
-    def scan(ranges, value_of) -> list:
-        entries = F.array(*[F.when(in_range(i, chain), F.struct(F.lit(k).alias("t"), *value_of(i, st)))
-                            for (i, chain), (k, st) in ranges.items()])
-        return df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
-
-    for _ in range(max_rounds):
-        open_t = [t for t, st in targets.items() if st["count"] > final_rows and st["hi"] > st["lo"]]
-        if not open_t:
+                if r >= m:
+                    known[i, r] = float("nan")
+                else:
+                    open_[i, r] = _Interval(int(head[f"lo{i}"]) if whole[i] else None, int(head[f"hi{i}"]) if whole[i] else None, 0, m)
+
+    def inside(i: int, at: _Interval) -> Column:
+        x = xs[i]
+        if whole[i]:
+            return (x >= F.lit(Decimal(at.lo))) & (x <= F.lit(Decimal(at.hi)))
+        cond = x.isNotNull() & ~F.isnan(x)
+        if at.lo is not None:
+            cond = cond & (x > F.lit(at.lo))
+        return cond & (x < F.lit(at.hi)) if at.hi is not None else cond
+
+    while True:
+        for t in [t for t, at in open_.items() if at.lo is not None and at.lo == at.hi and whole[t[0]]]:
+            known[t] = open_.pop(t).lo
+        todo = {t: at for t, at in open_.items() if at.count > final_rows}
+        if not todo:
             break
-        ranges = ranges_of(open_t)
-        rows = (scan(ranges, lambda i, st: [
-                    _bucket(xs[i], st["lo"], _width(st, buckets), buckets).alias("b"), xs[i].alias("x")])
-                .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"),
-                                       F.max("x").alias("mx"))
-                .collect())
-        counts: dict[int, list] = {}
-        for r in rows:
-            counts.setdefault(r["t"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-        for t in open_t:
-            st = targets[t]
-            k, _ = ranges[(t[0], st["chain"])]
-            width, seen = _width(st, buckets), st["below"]
-            for b, c, mn, mx in sorted(counts.get(k, [])):
-                if seen + c > t[1]:
-                    # narrow to the bucket, and to the values actually in it
-                    targets[t] = {"chain": st["chain"] + ((st["lo"], width, b),), "below": seen,
-                                  "count": c, "lo": float(mn), "hi": float(mx)}
-                    break
-                seen += c
-
-    # a range whose min equals its max holds ties only: the value is known
-    value_at = {t: st["lo"] for t, st in targets.items() if st["hi"] <= st["lo"]}
-    rest = [t for t in targets if t not in value_at]
-    if rest:
-        ranges = ranges_of(rest)
-        rows = (scan(ranges, lambda i, st: [xs[i].alias("v")])
+        before = dict(open_)
+        _narrow_whole(df, xs, {t: at for t, at in todo.items() if whole[t[0]]}, open_, inside, buckets)
+        _narrow_doubles(df, xs, {t: at for t, at in todo.items() if not whole[t[0]]}, open_, known, inside, accuracy)
+        if open_ == before:
+            raise RuntimeError("the rows changed between two scans of the quantiles' input")
+
+    if open_:
+        groups = list(dict.fromkeys((t[0], at) for t, at in open_.items()))
+        entries = F.array(*[F.when(inside(i, at), F.struct(F.lit(k).alias("t"), xs[i].cast("decimal(38,0)" if whole[i] else "double").cast("string").alias("v")))
+                            for k, (i, at) in enumerate(groups)])
+        rows = (df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
                 .groupBy("t", "v").agg(F.count(F.lit(1)).alias("c")).collect())
-        hist: dict[int, list] = {}
+        read: dict[int, list] = {}
         for r in rows:
-            hist.setdefault(r["t"], []).append((r["v"], r["c"]))
-        for t in rest:
-            st = targets[t]
-            k, _ = ranges[(t[0], st["chain"])]
-            seen = st["below"]
-            for v, c in sorted(hist.get(k, [])):
+            read.setdefault(r["t"], []).append((int(r["v"]) if whole[groups[r["t"]][0]] else float(r["v"]), r["c"]))
+        for t, at in open_.items():
+            seen = at.below
+            for v, c in sorted(read[groups.index((t[0], at))]):
                 if seen + c > t[1]:
-                    value_at[t] = v
+                    known[t] = v
                     break
                 seen += c
-    out = [(cols[i], j, value_at[(i, r_lo)] + frac * (value_at[(i, r_hi)] - value_at[(i, r_lo)]))
-           for i, j, r_lo, r_hi, frac in wanted]
-    out += [(cols[i], j, None) for i, j in empty]
-    return spark.createDataFrame(out, "column_name string, p_index int, value double")
 
+    def value(i, r_lo, r_hi, frac):
+        lo, hi = known[i, r_lo], known[i, r_hi]
+        if lo == hi or frac == 0:
+            return float(Decimal(lo).scaleb(-scales[i])) if whole[i] else lo
+        if whole[i]:
+            lo, hi = (float(Decimal(v).scaleb(-scales[i])) for v in (lo, hi))
+        return lo + frac * (hi - lo)
 
-def _width(st: dict, buckets: int) -> float:
-    return (st["hi"] - st["lo"]) / buckets
+    out = [(cols[i], j, value(i, r_lo, r_hi, frac)) for i, j, r_lo, r_hi, frac in wanted] + empty
+    return spark.createDataFrame(out, "column_name string, p_index int, value double")
 
 
-def _bucket(x: Column, lo: float, width: float, buckets: int) -> Column:
-    """Bucket index 0..buckets-1 of x in [lo, lo + buckets * width]."""
-    if width <= 0:
-        return F.lit(0).cast("long")
-    b = F.floor((x - F.lit(lo)) / F.lit(width))
-    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1)).cast("long")
+@dataclass(frozen=True)
+class _Interval:
+    """Values between lo and hi (both outside for doubles, both inside for whole numbers)."""
+    lo: float | int | None
+    hi: float | int | None
+    below: int
+    count: int
+
+
+def _narrow_whole(df, xs, todo, open_, inside, buckets: int) -> None:
+    """One round for whole numbers: counts per equal-width bucket of each interval."""
+    if not todo:
+        return
+    groups = list(dict.fromkeys((t[0], at) for t, at in todo.items()))
+    widths = [-(-(at.hi - at.lo + 1) // buckets) for _, at in groups]
+    def bucket(i, at, width):  # exact: the rest is taken off before the division
+        over = (xs[i] - F.lit(Decimal(at.lo))).cast("decimal(38,0)")
+        return ((over - over % F.lit(Decimal(width))) / F.lit(Decimal(width))).cast("int")
+
+    entries = F.array(*[F.when(inside(i, at), F.struct(F.lit(k).alias("t"), bucket(i, at, widths[k]).alias("b")))
+                        for k, (i, at) in enumerate(groups)])
+    rows = (df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+            .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c")).collect())
+    for t, at in todo.items():
+        k = groups.index((t[0], at))
+        seen = at.below
+        for b, c in sorted((r["b"], r["c"]) for r in rows if r["t"] == k):
+            if seen + c > t[1]:
+                lo = at.lo + b * widths[k]
+                open_[t] = _Interval(lo, min(lo + widths[k] - 1, at.hi), seen, c)
+                break
+            seen += c
+
+
+def _narrow_doubles(df, xs, todo, open_, known, inside, accuracy: int) -> None:
+    """One round for doubles: two approximate edges around each rank, then exact counts."""
+    if not todo:
+        return
+    aggs = []
+    for k, (t, at) in enumerate(todo.items()):
+        share, slack = (t[1] - at.below + 0.5) / at.count, 1.5 / accuracy
+        ends = [F.lit(min(1.0, max(0.0, share + side))) for side in (-slack, slack)]
+        aggs.append(F.percentile_approx(F.when(inside(t[0], at), xs[t[0]]), F.array(*ends), F.lit(accuracy)).alias(f"e{k}"))
+    edges = df.agg(*aggs).first()
+    counts = []
+    for k, (t, at) in enumerate(todo.items()):
+        x, (a, b) = F.when(inside(t[0], at), xs[t[0]]), edges[f"e{k}"]
+        counts += [F.count(F.when(cond, 1)).alias(f"{name}{k}") for name, cond in (
+            ("under", x < F.lit(a)), ("a", x == F.lit(a)), ("mid", (x > F.lit(a)) & (x < F.lit(b))), ("b", (x == F.lit(b)) & F.lit(a != b)))]
+    row = df.agg(*counts).first()
+    for k, (t, at) in enumerate(todo.items()):
+        a, b = edges[f"e{k}"]
+        parts = [(at.lo, a, row[f"under{k}"]), (a, a, row[f"a{k}"]), (a, b, row[f"mid{k}"]), (b, b, row[f"b{k}"])]
+        seen = at.below
+        for place, (lo, hi, c) in enumerate(parts):
+            if seen + c > t[1]:
+                if place in (1, 3):
+                    known[t] = lo
+                    del open_[t]
+                else:
+                    open_[t] = _Interval(lo, hi, seen, c)
+                break
+            seen += c
+        else:
+            open_[t] = _Interval(b, at.hi, seen, at.count - (seen - at.below))
 
 
 def column_quartiles(df: DataFrame, cols: Sequence[str], *, exact: bool = True,
-                     accuracy: int = 10_000, digits: int = 6) -> DataFrame:
+                     accuracy: int = 10_000, digits: int | None = None) -> DataFrame:
     """25th, 50th and 75th percentile of numeric columns, long form.
 
     ``exact=True``: linear interpolation between closest ranks (equal to

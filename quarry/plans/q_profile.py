@@ -31,10 +31,12 @@ def _profile_sql(tbl: str, cols) -> str:
 
 @query("column_profile", ops=("G10", "G12", "D07"), sql=_profile_sql("customer", _CUSTOMER_COLS))
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return P.column_profile(table(spark, sf, "customer"))
+    return P.column_profile(table(spark, sf, "customer"), digits=6)
 
 
-_QUARTILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# every numeric column of lineitem
+_QUARTILE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                  "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("column_quartiles", ops=("G11",), sql="\nUNION ALL\n".join(
@@ -42,7 +44,7 @@ _QUARTILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f"{fixed_sql(f'quantile_cont({c}, 0.5)', 6)} AS median, "
     f"{fixed_sql(f'quantile_cont({c}, 0.75)', 6)} AS q3 FROM lineitem" for c in _QUARTILE_COLS))
 def column_quartiles(spark: SparkSession, sf: str) -> DataFrame:
-    return P.column_quartiles(table(spark, sf, "lineitem"), _QUARTILE_COLS, exact=True)
+    return P.column_quartiles(table(spark, sf, "lineitem"), _QUARTILE_COLS, exact=True, digits=6)
 
 
 # lineitem's columns with their Spark type names, in order.

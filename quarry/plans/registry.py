@@ -34,5 +34,5 @@ def query(name: str, *, sql: str | None, ops: tuple[str, ...], writes: bool = Fa
 
 def fixed_sql(expr: str, digits: int) -> str:
     """SQL twin of ``quarry.functions.fixed_round``."""
-    scale = f"{10 ** digits}.0"
-    return f"(floor(({expr}) * {scale} + 0.5) / {scale})"
+    x, scale = f"CAST({expr} AS DOUBLE)", f"{10 ** digits}.0"
+    return f"(CASE WHEN abs({x} * {scale}) >= 9007199254740992.0 THEN {x} ELSE floor({x} * {scale} + 0.5) / {scale} END)"

@@ -21,7 +21,7 @@ def test_exact_quantiles_match_numpy(spark, vals):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     # tiny bucket and final sizes force several narrowing rounds
-    got = {r.p_index: r.value for r in P.exact_quantiles(df, ["x"], probs, buckets=4, final_rows=3).collect()}
+    got = {r.p_index: r.value for r in P.exact_quantiles(df, ["x"], probs, accuracy=4, final_rows=3).collect()}
     want = _np_quantiles(vals, probs)
     for j, w in enumerate(want):
         assert abs(got[j] - w) <= 1e-9 * max(1.0, abs(w))
@@ -44,7 +44,7 @@ def test_approx_quartiles_option(spark):
 
 def test_column_profile_typed(spark):
     df = spark.createDataFrame([(1, "a", 2.5), (3, None, None), (None, "c", 4.5)], "i int, s string, d double")
-    rows = {r.column_name: r for r in P.column_profile(df).collect()}
+    rows = {r.column_name: r for r in P.column_profile(df, digits=6).collect()}
     assert rows["i"].non_null == 2 and rows["i"].nulls == 1 and rows["i"].mean == 2.0
     assert rows["i"].min_num == 1.0 and rows["i"].max_num == 3.0 and rows["i"].min_text is None
     assert rows["s"].min_text == "a" and rows["s"].max_text == "c" and rows["s"].mean is None
@@ -82,3 +82,50 @@ def test_quartiles_of_an_all_null_column(spark):
     rows = {r.column_name: r for r in P.column_quartiles(df, ["a", "b"]).collect()}
     assert rows["a"].median == 1.5
     assert rows["b"].q1 is None and rows["b"].median is None and rows["b"].q3 is None
+
+
+def _spark_percentile(df, col, probs):
+    row = df.selectExpr(*[f"percentile({col}, {p}) as p{j}" for j, p in enumerate(probs)]).first()
+    return [row[f"p{j}"] for j in range(len(probs))]
+
+
+def test_quantiles_of_nan_infinities_and_wide_spreads(spark):
+    nan, inf = float("nan"), float("inf")
+    spread = [10.0 ** (e / 7) for e in range(-2100, 2101)]
+    for vals in ([nan] + [float(i) for i in range(1000)], [inf, -inf] + [float(i) for i in range(1000)], [nan] * 300 + [inf] * 300 + [5.0] * 400,
+                 spread, [7.0] * 500 + spread, [-0.0, 0.0, 1e-320, -1e-320] * 50):
+        df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
+        probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+        got = {r.p_index: r.value for r in P.exact_quantiles(df, ["x"], probs, accuracy=20, final_rows=8).collect()}
+        for j, w in enumerate(_spark_percentile(df, "x", probs)):
+            assert repr(got[j]) == repr(w) or abs(got[j] - w) <= 1e-9 * abs(w), (j, got[j], w)
+
+
+def test_quantiles_of_big_integers_and_decimals(spark):
+    from decimal import Decimal
+    base = 2 ** 62
+    vals = sorted({base + (i * 7919) % 5003 for i in range(3000)} | {-base})
+    df = spark.createDataFrame([(v, Decimal(v) / 100) for v in vals], "x bigint, d decimal(22,2)").repartition(3)
+    rank = [0, 1000, len(vals) - 1]
+    probs = [r / (len(vals) - 1) for r in rank]
+    got = P.exact_quantiles(df, ["x", "d"], probs, buckets=8, final_rows=4).collect()
+    for r in got:
+        want = vals[rank[r.p_index]]
+        assert r.value == float(want if r.column_name == "x" else Decimal(want) / 100)
+
+
+def test_no_collect_is_larger_than_the_bound(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    sizes, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: sizes.append(len(out := collect(self))) or out)
+    spread = spark.range(20_000).selectExpr("pow(10, id / 40.0 - 250) as x", "id * 1000003 as i", "if(id = 3, double('inf'), id) as y", "if(id = 3, double('nan'), id) as z")
+    frame = P.exact_quantiles(spread, ["x", "i", "y", "z"], [0.25, 0.5], accuracy=100, buckets=64, final_rows=50)
+    assert sizes and max(sizes) <= 4 * 4 * 64
+    assert frame.count() == 8
+
+
+def test_profile_keeps_native_order_and_extremes(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(999, 1, 1), 1e14, float("nan")), (dt.datetime(2001, 1, 1), 1e14, 1.0)], "t timestamp_ntz, big double, odd double")
+    rows = {r.column_name: r for r in P.column_profile(df, digits=6).collect()}
+    assert rows["t"].min_text.startswith("0999") and rows["big"].mean == 1e14 and np.isnan(rows["odd"].mean)
