@@ -8,6 +8,7 @@ no per-row serialisation, no string results, nulls pass through as nulls.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,12 @@ from pyspark.sql.types import DoubleType
 
 
 def _minutes(seconds: pd.Series) -> pd.Series:
-    return seconds.astype("float64") / 60.0
+    # the rounding of fixed_round, so that both forms give the same digits
+    return np.floor(seconds.astype("float64") / 60.0 * 1000.0 + 0.5) / 1000.0
 
 
 minutes_udf = F.pandas_udf(_minutes, DoubleType())
-"""Seconds to minutes as a vectorised UDF; null in, null out."""
+"""Seconds to minutes with three decimals as a vectorised UDF; null in, null out."""
 
 
 def register_minutes_udf(spark: SparkSession, name: str = "to_minutes") -> str:

@@ -6,20 +6,22 @@ to the driver: the coefficients of a fitted model (one number per
 feature) and a scalar RMSE, exactly as Spark ML's own models do.
 
 * Category indexes are built from the distinct values of a column (a
-  small table, bounded by its cardinality), ranked there, and joined back;
-  the label table is broadcast only after its size is checked.
+  small table, bounded by its cardinality), ranked there, and joined back.
 * The train/test split hashes a key, so it does not depend on partition
   layout (``randomSplit`` draws per partition and changes when the
   input is repartitioned).
 * One-feature least squares is closed form (``regr_slope``/``regr_intercept``
-  in one pass). Multi-feature fits use ``pyspark.ml`` (normal equations or
-  OWL-QN, each iteration one distributed aggregation over cached rows).
+  in one pass). Multi-feature fits use ``pyspark.ml``: normal equations
+  (one pass for any elastic net, the iterations run on a small matrix), or
+  l-bfgs with one pass over persisted rows per iteration.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -31,7 +33,7 @@ from pyspark.storagelevel import StorageLevel
 
 from quarry.functions.scalar import fixed_round
 from quarry.operators.profile import _lit
-from quarry.operators.relational import broadcast_if_small, with_global_position
+from quarry.operators.relational import with_global_position
 
 # --------------------------------------------------------------------------- indexing
 
@@ -60,11 +62,11 @@ def fit_index(df: DataFrame, column: str, order: str = "frequencyDesc") -> DataF
 
 
 def apply_index(df: DataFrame, labels: DataFrame, column: str, out_col: str,
-                handle_invalid: str = "error", max_broadcast: int = 1_000_000) -> DataFrame:
+                handle_invalid: str = "error") -> DataFrame:
     """Map values to indexes. Values absent from ``labels`` (and nulls):
     ``error`` fails the job, ``keep`` maps them to ``len(labels)``,
-    ``skip`` drops the row."""
-    lab = broadcast_if_small(labels.withColumnRenamed("_index", out_col), max_broadcast)
+    ``skip`` drops the row. The join strategy is left to AQE."""
+    lab = labels.withColumnRenamed("_index", out_col)
     out = df.join(lab, on=column, how="left")
     if handle_invalid == "skip":
         return out.where(F.col(out_col).isNotNull())
@@ -125,13 +127,19 @@ def hash_bucket(key: str | Column, buckets: int = 10) -> Column:
 
 
 def hash_split(df: DataFrame, key: str, train_share: float = 0.8, buckets: int = 10,
-               col_name: str = "split") -> DataFrame:
+               col_name: str = "split", max_buckets: int = 1_000_000) -> DataFrame:
     """Label each row 'train' or 'test' from a hash of its key.
 
     The label depends only on the key, so it is the same for any partition
-    layout, any executor count and any rerun.
+    layout, any executor count and any rerun. ``buckets`` is raised to a
+    multiple that expresses the share exactly; a share that needs more than
+    ``max_buckets`` is refused.
     """
-    cut = round(train_share * buckets)
+    share = Fraction(str(train_share))
+    buckets = math.lcm(buckets, share.denominator)
+    if not 0 <= share <= 1 or buckets > max_buckets:
+        raise ValueError(f"train_share {train_share} is no share of at most {max_buckets} buckets")
+    cut = int(share * buckets)
     return df.withColumn(col_name, F.when(hash_bucket(key, buckets) < cut, F.lit("train"))
                          .otherwise(F.lit("test")))
 
@@ -140,15 +148,16 @@ def hash_split(df: DataFrame, key: str, train_share: float = 0.8, buckets: int =
 
 @dataclass(frozen=True)
 class LineFit:
-    slope: float
-    intercept: float
-    r2: float
+    """A fitted line; without two different feature values all but n are None."""
+    slope: float | None
+    intercept: float | None
+    r2: float | None
     n: int
-    rmse: float
+    rmse: float | None
 
     def predict(self, x: str | Column) -> Column:
         xc = F.col(x) if isinstance(x, str) else x
-        return F.lit(self.intercept) + F.lit(self.slope) * xc.cast("double")
+        return F.lit(self.intercept).cast("double") + F.lit(self.slope).cast("double") * xc.cast("double")
 
 
 def line_fit_frame(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -156,31 +165,32 @@ def line_fit_frame(df: DataFrame, x: str, y: str) -> DataFrame:
 
     The training RMSE comes from the same pass: for the least-squares
     line the residual sum of squares is Syy - Sxy^2 / Sxx (centred sums).
+    No rows, or a constant feature, give a null line.
     """
     yc, xc = F.col(y), F.col(x)
-    sse = F.regr_syy(yc, xc) - F.regr_sxy(yc, xc) * F.regr_sxy(yc, xc) / F.regr_sxx(yc, xc)
+    sse = F.regr_syy(yc, xc) - F.try_divide(F.regr_sxy(yc, xc) * F.regr_sxy(yc, xc), F.regr_sxx(yc, xc))
     return df.agg(F.regr_slope(yc, xc).alias("slope"),
                   F.regr_intercept(yc, xc).alias("intercept"),
                   F.regr_r2(yc, xc).alias("r2"),
                   F.regr_count(yc, xc).alias("n"),
-                  F.sqrt(F.greatest(sse, F.lit(0.0)) / F.regr_count(yc, xc)).alias("rmse"))
+                  F.sqrt(F.try_divide(F.when(sse.isNotNull(), F.greatest(sse, F.lit(0.0))), F.regr_count(yc, xc))).alias("rmse"))
 
 
 def fit_line(df: DataFrame, x: str, y: str) -> LineFit:
     """Fit and bring the four numbers of the model to the driver."""
     row = line_fit_frame(df, x, y).first()
-    return LineFit(float(row["slope"]), float(row["intercept"]), float(row["r2"]), int(row["n"]),
-                   float(row["rmse"]))
+    return LineFit(row["slope"], row["intercept"], row["r2"], int(row["n"]), row["rmse"])
 
 
 def fit_linear(df: DataFrame, features_col: str, label: str, *, max_iter: int = 100,
-               reg_param: float = 0.0, elastic_net: float = 0.0, solver: str = "auto",
-               persist: bool = True) -> LinearRegressionModel:
+               reg_param: float = 0.0, elastic_net: float = 0.0, solver: str = "normal") -> LinearRegressionModel:
     """``pyspark.ml`` linear regression (elastic net when ``reg_param > 0``).
 
-    Iterative solvers pass over the training rows once per iteration, so
-    the rows are persisted (memory, spilling to disk) for the fit.
+    ``normal`` makes one pass for the sums of products and solves on the
+    driver (up to 4,096 features). ``l-bfgs`` passes over the rows once per
+    iteration; only for it the rows are persisted.
     """
+    persist = solver == "l-bfgs"
     train = df.select(features_col, label)
     if persist:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
@@ -194,15 +204,14 @@ def fit_linear(df: DataFrame, features_col: str, label: str, *, max_iter: int =
 
 
 def model_frame(spark: SparkSession, model: LinearRegressionModel,
-                feature_names: Sequence[str], digits: int = 6) -> DataFrame:
+                feature_names: Sequence[str], digits: int | None = None) -> DataFrame:
     """Coefficients, intercept and training RMSE / R2 as a small frame."""
     s = model.summary
-    rows = [(n, "coefficient", float(round(c, digits))) for n, c in zip(feature_names, model.coefficients)]
-    rows += [("intercept", "intercept", float(round(model.intercept, digits))),
-             ("rmse", "metric", float(round(s.rootMeanSquaredError, digits))),
-             ("r2", "metric", float(round(s.r2, digits))),
-             ("iterations", "metric", float(s.totalIterations))]
-    return spark.createDataFrame(rows, "term string, kind string, value double")
+    rows = [(n, "coefficient", float(c)) for n, c in zip(feature_names, model.coefficients)]
+    rows += [("intercept", "intercept", float(model.intercept)), ("rmse", "metric", float(s.rootMeanSquaredError)),
+             ("r2", "metric", float(s.r2)), ("iterations", "metric", float(s.totalIterations))]
+    return spark.createDataFrame(rows, "term string, kind string, value double") \
+        .withColumn("value", fixed_round("value", digits))
 
 
 # --------------------------------------------------------------------------- evaluation
@@ -249,7 +258,7 @@ def residual_histogram(residuals: DataFrame, col: str = "Within_RMSE",
 
 
 def feature_label_corr(df: DataFrame, features: Sequence[str], label: str,
-                       digits: int = 6) -> DataFrame:
+                       digits: int | None = None) -> DataFrame:
     """Pearson correlation of each feature with the label, one scan, long form."""
     one = df.agg(*[fixed_round(F.corr(F.col(f).cast("double"), F.col(label).cast("double")), digits)
                    .alias(f"_{i}") for i, f in enumerate(features)])

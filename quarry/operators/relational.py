@@ -5,11 +5,10 @@ broadcast when the optimizer's size estimate is under
 ``spark.sql.autoBroadcastJoinThreshold``, skewed partitions split at run
 time. The helpers here add what the optimizer cannot know:
 
-* an explicit, *checked* broadcast for sides whose row count is bounded;
 * the rewrite of a disjunctive (OR) equi-join into one equi-join per
   disjunct, which avoids the nested-loop join Spark would plan for it;
-* the rewrite of a full outer join into a left join plus an anti join on
-  distinct keys, whose skewed partitions AQE can split;
+* the rewrite of right and full outer joins into an inner join plus anti
+  joins on distinct keys, whose skewed partitions AQE can split;
 * optional pre-aggregation of the many side of a many-to-many join, so a
   join key shared by many rows on both sides does not emit every pair.
 """
@@ -17,10 +16,14 @@ time. The helpers here add what the optimizer cannot know:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 JOIN_TYPES = {
     "inner": "inner",
     "left": "left",
@@ -30,24 +33,8 @@ JOIN_TYPES = {
     "anti": "left_anti",
 }
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
 # --------------------------------------------------------------------------- joins
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving the side has at most ``max_rows``.
-
-    The check is ``df.limit(max_rows + 1).count()``, which takes at most
-    ``max_rows + 1`` rows of the side's output from each task, so it stays
-    cheap when the side turns out large. Beyond the bound the frame is
-    returned unhinted and Spark plans a shuffle join. Pass a materialised
-    (checkpointed or cached) side when computing it is expensive.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_aliased(left: DataFrame, right: DataFrame, *, left_alias: str, right_alias: str,
                  on: Sequence[tuple[str, str]], how: str = "inner",
                  select: Mapping[str, str] | None = None) -> DataFrame:
@@ -124,34 +111,45 @@ def join_any_of(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     return out
 
 
-def full_outer_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Equi FULL OUTER JOIN as a left outer join plus the unmatched right rows.
+def outer_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "full") -> DataFrame:
+    """Equi RIGHT or FULL OUTER JOIN as an inner join plus the unmatched rows.
 
-    ``L FULL JOIN R`` equals ``(L LEFT JOIN R) UNION ALL (R ANTI JOIN keys(L))``
-    with L's columns null in the second part. AQE cannot split a skewed
-    partition of a full outer sort-merge join; it can for the left outer
-    join (left side) and the anti join, and the anti join only needs the
-    *distinct* left keys, so a key holding a third of the left rows is one
-    row there. Null keys never match, in both forms.
+    AQE splits a skewed partition only on the side whose rows an outer join
+    does not have to preserve, and never in a full outer join. It splits
+    both sides of an inner join and the left side of an anti join, so the
+    join is written as those: ``L JOIN R``, ``R ANTI JOIN keys(L)`` and, for
+    ``full``, ``L ANTI JOIN keys(R)``, the missing side's columns null. The
+    anti joins need only the *distinct* keys; these are checkpointed, since
+    AQE leaves a side alone that comes straight from an aggregate. The cost
+    is one more read of each input per part. Null keys never match.
     """
-    cond = None
-    for lc, rc in pairs:
-        term = left[lc] == right[rc]
-        cond = term if cond is None else cond & term
-    matched = left.join(right, cond, "left")
-    lkeys = left.select(*[F.col(lc).alias(f"_k{i}") for i, (lc, _) in enumerate(pairs)]).distinct()
-    anti_cond = None
-    for i, (_, rc) in enumerate(pairs):
-        term = right[rc] == lkeys[f"_k{i}"]
-        anti_cond = term if anti_cond is None else anti_cond & term
-    unmatched = right.join(lkeys, anti_cond, "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
-    return matched.unionByName(unmatched.select(*nulls, *right.columns))
+    if how not in ("right", "full"):
+        raise ValueError("how must be 'right' or 'full'")
+    ensure_checkpoint_dir(left.sparkSession)
+
+    def unmatched(side: DataFrame, own: list[str], other: DataFrame, keys: list[str]) -> DataFrame:
+        distinct = other.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct().checkpoint()
+        cond = reduce(and_, [side[c] == distinct[f"_k{i}"] for i, c in enumerate(own)])
+        return side.join(distinct, cond, "left_anti")
+
+    def nulls(df: DataFrame) -> list[Column]:
+        return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+
+    lkeys, rkeys = [lc for lc, _ in pairs], [rc for _, rc in pairs]
+    out = left.join(right, reduce(and_, [left[lc] == right[rc] for lc, rc in pairs]), "inner")
+    out = out.unionByName(unmatched(right, rkeys, left, lkeys).select(*nulls(left), *right.columns))
+    if how == "full":
+        out = out.unionByName(unmatched(left, lkeys, right, rkeys).select(*left.columns, *nulls(right)))
+    return out
 
 
 def pre_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Collapse the many side of a many-to-many join to one row per key."""
-    return df.groupBy(*keys).agg(*aggs)
+    """Collapse the many side of a many-to-many join to one row per key.
+
+    The result is checkpointed: a join with it gets its own shuffle of this
+    side, which AQE needs to split a hot key of the other side."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.groupBy(*keys).agg(*aggs).checkpoint()
 
 
 # --------------------------------------------------------------------------- aggregates

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import scalar as X
-from quarry.functions.udfs import minutes_udf, register_minutes_udf
+from quarry.functions.udfs import register_minutes_udf
+from quarry.operators.relational import with_global_position
 from quarry.plans.registry import fixed_sql, query
 from quarry.plans.standins import TRIPS_SQL, table, trips
 
@@ -24,12 +25,25 @@ def parse_trip_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("date_range_filter", ops=("F06", "X03"), sql=f"""
-SELECT Trip_ID, Start_Date FROM {TRIPS_SQL} t WHERE CAST(start_ts AS DATE) >= DATE '2024-01-15'""")
+SELECT Trip_ID, Duration, Start_Date, End_Date, "Bike_#", Subscriber_Type,
+       row_number() OVER (ORDER BY CAST(start_ts AS DATE), Trip_ID) AS position
+FROM {TRIPS_SQL} t WHERE CAST(start_ts AS DATE) >= DATE '2024-01-15'""")
 def date_range_filter(spark: SparkSession, sf: str) -> DataFrame:
     trips(spark, sf).createOrReplaceTempView("trips_view")
-    return spark.sql("""
-        SELECT Trip_ID, Start_Date FROM trips_view
-        WHERE to_date(Start_Date, 'M/d/yyyy H:m') >= to_date('2024/01/15', 'yyyy/MM/dd')""")
+    late = spark.sql("""
+        SELECT Trip_ID, Duration, Start_Date, End_Date, `Bike_#`, Subscriber_Type,
+               try_to_date(Start_Date, 'M/d/yyyy H:m') AS start_day FROM trips_view
+        WHERE try_to_date(Start_Date, 'M/d/yyyy H:m') >= DATE '2024-01-15'""")
+    # sorted on the date, not its text; the position makes the order part of the result
+    return with_global_position(late, [F.col("start_day").asc(), F.col("Trip_ID").asc()]).drop("start_day")
+
+
+@query("epoch_to_timestamp", ops=("X07",), sql="""
+SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds, date_trunc('second', ts) AS ts
+FROM events""")
+def epoch_to_timestamp(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events").select("event_id", X.epoch_seconds("ts").alias("seconds"))
+    return ev.withColumn("ts", X.epoch_to_timestamp("seconds"))
 
 
 @query("parse_compact_ts", ops=("X06", "X07", "B21"), sql="""
@@ -84,16 +98,15 @@ def offset_round(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("duration_minutes", ops=("V01", "B14"), sql=f"""
-SELECT Trip_ID, Duration / 60.0 AS DurationMins FROM {TRIPS_SQL} t""")
+SELECT Trip_ID, {fixed_sql('Duration / 60.0', 3)} AS DurationMins FROM {TRIPS_SQL} t""")
 def duration_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    # the reference's Python UDF, typed and vectorised (Arrow batches);
-    # X.seconds_to_minutes is the native equivalent used where no UDF is needed
+    # native; duration_minutes_sql runs the same rounding as a registered UDF
     t = trips(spark, sf)
-    return t.select("Trip_ID", minutes_udf(F.col("Duration")).alias("DurationMins"))
+    return t.select("Trip_ID", X.seconds_to_minutes("Duration", 3).alias("DurationMins"))
 
 
 @query("duration_minutes_sql", ops=("V02", "S11"), sql=f"""
-SELECT Trip_ID, Duration / 60.0 AS DurationMins, Start_Terminal FROM {TRIPS_SQL} t""")
+SELECT Trip_ID, {fixed_sql('Duration / 60.0', 3)} AS DurationMins, Start_Terminal FROM {TRIPS_SQL} t""")
 def duration_minutes_sql(spark: SparkSession, sf: str) -> DataFrame:
     register_minutes_udf(spark, "to_minutes")
     trips(spark, sf).createOrReplaceTempView("trips_view")

@@ -152,21 +152,27 @@ def count_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 # Service-level days per order priority, a local code list.
 PRIORITY_SLA = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 5), ("4-NOT SPECIFIED", 10),
                 ("5-LOW", 10)]
+# A day allowance per line number, keyed by text as local files are.
+LINE_DAYS = [(str(n), 2 * n) for n in range(1, 8)]
 
 
 @query("local_lookup_join", ops=("S13", "B24"), sql="""
-SELECT o.o_orderkey, o.o_orderpriority, l.sla_days
-FROM orders o JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 5),
-                           ('4-NOT SPECIFIED', 10), ('5-LOW', 10)) AS l(priority, sla_days)
-  ON o.o_orderpriority = l.priority""")
+SELECT l.l_orderkey, l.l_linenumber, d.days, o.o_orderpriority, p.sla_days
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 5), ('4-NOT SPECIFIED', 10), ('5-LOW', 10)) AS p(priority, sla_days)
+  ON o.o_orderpriority = p.priority
+JOIN (VALUES ('1', 2), ('2', 4), ('3', 6), ('4', 8), ('5', 10), ('6', 12), ('7', 14)) AS d(line, days)
+  ON CAST(l.l_linenumber AS VARCHAR) = d.line""")
 def local_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
-    pdf = pd.DataFrame(PRIORITY_SLA, columns=["priority", "sla_days"])
-    lookup = RD.from_local(spark, pdf, "priority string, sla_days int")
+    # fixed code lists of five and seven rows: broadcasting them is bounded by construction
+    sla = RD.from_local(spark, pd.DataFrame(PRIORITY_SLA, columns=["priority", "sla_days"]), "priority string, sla_days int")
+    days = RD.from_local(spark, pd.DataFrame(LINE_DAYS, columns=["line", "days"]), "line string, days int")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    # the lookup is a fixed five-row code list: broadcasting it is bounded by construction;
-    # both keys are compared as strings explicitly
-    j = o.join(F.broadcast(lookup), o.o_orderpriority.cast("string") == lookup.priority.cast("string"))
-    return j.select("o_orderkey", "o_orderpriority", "sla_days")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    # the line number is an int, the lookup's key text: the int is cast, so no key fails to parse
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(F.broadcast(sla), F.col("o_orderpriority") == sla.priority) \
+        .join(F.broadcast(days), F.col("l_linenumber").cast("string") == days.line)
+    return j.select("l_orderkey", "l_linenumber", "days", "o_orderpriority", "sla_days")
 
 
 @query("normalise_columns", ops=("P08", "S02", "K01", "B03"), writes=True, sql=f"""

@@ -176,7 +176,7 @@ def residual_histogram(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT '{f}' AS feature, {fixed_sql(f'corr({f}, {LABEL})', 6)} AS corr FROM lineitem"
     for f in FEATURES[:3]))
 def feature_label_corr(spark: SparkSession, sf: str) -> DataFrame:
-    return M.feature_label_corr(table(spark, sf, "lineitem"), FEATURES[:3], LABEL)
+    return M.feature_label_corr(table(spark, sf, "lineitem"), FEATURES[:3], LABEL, digits=6)
 
 
 # Solver settings of the reference's elastic-net model.
@@ -192,4 +192,4 @@ def elastic_net_fit(spark: SparkSession, sf: str) -> DataFrame:
     data = pipeline.transform(split)
     model = M.fit_linear(data.where(F.col("split") == "train"), "features", LABEL,
                          max_iter=EN_MAX_ITER, reg_param=EN_REG, elastic_net=EN_ELASTIC)
-    return M.model_frame(spark, model, FEATURES)
+    return M.model_frame(spark, model, FEATURES, digits=6)

@@ -130,7 +130,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
        l_discount, l_returnflag, l_linestatus, l_shipdate FROM lineitem""")
 def drop_columns(spark: SparkSession, sf: str) -> DataFrame:
     # names that do not exist are ignored, as in DataFrame.drop
-    return table(spark, sf, "lineitem").drop("l_tax", "user_id", "geo", "device")
+    return table(spark, sf, "lineitem").drop("l_tax", "no_such_column")
 
 
 # ------------------------------------------------------------------ joins
@@ -181,60 +181,55 @@ def join_multi_cond(spark: SparkSession, sf: str) -> DataFrame:
 SELECT e.event_id, c.c_custkey, c.c_name
 FROM events e JOIN customer c
   ON e.user_id = c.c_custkey
-  OR CAST(json_extract_string(e.props, '$.k') AS BIGINT) = c.c_custkey""")
+  OR TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) = c.c_custkey""")
 def join_or(spark: SparkSession, sf: str) -> DataFrame:
     # an event is attributed to a customer by its user id or by the id in its props
     e = table(spark, sf, "events").select(
-        "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("prop_k"))
+        "event_id", "user_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("prop_k"))
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
     out = R.join_any_of(e, c, [("user_id", "c_custkey"), ("prop_k", "c_custkey")])
     return out.select("event_id", "c_custkey", "c_name")
 
 
-def _open_orders(spark, sf):
-    return table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P") \
-        .select("o_orderkey", "o_custkey", "o_orderdate")
+# documents and labels, events and customers: whole tables with keys on either side only
 
+_DOC_JOIN_SQL = """
+SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d {kind} JOIN labels l ON d.doc_id = l.doc_id"""
 
-def _building_customers(spark, sf):
-    return table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING") \
-        .select("c_custkey", "c_name")
 
+@query("join_left", ops=("J05",), sql=_DOC_JOIN_SQL.format(kind="LEFT"))
+def join_left(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", "source")
+    return R.join_on_names(d, table(spark, sf, "labels"), ["doc_id"], "left").select("doc_id", "source", "quality", "toxic")
 
-_OUTER_SQL = """
-SELECT o.o_orderkey, o.o_custkey, c.c_custkey, c.c_name
-FROM (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P') o
-{kind} JOIN (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING') c
-  ON o.o_custkey = c.c_custkey"""
 
-
-def _outer(how):
-    def build(spark: SparkSession, sf: str) -> DataFrame:
-        o, c = _open_orders(spark, sf), _building_customers(spark, sf)
-        return R.join_on(o, c, o.o_custkey == c.c_custkey, how) \
-            .select("o_orderkey", "o_custkey", "c_custkey", "c_name")
-    return build
+@query("join_right", ops=("J06",), sql="""
+SELECT e.event_id, e.user_id, c.c_custkey, c.c_name
+FROM events e RIGHT JOIN customer c ON e.user_id = c.c_custkey""")
+def join_right(spark: SparkSession, sf: str) -> DataFrame:
+    # few users have many events each: written as inner + anti join so AQE can split them
+    e = table(spark, sf, "events").select("event_id", "user_id")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return R.outer_join(e, c, [("user_id", "c_custkey")], "right")
 
 
-query("join_left", ops=("J05",), sql=_OUTER_SQL.format(kind="LEFT"))(_outer("left"))
-query("join_right", ops=("J06",), sql=_OUTER_SQL.format(kind="RIGHT"))(_outer("right"))
-@query("join_full", ops=("J07",), sql=_OUTER_SQL.format(kind="FULL OUTER"))
+@query("join_full", ops=("J07",), sql="""
+SELECT c.c_custkey, c.c_nationkey, c.c_name, s.s_suppkey, s.s_nationkey, s.s_name
+FROM customer c FULL OUTER JOIN supplier s ON c.c_custkey = s.s_suppkey AND c.c_nationkey = s.s_nationkey""")
 def join_full(spark: SparkSession, sf: str) -> DataFrame:
-    # written as left join + anti join so AQE can split a hot customer key
-    o, c = _open_orders(spark, sf), _building_customers(spark, sf)
-    return R.full_outer_join(o, c, [("o_custkey", "c_custkey")]) \
-        .select("o_orderkey", "o_custkey", "c_custkey", "c_name")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name")
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_name")
+    return R.outer_join(c, s, [("c_custkey", "s_suppkey"), ("c_nationkey", "s_nationkey")], "full")
+
 
 _SEMI_SQL = """
-SELECT o_orderkey, o_custkey, o_orderdate FROM orders o
-WHERE o_orderstatus = 'P' AND {neg}EXISTS (
-  SELECT 1 FROM customer c WHERE c.c_mktsegment = 'BUILDING' AND c.c_custkey = o.o_custkey)"""
+SELECT doc_id, source FROM documents d WHERE {neg}EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
 
 
 def _semi(how):
     def build(spark: SparkSession, sf: str) -> DataFrame:
-        o, c = _open_orders(spark, sf), _building_customers(spark, sf)
-        return R.join_on(o, c, o.o_custkey == c.c_custkey, how)
+        d = table(spark, sf, "documents").select("doc_id", "source")
+        return R.join_on_names(d, table(spark, sf, "labels"), ["doc_id"], how)
     return build
 
 
@@ -242,6 +237,23 @@ query("join_semi", ops=("J08",), sql=_SEMI_SQL.format(neg=""))(_semi("semi"))
 query("join_anti", ops=("J09",), sql=_SEMI_SQL.format(neg="NOT "))(_semi("anti"))
 
 
+@query("join_preaggregated", ops=("J01", "P02", "B13"), sql=f"""
+SELECT c.c_custkey, c.nationkey, c.acctbal AS customer_acctbal, s.suppliers,
+       {fixed_sql('s.acctbal', 2)} AS supplier_acctbal
+FROM (SELECT c_custkey, c_nationkey AS nationkey, c_acctbal AS acctbal FROM customer) c
+JOIN (SELECT s_nationkey AS nationkey, count(*) AS suppliers, sum(s_acctbal) AS acctbal FROM supplier GROUP BY 1) s
+  ON c.nationkey = s.nationkey""")
+def join_preaggregated(spark: SparkSession, sf: str) -> DataFrame:
+    # both sides have a nationkey and an acctbal; the many side is one row per nation before the join
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"))
+    s = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    s = R.pre_aggregate(s, ["nationkey"], [F.count(F.lit(1)).alias("suppliers"), F.sum("acctbal").alias("acctbal")])
+    out = R.join_aliased(c, s, left_alias="c", right_alias="s", on=[("nationkey", "nationkey")],
+                         select={"c_custkey": "c.c_custkey", "nationkey": "c.nationkey", "customer_acctbal": "c.acctbal",
+                                 "suppliers": "s.suppliers", "supplier_acctbal": "s.acctbal"})
+    return out.withColumn("supplier_acctbal", fixed_round("supplier_acctbal", 2))
+
+
 # ------------------------------------------------------------------ aggregations
 
 _POPULAR = ("1-URGENT", "5-LOW")

@@ -1,11 +1,4 @@
 """All registered queries (importing the modules fills the registry)."""
 
-from quarry.plans import q_relational  # noqa: F401
+from quarry.plans import q_functions, q_io, q_profile, q_regression, q_relational, q_semistructured  # noqa: F401
 from quarry.plans.registry import REGISTRY, QuerySpec  # noqa: F401
-
-for _mod in ("q_io", "q_semistructured", "q_functions", "q_regression", "q_profile"):
-    try:
-        __import__(f"quarry.plans.{_mod}")
-    except ModuleNotFoundError as exc:  # modules are added step by step
-        if exc.name != f"quarry.plans.{_mod}":
-            raise

@@ -5,13 +5,16 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from quarry.operators import relational as R
 from quarry.plans.inspect import plan_text, pushed_filters, read_schemas
+from quarry.plans.queries import REGISTRY
 
 Q = E.queries()
-READ_ONLY = [n for n, s in __import__("quarry.plans.queries", fromlist=["REGISTRY"]).REGISTRY.items()
-             if not s.writes and n != "elastic_net_fit"]
+NAMES = list(REGISTRY)
 
 
 def test_filters_and_range_pushed_to_scan(spark):
@@ -34,7 +37,7 @@ def test_top_k_is_take_ordered(spark, name):
     assert "TakeOrderedAndProject" in plan_text(Q[name](spark, SF_SMALL), "simple")
 
 
-@pytest.mark.parametrize("name", READ_ONLY)
+@pytest.mark.parametrize("name", NAMES)
 def test_no_all_pairs_join_no_row_python(spark, name):
     text = plan_text(Q[name](spark, SF_SMALL), "simple")
     assert "CartesianProduct" not in text
@@ -56,45 +59,71 @@ def test_flagship_pre_aggregates_before_join(spark):
 
 
 def test_udf_query_is_arrow_batched(spark):
-    text = plan_text(Q["duration_minutes"](spark, SF_SMALL), "simple")
+    assert "Python" not in plan_text(Q["duration_minutes"](spark, SF_SMALL), "simple")
+    text = plan_text(Q["duration_minutes_sql"](spark, SF_SMALL), "simple")
     assert "ArrowEvalPython" in text and "BatchEvalPython" not in text
 
 
-def test_full_outer_rewrite_lets_aqe_split_a_hot_key(spark):
-    """One key holds a third of the rows: AQE splits it in the rewritten
-    full outer join (left join + anti join), never in Spark's own."""
-    from pyspark.sql import functions as F
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
-    from quarry.operators.relational import full_outer_join
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        facts = spark.range(30000).select(
-            F.col("id").alias("fid"),
-            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"))
-        dims = spark.range(1000).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("v"))
-
-        def executed(df):
-            rows = df.collect()  # runs this frame's own plan, so AQE finalises it
-            return len(rows), df._jdf.queryExecution().executedPlan().toString()
-
-        n_native, native = executed(facts.join(dims, facts.k == dims.dk, "full"))
-        n_rewrite, rewrite = executed(full_outer_join(facts, dims, [("k", "dk")]))
-        assert n_native == n_rewrite == 30000
-        assert "skew=true" not in native
-        assert "SortMergeJoin(skew=true)" in rewrite
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+
+@pytest.fixture()
+def skew_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _executed(df):
+    rows = df.collect()  # runs this frame's own plan, so AQE finalises it
+    return len(rows), df._jdf.queryExecution().executedPlan().toString()
+
+
+def _hot(spark, rows=30000):
+    return spark.range(rows).select(
+        F.col("id").alias("fid"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"))
+
+
+@pytest.mark.parametrize("how", ["right", "full"])
+@pytest.mark.parametrize("hot", ["left", "right"])
+def test_outer_join_splits_a_hot_key_on_either_side(spark, skew_conf, how, hot):
+    """One key holds a third of a side: AQE splits it in the inner part."""
+    big, dims = _hot(spark), spark.range(1001).select((F.col("id") + 1).alias("dk"), (F.col("id") * 2).alias("v"))
+    if hot == "left":
+        native, rewrite = big.join(dims, big.k == dims.dk, how), R.outer_join(big, dims, [("k", "dk")], how)
+    else:
+        native, rewrite = dims.join(big, big.k == dims.dk, how), R.outer_join(dims, big, [("dk", "k")], how)
+    rows, plan = _executed(rewrite)
+    assert rows == native.count()
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "semi", "anti"])
+def test_hot_left_key_is_split(spark, skew_conf, how):
+    big, dims = _hot(spark), spark.range(1000).select(F.col("id").alias("dk"))
+    assert "skew=true" in _executed(R.join_on(big, dims, big.k == dims.dk, how))[1]
+
+
+def test_join_with_a_pre_aggregated_side_splits_a_hot_key(spark, skew_conf):
+    big = _hot(spark)
+    side = R.pre_aggregate(big, ["k"], [F.count("*").alias("n")])
+    rows, plan = _executed(R.join_on_names(big, side, ["k"]))
+    assert rows == 30000 and "skew=true" in plan
+
+
+def test_hot_label_is_split_without_a_broadcast(spark, skew_conf):
+    from quarry.operators import regression as M
+    texts = _hot(spark).select("fid", F.col("k").cast("string").alias("label"))
+    rows, plan = _executed(M.index_column(texts, "label", "label_index"))
+    assert rows == 30000 and "skew=true" in plan
 
 
 def test_range_partitioned_sort_spreads_a_hot_leading_key(spark):

@@ -60,7 +60,7 @@ def test_line_fit_residuals_orthogonal_and_matches_ml(spark):
                 F.sum(F.abs("e")).alias("scale")).first()
     assert abs(row.s) / row.scale < 1e-9 and abs(row.sx) / (row.scale * 50) < 1e-9
     model = M.fit_linear(M.assemble(li, ["l_quantity"]), "features", "l_extendedprice",
-                         solver="normal", persist=False)
+                         solver="normal")
     assert np.isclose(model.coefficients[0], fit.slope, rtol=1e-9)
     assert np.isclose(model.intercept, fit.intercept, rtol=1e-9)
 
@@ -68,7 +68,7 @@ def test_line_fit_residuals_orthogonal_and_matches_ml(spark):
 def test_elastic_net_not_better_than_ols_on_train(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     data = M.assemble(li, ["l_quantity", "l_discount", "l_tax"])
-    ols = M.fit_linear(data, "features", "l_extendedprice", solver="normal", persist=False)
+    ols = M.fit_linear(data, "features", "l_extendedprice", solver="normal")
     en = M.fit_linear(data, "features", "l_extendedprice", max_iter=500, reg_param=0.05, elastic_net=0.05)
     assert en.summary.rootMeanSquaredError >= ols.summary.rootMeanSquaredError * (1 - 1e-9)
 
@@ -103,3 +103,20 @@ def test_rmse_source_is_explicit(spark):
     assert abs(rms(_residuals(spark, SF_SMALL, rmse_source="test")) - 1.0) < 1e-9
     # divided by the training RMSE they do not (the two notebooks differ here)
     assert abs(rms(_residuals(spark, SF_SMALL, rmse_source="train")) - 1.0) > 1e-6
+
+
+def test_split_share_is_exact_or_refused(spark):
+    import pytest
+    rows = spark.range(40_000).withColumnRenamed("id", "k")
+    share = M.hash_split(rows, "k", train_share=0.85).where("split = 'train'").count() / 40_000
+    assert abs(share - 0.85) < 0.01
+    with pytest.raises(ValueError):
+        M.hash_split(rows, "k", train_share=1 / 3)
+
+
+def test_line_of_a_constant_feature_or_no_rows_is_null(spark):
+    flat = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
+    fit = M.fit_line(flat, "x", "y")
+    assert (fit.slope, fit.rmse, fit.n) == (None, None, 2)
+    assert M.fit_line(flat.limit(0), "x", "y").slope is None
+    assert flat.select(fit.predict("x").alias("p")).first().p is None
