@@ -1,14 +1,16 @@
 """Queries for sources, sinks and catalog operations.
 
-Sink queries write the data they read to a fresh folder under the shared
-``spark.checkpoint.dir`` (or a fresh managed table) and return the frame
-read back; the oracle is the plain source query, so a pass means the
-round trip preserved every row and value.
+Sink queries write to one folder under the shared ``spark.checkpoint.dir``
+(or one managed table) per query and session: first a part of the data, then,
+over it, all of it. They return the frame read back; the oracle is the plain
+source query, so a pass means that the second version replaced the first and
+the round trip preserved every row and value.
 """
 
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
@@ -18,11 +20,17 @@ from quarry.functions.scalar import salary_band
 from quarry.operators.profile import count_reconcile as reconcile
 from quarry.plans.registry import query
 from quarry.plans.standins import TRIPS_SQL, table, trips
-from quarry.session import scratch_path, unique_table
+from quarry.session import session_path, session_table
 from quarry.sources import readers as RD
 from quarry.sources import sinks as SK
 
 
+def _replaced(sink, df: DataFrame, target: str, **options) -> str:
+    """Write a first version of one row, then replace it by all rows."""
+    sink(df.limit(1), target, **options)
+    return sink(df, target, **options)
+
+
 @query("scan_parquet", ops=("S01", "P10"), sql="SELECT * FROM orders")
 def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return RD.read_parquet(spark, f"{sf}/orders.parquet")
@@ -32,7 +40,7 @@ def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
 FROM customer""")
 def csv_infer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_csv(table(spark, sf, "customer"), scratch_path(spark, "customer-csv"),
+    path = _replaced(SK.write_csv, table(spark, sf, "customer"), session_path(spark, "customer-csv"),
                         header=True, sep=",")
     return RD.read_csv(spark, path, header=True, sep=",", infer_schema=True)
 
@@ -40,7 +48,7 @@ def csv_infer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query("csv_untyped_rename", ops=("S03", "P04"), writes=True, sql="""
 SELECT CAST(s_suppkey AS VARCHAR) AS Terminal, s_name AS Maintenance_Station FROM supplier""")
 def csv_untyped_rename(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_csv(table(spark, sf, "supplier"), scratch_path(spark, "supplier-csv"))
+    path = _replaced(SK.write_csv, table(spark, sf, "supplier"), session_path(spark, "supplier-csv"))
     raw = spark.read.format("csv").load(path, header=True)  # every column a string
     return raw.selectExpr("s_suppkey as Terminal", "s_name as Maintenance_Station")
 
@@ -56,7 +64,7 @@ CUSTOMER_SCHEMA = StructType([
 
 @query("csv_declared_schema", ops=("S04", "B19"), writes=True, sql="SELECT * FROM customer")
 def csv_declared_schema(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_csv(table(spark, sf, "customer"), scratch_path(spark, "customer-csv"))
+    path = _replaced(SK.write_csv, table(spark, sf, "customer"), session_path(spark, "customer-csv-2"))
     # header names are checked against the declared fields (no positional surprises)
     return RD.read_csv(spark, path, schema=CUSTOMER_SCHEMA, enforce_header=True)
 
@@ -67,7 +75,7 @@ ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_tota
 
 @query("csv_ddl_schema", ops=("S05",), writes=True, sql="SELECT * FROM orders")
 def csv_ddl_schema(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_csv(table(spark, sf, "orders"), scratch_path(spark, "orders-csv"))
+    path = _replaced(SK.write_csv, table(spark, sf, "orders"), session_path(spark, "orders-csv"))
     return RD.read_csv(spark, path, schema=ORDERS_DDL)
 
 
@@ -75,7 +83,7 @@ def csv_ddl_schema(spark: SparkSession, sf: str) -> DataFrame:
 SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice
 FROM part""")
 def json_infer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_json(table(spark, sf, "part"), scratch_path(spark, "part-json"))
+    path = _replaced(SK.write_json, table(spark, sf, "part"), session_path(spark, "part-json"))
     return RD.read_json(spark, path)
 
 
@@ -85,7 +93,7 @@ EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type
 
 @query("json_declared_schema", ops=("S07",), writes=True, sql="SELECT * FROM events")
 def json_declared_schema(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_json(table(spark, sf, "events"), scratch_path(spark, "events-json"))
+    path = _replaced(SK.write_json, table(spark, sf, "events"), session_path(spark, "events-json"))
     return RD.read_json(spark, path, schema=EVENTS_SCHEMA)
 
 
@@ -93,7 +101,7 @@ def json_declared_schema(spark: SparkSession, sf: str) -> DataFrame:
 SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
 FROM customer""")
 def json_multiline(spark: SparkSession, sf: str) -> DataFrame:
-    path = SK.write_json(table(spark, sf, "customer"), scratch_path(spark, "customer-jsonarr"),
+    path = _replaced(SK.write_json, table(spark, sf, "customer"), session_path(spark, "customer-jsonarr"),
                          layout="array")
     return RD.read_json(spark, path, layout="array")
 
@@ -101,9 +109,9 @@ def json_multiline(spark: SparkSession, sf: str) -> DataFrame:
 @query("parquet_roundtrip", ops=("K03", "K05"), writes=True, sql="SELECT * FROM lineitem")
 def parquet_roundtrip(spark: SparkSession, sf: str, fmt: str = "parquet") -> DataFrame:
     src = table(spark, sf, "lineitem")
-    path = scratch_path(spark, f"lineitem-{fmt}")
+    path = session_path(spark, f"lineitem-{fmt}")
     if fmt == "parquet":
-        SK.write_parquet(src, path, compression="snappy", mode="overwrite")
+        _replaced(SK.write_parquet, src, path, compression="snappy", mode="overwrite")
     else:  # e.g. "delta" when its connector is installed
         SK.write_path(src, path, fmt, mode="overwrite")
     return spark.read.format(fmt).load(path)
@@ -111,15 +119,16 @@ def parquet_roundtrip(spark: SparkSession, sf: str, fmt: str = "parquet") -> Dat
 
 @query("ctas_from_path", ops=("S09", "K08"), writes=True, sql="SELECT * FROM part")
 def ctas_from_path(spark: SparkSession, sf: str) -> DataFrame:
-    name = unique_table(spark, "part_ctas")
+    name = session_table(spark, "part_ctas")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     src = f"{sf}/part.parquet".replace("`", "``")
     return SK.ctas(spark, name, f"SELECT * FROM parquet.`{src}`", if_not_exists=True)
 
 
 @query("table_roundtrip", ops=("S10", "K06", "D01"), writes=True, sql="SELECT * FROM orders")
 def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    name = unique_table(spark, "orders_copy")
-    SK.save_table(table(spark, sf, "orders"), name, mode="overwrite")
+    name = session_table(spark, "orders_copy")
+    _replaced(SK.save_table, table(spark, sf, "orders"), name, mode="overwrite")
     return spark.read.table(name)
 
 
@@ -128,7 +137,7 @@ SELECT c_custkey, c_name, abs(c_acctbal) AS c_acctbal,
        CAST(round(abs(c_acctbal) / 1000.0) AS INTEGER) AS balance_band
 FROM customer""")
 def table_schema_replace(spark: SparkSession, sf: str) -> DataFrame:
-    name = unique_table(spark, "customer_v")
+    name = session_table(spark, "customer_v")
     c = table(spark, sf, "customer")
     SK.save_table(c, name, mode="overwrite")
     # second version: one column changed, one added, one removed
@@ -144,7 +153,7 @@ def table_schema_replace(spark: SparkSession, sf: str) -> DataFrame:
 SELECT count(*) AS source_rows, count(*) AS copy_rows, true AS counts_match FROM orders""")
 def count_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     src = table(spark, sf, "orders")
-    name = unique_table(spark, "orders_copy")
+    name = session_table(spark, "orders_reconciled")
     SK.save_table(src, name)
     return reconcile(src, spark.read.table(name))
 
@@ -184,6 +193,50 @@ def normalise_columns(spark: SparkSession, sf: str) -> DataFrame:
     # a raw trip file has header names with spaces ("Trip ID", "Bike #")
     raw = trips(spark, sf)
     raw = raw.toDF(*[c.replace("_", " ") for c in raw.columns])
-    path = SK.write_csv(raw, scratch_path(spark, "trips-csv"))
+    path = _replaced(SK.write_csv, raw, session_path(spark, "trips-csv"))
     # names are normalised where the data is read, so no later step sees spaces
     return RD.read_csv(spark, path, infer_schema=True, normalise=True)
+
+
+@query("sink_default_mode", ops=("K04",), writes=True, sql="SELECT *, true AS second_write_refused FROM nation")
+def sink_default_mode(spark: SparkSession, sf: str) -> DataFrame:
+    nation, path = table(spark, sf, "nation"), session_path(spark, "nation-default-mode")
+    SK.write_parquet(nation, path, mode="overwrite")
+    refused = False
+    try:  # the writer's default mode refuses a path that holds data; the first content stays
+        SK.write_parquet(nation.limit(1), path, mode="errorifexists")
+    except AnalysisException as exc:
+        refused = exc.getCondition() == "PATH_ALREADY_EXISTS"
+    return spark.read.parquet(path).withColumn("second_write_refused", F.lit(refused))
+
+
+_DIRTY_SQL = """
+SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' WHEN o_orderkey % 7 = 0 THEN concat(o_custkey, 'x')
+       WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS raw FROM orders"""
+
+
+def _dirty_orders(spark: SparkSession, sf: str, name: str):
+    o = table(spark, sf, "orders")
+    key = F.col("o_orderkey")
+    raw = F.when(key % 5 == 0, "n/a").when(key % 7 == 0, F.concat(F.col("o_custkey").cast("string"), F.lit("x"))) \
+        .when(key % 11 != 0, F.col("o_custkey").cast("string"))
+    path = SK.write_csv(o.select("o_orderkey", "o_orderpriority", raw.alias("custkey")), session_path(spark, name))
+    text = RD.read_csv(spark, path, schema="o_orderkey BIGINT, o_orderpriority STRING, custkey STRING")
+    return RD.typed_with_rejects(text, {"custkey": "bigint"})
+
+
+@query("csv_rejects", ops=("B18", "S03"), writes=True, sql=f"""
+SELECT o_orderkey, o_orderpriority, TRY_CAST(raw AS BIGINT) AS custkey,
+       raw IS NOT NULL AND TRY_CAST(raw AS BIGINT) IS NULL AS rejected FROM ({_DIRTY_SQL})""")
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    typed, _ = _dirty_orders(spark, sf, "orders-dirty")
+    return typed.withColumnRenamed("_rejected", "rejected")
+
+
+@query("csv_reject_counts", ops=("B18",), writes=True, sql=f"""
+SELECT o_orderpriority, count(TRY_CAST(raw AS BIGINT)) AS typed_rows,
+       CAST(count(*) FILTER (raw IS NOT NULL AND TRY_CAST(raw AS BIGINT) IS NULL) AS BIGINT) AS rejected_rows
+FROM ({_DIRTY_SQL}) GROUP BY o_orderpriority""")
+def csv_reject_counts(spark: SparkSession, sf: str) -> DataFrame:
+    typed, rejected = _dirty_orders(spark, sf, "orders-dirty-counts")
+    return typed.groupBy("o_orderpriority").agg(F.count("custkey").alias("typed_rows"), rejected)

@@ -12,7 +12,7 @@ from quarry.functions.scalar import fixed_round
 from quarry.operators import regression as M
 from quarry.plans.registry import fixed_sql, query
 from quarry.plans.standins import table
-from quarry.session import unique_table
+from quarry.session import session_table
 from quarry.sources.sinks import save_table
 
 LABEL, X = "l_extendedprice", "l_quantity"
@@ -135,7 +135,7 @@ def score_rows(spark: SparkSession, sf: str) -> DataFrame:
     pred = (s.where(F.col("split") == "test")
              .select("l_orderkey", "l_linenumber", F.col(LABEL).alias("price"),
                      fit.predict(X).alias("prediction")))
-    name = unique_table(spark, "predictions")
+    name = session_table(spark, "predictions")
     save_table(pred, name)
     spark.read.table(name).createOrReplaceTempView("predictions_view")
     return spark.sql("SELECT l_orderkey, l_linenumber, price, "
@@ -183,13 +183,73 @@ def feature_label_corr(spark: SparkSession, sf: str) -> DataFrame:
 EN_MAX_ITER, EN_REG, EN_ELASTIC = 500, 0.05, 0.05
 
 
-@query("elastic_net_fit", ops=("M06", "M04", "M08"), sql=None)
-def elastic_net_fit(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", LABEL, *FEATURES[:3])
+# Least squares in SQL by successive orthogonalisation: z_k is feature k less
+# its mean and its parts along z_1 .. z_{k-1}, all taken from the training rows.
+_F = ["l_quantity", "l_discount", "l_tax", "returnflag_index"]
+
+
+def _multi_cte() -> str:
+    def z(k):
+        parts = "".join(f" - coalesce(c{j}.s{k}{j}, 0) * z{j}" for j in range(1, k))
+        return f"{_F[k - 1]} - m.m{k}{parts}"
+
+    steps = [f"""WITH {_RF_INDEX_CTE},
+s AS (SELECT l_orderkey, l_linenumber, {LABEL} AS y, l_quantity, l_discount, l_tax, returnflag_index,
+      {_SPLIT_SQL.format(k='l_orderkey')} AS split FROM lineitem JOIN rf USING (l_returnflag)),
+m AS (SELECT {', '.join(f'avg({f}) AS m{k}' for k, f in enumerate(_F, 1))}, avg(y) AS my, count(*) AS n FROM s WHERE split = 'train')"""]
+    source = "s"
+    for k in range(1, 5):
+        tables = ", ".join(["m", *(f"c{j}" for j in range(1, k))])
+        steps.append(f"z{k}t AS (SELECT t.*, {z(k)} AS z{k} FROM {source} t, {tables})")
+        later = "".join(f", regr_slope({_F[i - 1]}, z{k}) AS s{i}{k}" for i in range(k + 1, 5))
+        steps.append(f"c{k} AS (SELECT regr_slope(y, z{k}) AS g{k}{later} FROM z{k}t WHERE split = 'train')")
+        source = f"z{k}t"
+    steps.append("""scored AS (SELECT t.*, my + g1 * z1 + g2 * z2 + g3 * z3 + g4 * z4 AS prediction FROM z4t t, m, c1, c2, c3, c4),
+b AS (SELECT *, g1 - s21 * b2 - s31 * b3 - s41 * b4 AS b1 FROM (SELECT *, g2 - s32 * b3 - s42 * b4 AS b2 FROM
+      (SELECT *, g3 - s43 * b4 AS b3 FROM (SELECT *, g4 AS b4 FROM c1, c2, c3, c4)))),
+quality AS (SELECT sqrt(avg((y - prediction) ** 2)) AS rmse, 1 - sum((y - prediction) ** 2) / sum((y - my) ** 2) AS r2
+            FROM scored, m WHERE split = 'train')""")
+    return ",\n".join(steps)
+
+
+def _multi(spark: SparkSession, sf: str, **options):
+    """(split rows with their features, model of the training rows): index and
+    assemble as a fitted pipeline (the return flag has three values)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", LABEL, *FEATURES[:3])
     split = M.hash_split(li, "l_orderkey")
-    # index + assemble as a fitted pipeline (the return flag has three values)
-    pipeline = M.feature_pipeline(["l_returnflag"], FEATURES[:3]).fit(split)
-    data = pipeline.transform(split)
-    model = M.fit_linear(data.where(F.col("split") == "train"), "features", LABEL,
-                         max_iter=EN_MAX_ITER, reg_param=EN_REG, elastic_net=EN_ELASTIC)
-    return M.model_frame(spark, model, FEATURES, digits=6)
+    data = M.feature_pipeline(["l_returnflag"], FEATURES[:3]).fit(split).transform(split)
+    return data, M.fit_linear(data.where(F.col("split") == "train"), "features", LABEL, **options)
+
+
+@query("ols_fit_multi", ops=("M04", "M07", "M08"), sql=f"""
+{_multi_cte()}
+SELECT term, kind, {fixed_sql('value', 3)} AS value FROM (
+  SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'returnflag_index', 'intercept', 'rmse', 'r2']) AS term,
+         unnest(['coefficient', 'coefficient', 'coefficient', 'coefficient', 'intercept', 'metric', 'metric']) AS kind,
+         unnest([b1, b2, b3, b4, my - b1 * m1 - b2 * m2 - b3 * m3 - b4 * m4, rmse, r2]) AS value FROM b, m, quality)""")
+def ols_fit_multi(spark: SparkSession, sf: str) -> DataFrame:
+    _, model = _multi(spark, sf)
+    return M.model_frame(spark, model, FEATURES, digits=3).where("term <> 'iterations'")
+
+
+@query("score_rows_multi", ops=("M04", "M09", "M10", "K06"), writes=True, sql=f"""
+{_multi_cte()}
+SELECT l_orderkey, l_linenumber, y AS price, {fixed_sql('prediction', 1)} AS prediction FROM scored WHERE split = 'test'""")
+def score_rows_multi(spark: SparkSession, sf: str) -> DataFrame:
+    data, model = _multi(spark, sf)
+    scored = model.transform(data.where(F.col("split") == "test"))
+    name = session_table(spark, "predictions_multi")
+    save_table(scored.select("l_orderkey", "l_linenumber", F.col(LABEL).alias("price"), "prediction"), name)
+    return spark.read.table(name).withColumn("prediction", fixed_round("prediction", 1))
+
+
+@query("elastic_net_fit", ops=("M06", "M04", "M08"), sql=f"""
+{_multi_cte()}
+SELECT {fixed_sql('rmse', 3)} AS rmse, {fixed_sql('r2', 6)} AS r2 FROM quality""")
+def elastic_net_fit(spark: SparkSession, sf: str) -> DataFrame:
+    # so light a penalty leaves the fit's quality where least squares has it, to these digits;
+    # the optimality of the coefficients themselves is tested apart
+    _, model = _multi(spark, sf, max_iter=EN_MAX_ITER, reg_param=EN_REG, elastic_net=EN_ELASTIC)
+    s = model.summary
+    return spark.createDataFrame([(float(s.rootMeanSquaredError), float(s.r2))], "rmse double, r2 double") \
+        .select(fixed_round("rmse", 3).alias("rmse"), fixed_round("r2", 6).alias("r2"))

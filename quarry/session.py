@@ -9,6 +9,7 @@ on a cluster the operator of the cluster owns these settings.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not _one_process(master):
             # a driver-local folder is invisible to executors on other machines
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
@@ -78,6 +79,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def _one_process(master: str) -> bool:
+    """``local`` and ``local[...]``: executors share the driver's disk (a ``local-cluster`` need not)."""
+    return master == "local" or master.startswith("local[")
+
+
+def session_path(spark: SparkSession, name: str) -> str:
+    """The path of a named output of this session under the shared checkpoint
+    folder: the same on every call, so a rerun replaces its output."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-scratch/{spark.sparkContext.applicationId}/{name}"
+
+
+def clear_session_storage(spark: SparkSession) -> None:
+    """Remove what the session's queries have written: its folder under the
+    checkpoint folder and its tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_path(spark, ""))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if spark.catalog.databaseExists("quarry_work"):
+        for t in spark.catalog.listTables("quarry_work"):
+            if not t.isTemporary and t.name.endswith(_session_suffix(spark)):
+                spark.sql(f"DROP TABLE IF EXISTS `quarry_work`.`{t.name}`")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 
@@ -91,12 +114,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def workspace_db(spark: SparkSession, name: str = "quarry_work") -> str:
-    """Create (if needed) the database used for managed tables and return it."""
+    """Create (if needed) the database used for managed tables and return it.
+
+    On a cluster ``spark.sql.warehouse.dir`` has to name shared storage; its
+    default is a folder of the driver's machine and is refused."""
+    sc = spark.sparkContext
+    if not _one_process(sc.master) and not sc.getConf().contains("spark.sql.warehouse.dir"):
+        raise RuntimeError("set spark.sql.warehouse.dir to a folder on shared storage")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
     return name
 
 
-def unique_table(spark: SparkSession, stem: str, db: str | None = None) -> str:
-    """A fresh fully qualified table name inside the workspace database."""
-    db = db or workspace_db(spark)
-    return f"`{db}`.`{stem}_{uuid.uuid4().hex[:10]}`"
+def _session_suffix(spark: SparkSession) -> str:
+    return re.sub(r"\W", "_", spark.sparkContext.applicationId.lower())
+
+
+def session_table(spark: SparkSession, stem: str, db: str | None = None) -> str:
+    """The fully qualified name of a table of this session: the same on every
+    call (a rerun replaces the table), different in every session (a table
+    folder that another session left is never in the way)."""
+    return f"`{db or workspace_db(spark)}`.`{stem}_{_session_suffix(spark)}`"

@@ -78,13 +78,15 @@ def _json_array_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Da
 
 
 def write_json(df: DataFrame, path: str, *, layout: str = "lines", mode: str = "overwrite",
-               single_file: bool = False) -> str:
+               single_file: bool = False, max_rows_per_file: int = 1_000_000) -> str:
     """JSON sink.
 
     ``layout="lines"`` is Spark's JSON-lines writer. ``layout="array"``
     writes one JSON array per output file (one file per partition, records
     one per line), which ``read_json(layout="array")`` reads back with every
-    record; readers then get one task per file.
+    record; readers then get one task per file, so the rows are counted and
+    dealt evenly over enough files that none gets more than about
+    ``max_rows_per_file`` (unless ``single_file`` asks for one).
     """
     if layout == "lines":
         return write_path(df, path, "json", mode=mode, single_file=single_file,
@@ -93,6 +95,9 @@ def write_json(df: DataFrame, path: str, *, layout: str = "lines", mode: str = "
         raise ValueError("layout must be 'lines' or 'array'")
     records = _prepare(df, single_file).select(
         F.to_json(F.struct(*df.columns), TEXT_TIMESTAMP_OPTIONS).alias("j"))
+    if not single_file:
+        files = -(-df.count() // max_rows_per_file)
+        records = records.repartition(files) if files > 1 else records
     text = records.mapInPandas(_json_array_per_partition, "value string")
     text.write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     return path

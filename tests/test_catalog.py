@@ -61,10 +61,10 @@ def test_ansi_setting(spark):
 
 def test_bucketed_tables_join_without_shuffle(spark):
     from quarry.plans.inspect import plan_text
-    from quarry.session import unique_table
+    from quarry.session import session_table
     o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
-    to, tc = unique_table(spark, "orders_b"), unique_table(spark, "customer_b")
+    to, tc = session_table(spark, "orders_b"), session_table(spark, "customer_b")
     SK.save_table(o.withColumnRenamed("o_custkey", "custkey"), to, bucket_by=(8, ["custkey"]))
     SK.save_table(c.withColumnRenamed("c_custkey", "custkey"), tc, bucket_by=(8, ["custkey"]))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

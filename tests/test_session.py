@@ -3,7 +3,8 @@ driver-local fallback on a cluster."""
 
 import pytest
 
-from quarry.session import ensure_checkpoint_dir, scratch_path, unique_table
+from quarry.session import (clear_session_storage, ensure_checkpoint_dir, scratch_path, session_path,
+                            session_table)
 
 
 def test_scratch_paths_live_under_the_checkpoint_dir(spark):
@@ -12,8 +13,17 @@ def test_scratch_paths_live_under_the_checkpoint_dir(spark):
     assert a.startswith(root + "/") and b.startswith(root + "/") and a != b
 
 
-def test_unique_tables(spark):
-    assert unique_table(spark, "t") != unique_table(spark, "t")
+def test_session_outputs_are_stable_and_cleared(spark):
+    assert session_table(spark, "t") == session_table(spark, "t")
+    path = session_path(spark, "x")
+    assert path == session_path(spark, "x") != scratch_path(spark, "x")
+    spark.range(3).write.mode("overwrite").parquet(path)
+    spark.range(3).write.mode("overwrite").saveAsTable(session_table(spark, "t"))
+    assert spark.read.parquet(path).count() == 3
+    clear_session_storage(spark)
+    assert not spark.catalog.tableExists(session_table(spark, "t"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 class _Conf(dict):
