@@ -238,7 +238,7 @@ class Ranks:
 class Encoder:
     """Encodes slices of texts; keeps the ids of the slices it has merged."""
 
-    LIMIT = 1 << 20  # cached slices; beyond that the cache starts anew
+    LIMIT = 1 << 19  # cached slices; beyond that the cache starts anew
 
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
@@ -317,7 +317,7 @@ def decode_ids(ranks: Ranks, ids: np.ndarray) -> np.ndarray:
 def _encode(shared, with_offsets: bool):
     def encode(batches):
         encoder = Encoder(shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             data, offsets = flat(batch.column("text"))
             ids, count, ends = encoder.encode(data, offsets)
             at = bounds(count)
