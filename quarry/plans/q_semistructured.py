@@ -11,6 +11,7 @@ from quarry.plans.registry import query
 from quarry.plans.standins import (BLOG_SQL, PART_CATEGORIES_SQL, PART_WORDS_SQL, blog,
                                    part_arrays, table)
 
+# The fields of the events' props and of the blog data's dates.
 PROPS_SCHEMA = StructType([StructField("k", IntegerType(), True)])
 DATES_SCHEMA = StructType([
     StructField("createdOn", StringType(), True),
