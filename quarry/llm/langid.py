@@ -147,12 +147,13 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1)
 
 
-def train(docs: DataFrame, per_language: int = 1000, piece: int = 2048, seed: int = 0) -> ByteNetwork | None:
+def train(docs: DataFrame, documents: int = 4000, piece: int = 2048, seed: int = 0) -> ByteNetwork | None:
     """The network, fitted on documents that aren't held out and have a lang.
 
-    The sample is bounded: about ``per_language`` documents of each language
-    (at most 1.5 times that), picked by a hash, and of each a piece of at most
-    ``piece`` characters at a hashed place. None without any labelled text.
+    The sample is bounded: about ``documents`` documents (at most 1.5 times
+    that), in equal shares of the languages, picked by a hash, and of each a
+    piece of at most ``piece`` characters at a hashed place. None without any
+    labelled text.
     """
     spark = docs.sparkSession
     known = learnable(docs.select("doc_id", "text", "lang")).where("not held_out and lang is not null and length(text) > 0")
@@ -161,12 +162,13 @@ def train(docs: DataFrame, per_language: int = 1000, piece: int = 2048, seed: in
         return None
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    per_language = max(1, documents // len(counts))
     shares = F.broadcast(spark.createDataFrame([(k, min(1.0, 1.2 * per_language / n)) for k, n in counts.items()], "lang string, share double"))
     hashed = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_003)) / 1_000_003
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.greatest(F.length("text") - piece, F.lit(1))) + 1
     rows = (known.join(shares, "lang").where(hashed < F.col("share")).orderBy(hashed, "doc_id", "lang")
             .select("lang", F.substring("text", place.cast("int"), F.lit(piece)).alias("text"))
-            .limit(int(1.5 * per_language * len(counts))).collect())
+            .limit(int(1.5 * documents)).collect())
     languages = sorted(counts)
     grid, row, length = windows(*normalise(*flat(pa.array([r["text"] for r in rows], pa.string()))))
     target = np.array([languages.index(r["lang"]) for r in rows], dtype=np.int64)

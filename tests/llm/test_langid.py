@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01/documents.parquet"
 
 @pytest.fixture(scope="module")
 def network(spark):
-    return train(spark.read.parquet(SF), per_language=300)
+    return train(spark.read.parquet(SF), documents=1200)
 
 
 def test_held_out_accuracy(spark, network):
