@@ -64,7 +64,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches, column: str, limit: int = 1 << 21):
+def slices(batches, column: str, limit: int = 1 << 19):
     """Arrow batches cut so that the text column of each piece holds about
     ``limit`` bytes (one longer row stays whole): memory per step is bounded."""
     for batch in batches:
