@@ -2,10 +2,14 @@
 
 A target model and a background model have one vocabulary, order and
 smoothing; only their counts differ. All documents are counted for the
-background, those of the target (by their labels) for the target. The
-vocabulary is the most frequent words of all documents; every other word is
-one unknown word, so a bigram is one of a fixed number of cells. A document's
+background, those of the target (by their labels) for the target. A document's
 score is the mean over its words of the target's loss less the background's.
+
+The vocabulary is every word of the documents. Bigrams are counted into a
+table, pre-aggregated per document, and each document's bigrams are joined with
+it, so neither model is ever gathered in one place. Given a ``size``, the
+vocabulary is that many of the most frequent words instead and every other word
+is one unknown word; both models are then dense tables held by each task.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from quarry.llm.tokens import ALNUM, bounds, slices, words
 from quarry.session import ensure_checkpoint_dir
 
 WORDS = 2046
+START = 0
+STRENGTH = 100.0
 FLUSH = 1 << 21
 FAN_IN = 256
 PARTS = 16
@@ -119,7 +125,7 @@ def bigram_table(docs: DataFrame, known: np.ndarray) -> np.ndarray:
     return table
 
 
-def log_probabilities(table: np.ndarray, side: int, strength: float = 100.0) -> np.ndarray:
+def log_probabilities(table: np.ndarray, side: int, strength: float = STRENGTH) -> np.ndarray:
     """Natural log of p(word | word before) per cell: counts with a Dirichlet
     prior of ``strength`` on unigram probabilities, those with add-one smoothing."""
     counts = table.reshape(side, side).astype(np.float64)
@@ -174,8 +180,80 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
         _score(shared), "doc_id long, n_words long, target_loss double, background_loss double, score double")
 
 
-def score_by_quality(docs: DataFrame, labels: DataFrame, size: int = WORDS) -> DataFrame:
-    """score() with the documents that labels (doc_id, quality) gives quality 1 as the target."""
+def _bigrams(batches):
+    """(doc, digest, good, before, word, n): the distinct bigrams of each text,
+    by word hashes; START stands before a text's first word."""
+    names = ["doc", "digest", "good"]
+    for batch in slices(batches, "text"):
+        hashes, _, _, counts, _ = words(batch.column("text"), ALNUM)
+        if not len(hashes):
+            continue
+        row = np.repeat(np.arange(len(counts)), counts)
+        before = np.concatenate([[np.uint64(START)], hashes[:-1]])
+        before[bounds(counts)[:-1][counts > 0]] = START
+        order = np.lexsort((hashes, before, row))
+        row, before, hashes = row[order], before[order], hashes[order]
+        new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (before[1:] != before[:-1]) | (hashes[1:] != hashes[:-1])]))
+        n = np.diff(np.append(new, len(row)))
+        for lo in range(0, len(new), 1 << 16):
+            at, k = new[lo:lo + (1 << 16)], n[lo:lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row[at])) for c in names), pa.array(before[at].view(np.int64)),
+                                              pa.array(hashes[at].view(np.int64)), pa.array(k)], names=[*names, "before", "word", "n"])
+
+
+def _lengths(batches):
+    """Words of each row instead of its text."""
+    for batch in slices(batches, "text"):
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "doc", "digest")), pa.array(words(batch.column("text"), ALNUM)[3])],
+                                         names=["doc_id", "doc", "digest", "n_words"])
+
+
+def bigram_losses(marked: DataFrame) -> DataFrame:
+    """before, word, target_loss, background_loss (nats) of each bigram of
+    ``marked`` (doc, digest, good, text), over its whole vocabulary; the texts
+    with good = 1 are the target. Smoothed as in log_probabilities(), whose
+    unknown word has a count of zero here."""
+    schema = "doc long, digest long, good int, before long, word long, n long"
+    counts = marked.mapInArrow(_bigrams, schema).groupBy("before", "word") \
+        .agg(F.sum(F.col("n") * F.col("good")).alias("target"), F.sum("n").alias("background")).checkpoint()
+    models = ("target", "background")
+    # aggregates are checkpointed, or AQE would not split a frequent word's rows
+    heads = counts.groupBy("before").agg(*[F.sum(m).alias(f"{m}_head") for m in models]).checkpoint()
+    single = counts.groupBy("word").agg(*[F.sum(m).alias(f"{m}_single") for m in models]).checkpoint()
+    size = single.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(f"{m}_single"), F.lit(0)).alias(m) for m in models]).first()
+
+    def loss(m):
+        prior = (F.col(f"{m}_single") + 1) / F.lit(float(size[m] + size["words"] + 1))
+        return (-F.log((F.col(m) + STRENGTH * prior) / (F.col(f"{m}_head") + STRENGTH))).alias(f"{m}_loss")
+
+    return counts.join(heads, "before").join(single, "word").select("before", "word", *[loss(m) for m in models])
+
+
+def score_whole(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """score() over the whole vocabulary: docs is the background, its rows
+    whose doc_id is in ``good`` are the target."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    # equal rows have one score; a doc_id may come again with another text
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("doc"), F.xxhash64("doc_id", "text").alias("digest"), "text")
+    flags = good.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("flag")).distinct().hint("merge")
+    marked = texts.join(flags, "doc_id", "left").select("doc", "digest", F.coalesce("flag", F.lit(0)).alias("good"), "text")
+    losses = bigram_losses(marked).checkpoint()
+    rows = texts.select("doc", "digest", F.lit(0).alias("good"), "text").mapInArrow(
+        _bigrams, "doc long, digest long, good int, before long, word long, n long").drop("good")
+    total = F.sum("n")
+    means = rows.join(losses, ["before", "word"]).groupBy("doc", "digest").agg(
+        *[(F.sum(F.col("n") * F.col(c)) / total).alias(c) for c in ("target_loss", "background_loss")]).checkpoint()
+    lengths = texts.mapInArrow(_lengths, "doc_id long, doc long, digest long, n_words long")
+    return lengths.join(means, ["doc", "digest"], "left").select(
+        "doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+
+
+def score_by_quality(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFrame:
+    """score() with the documents that labels (doc_id, quality) gives quality 1
+    as the target, over every word of docs or the ``size`` most frequent ones."""
     # a shuffle join whatever the labels' size: texts meet labels that grow with them
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").hint("merge")
-    return score(docs, fit(docs, docs.join(good, "doc_id", "left_semi"), size))
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id")
+    if size is None:
+        return score_whole(docs, good)
+    return score(docs, fit(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"), size))

@@ -68,3 +68,23 @@ def test_merging_in_levels_and_empty_tables(spark, monkeypatch):
     empty = docs.limit(0)
     assert LM.score(empty, LM.fit(empty, empty)).collect() == []
     assert all(r.score is None or math.isfinite(r.score) for r in LM.score(docs, LM.fit(docs, empty)).collect())
+
+
+def test_every_word_counts_by_default(spark, monkeypatch):
+    # more words than the dense tables hold: target and background differ in rare words only
+    rows = [(i, "the cat " + " ".join(f"{'r' if i % 2 else 's'}{i // 4}x{k}" for k in range(120))) for i in range(120)]
+    rows += [(i, ROWS[i][1]) for i in range(40)] + [(500, None), (None, "the cat"), (501, "the the"), (501, "the the"), (501, "cat")]
+    good = [1, 3, 5, 7, 9, 501, 999, 3]
+    monkeypatch.setitem(globals(), "ROWS", rows)
+    monkeypatch.setitem(globals(), "GOOD", good)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(d, 1) for d in good] + [(2, 0)], "doc_id long, quality int")
+    want = brute(10_000)
+    assert len({w for _, t in rows for w in words_of(t)}) > 2 * LM.WORDS
+    got = sorted((tuple(r) for r in LM.score_by_quality(docs, labels).collect()), key=str)
+    for g, w in zip(sorted(got, key=lambda r: str((*r[:2], round(r[2] or 0, 3)))), sorted(want, key=lambda r: str((*r[:2], round(r[2] or 0, 3))))):
+        assert g[:2] == w[:2]
+        assert g[2:] == (None, None, None) if w[2] is None else g[2:] == pytest.approx(w[2:], rel=1e-5, abs=1e-5)
+    assert len(got) == len(want)
+    empty = LM.score_by_quality(docs.limit(0), labels)
+    assert empty.collect() == [] and empty.columns == ["doc_id", "n_words", "target_loss", "background_loss", "score"]
