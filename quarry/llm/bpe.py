@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shipping import Shipped
 from quarry.llm.tokens import binary_array, bounds, flat, ranges, run_hashes, slices
 
 # The code points of White_Space.
@@ -152,9 +153,12 @@ def slice_starts(points: np.ndarray, first: np.ndarray, kinds: np.ndarray, block
 class Ranks:
     """The vocabulary of a rank file: byte strings by id, and the pairs that merge."""
 
-    def __init__(self, path: str):
+    @classmethod
+    def of_file(cls, path: str) -> Ranks:
         with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+            return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())})
+
+    def __init__(self, ranks: dict[bytes, int]):
         self.size = max(ranks.values()) + 1
         self.strings = [b""] * self.size
         for data, rank in ranks.items():
@@ -345,7 +349,7 @@ def _decode(shared):
 
 def load_ranks(spark, path: str):
     """The vocabulary of a rank file on the driver, sent to the executors once (a few MB, fixed by the file)."""
-    return spark.sparkContext.broadcast(Ranks(path))
+    return Shipped(spark, Ranks.of_file(path))
 
 
 def encode(docs: DataFrame, ranks, with_offsets: bool = False) -> DataFrame:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from quarry.llm.alignment import align, load_pair
 from quarry.llm.bpe import round_trip
 from quarry.llm.decontam import contamination
 from quarry.llm.embeddings import near_duplicate_vectors
@@ -12,8 +12,10 @@ from quarry.llm.html import main_text
 from quarry.llm.langid import identify, train
 from quarry.llm.lm import score_by_quality
 from quarry.llm.minhash import near_duplicates
+from quarry.llm.prefixes import prefix_trie
+from quarry.llm.quality import score_quality, train as train_quality
 from quarry.llm.sharding import assign
-from quarry.llm.sql import OP3, OP7, OP9, OP10
+from quarry.llm.sql import OP3, OP7, OP9, OP10, OP12
 from quarry.llm.substring import repeated_passages
 from quarry.llm.urls import Rule, filter_urls
 from quarry.session import scratch_path
@@ -69,6 +71,21 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    pair = load_pair(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    return align(_table(spark, sf_dir, "documents"), pair)
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_substring_dedup": op2_substring_dedup,
@@ -80,6 +97,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_url_filters": op9_url_filters,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 #: The others train a model, hash into slots or use a tokenizer: they are tested by brute force.
@@ -88,4 +108,5 @@ SQL = {
     "op7_minhash_near_dedup": OP7,
     "op9_url_filters": OP9,
     "op10_benchmark_decontamination": OP10,
+    "op12_conversation_prefix_trie": OP12,
 }

@@ -63,3 +63,48 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(c.n_hit, 0) AS n_hit, co
        coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.ws) AS contaminated
 FROM d LEFT JOIN covered c ON c.r = d.r LEFT JOIN found f ON f.r = d.r
 """
+
+#: crc32 by its table (made from the polynomial in eight steps), prefixes as digests of lists of turns.
+OP12 = """
+WITH RECURSIVE
+steps AS (
+  SELECT i AS byte, i::BIGINT AS r, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, step + 1 FROM steps WHERE step < 8),
+crc_table AS (SELECT list(r ORDER BY byte) AS entries FROM steps WHERE step = 8),
+ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (
+  SELECT c, c::VARCHAR AS s, 4294967295::BIGINT AS r, 0 AS i FROM ids
+  UNION ALL
+  SELECT c, s, xor(r >> 8, entries[(xor(r, ascii(s[i + 1])::BIGINT) & 255) + 1]), i + 1 FROM crc, crc_table WHERE i < length(s)),
+heads AS (SELECT c, xor(r, 4294967295) % 9 AS h, c - c % 5 AS base FROM crc WHERE i = length(s)),
+turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+joined AS (
+  SELECT h.c, 0 AS part, t.pos, t.role, t.text FROM heads h JOIN turns t ON t.c = h.base AND t.pos <= h.h
+  UNION ALL
+  SELECT h.c, 1, t.pos, t.role, t.text FROM heads h JOIN turns t ON t.c = h.c AND t.pos > h.h),
+rebuilt AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, role, text FROM joined),
+whole AS (SELECT h.c, count(d) AS n, list({'role': role, 'text': text} ORDER BY d) FILTER (WHERE d IS NOT NULL) AS seq
+          FROM heads h LEFT JOIN rebuilt r ON r.c = h.c GROUP BY h.c),
+members AS (
+  SELECT c, d, n, md5(CASE WHEN d = 0 THEN '' ELSE seq[1:d]::JSON::VARCHAR END) AS node,
+         CASE WHEN d > 0 THEN md5(CASE WHEN d = 1 THEN '' ELSE seq[1:d - 1]::JSON::VARCHAR END) END AS parent,
+         CASE WHEN d > 0 THEN strlen(seq[d].text) ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(n + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT d, node, min(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saves,
+         string_agg(CASE WHEN d = n THEN c::VARCHAR END, ',' ORDER BY c) AS ends
+  FROM members GROUP BY d, node),
+counted AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n
+  LEFT JOIN (SELECT d - 1 AS d, parent AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL) k USING (d, node)),
+below AS (
+  SELECT m.d, m.node, sum(u.saves) AS saved, count(*) FILTER (WHERE u.n_children = 0) AS leaves
+  FROM counted u JOIN members m ON m.c = u.conv_id AND m.d <= u.d GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children::BIGINT AS n_children,
+       b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM counted n JOIN below b USING (d, node) LEFT JOIN counted p ON p.d = n.d - 1 AND p.node = n.parent
+"""

@@ -25,7 +25,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def ranks():
-    return Ranks(PATH)
+    return Ranks.of_file(PATH)
 
 
 def random_texts(seed, n):

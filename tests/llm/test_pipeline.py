@@ -85,7 +85,7 @@ def test_decontamination_drops_by_the_rule(spark, kept):
 
 
 def test_encoding_equals_the_library(kept):
-    ranks = Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")).ranks
+    ranks = Ranks.of_file(public_tokenizers.path("byte_bpe_50k.tiktoken")).ranks
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert set(kept[5]) == set(kept[4])
     for d, row in kept[5].items():
