@@ -23,6 +23,7 @@ from quarry.plans.standins import TRIPS_SQL, table, trips
 from quarry.session import session_path, session_table
 from quarry.sources import readers as RD
 from quarry.sources import sinks as SK
+from quarry.sources.json_array import read_json_array
 
 
 def _replaced(sink, df: DataFrame, target: str, **options) -> str:
@@ -106,6 +107,13 @@ def json_multiline(spark: SparkSession, sf: str) -> DataFrame:
     return RD.read_json(spark, path, layout="array")
 
 
+@query("json_array_split", ops=("S08", "B07"), writes=True, sql="SELECT * FROM orders")
+def json_array_split(spark: SparkSession, sf: str) -> DataFrame:
+    # one file with one array: spark.read.json would take it in one task
+    path = SK.write_json(table(spark, sf, "orders"), session_path(spark, "orders-one-array"), layout="array", single_file=True)
+    return read_json_array(spark, path, schema=ORDERS_DDL)
+
+
 @query("parquet_roundtrip", ops=("K03", "K05"), writes=True, sql="SELECT * FROM lineitem")
 def parquet_roundtrip(spark: SparkSession, sf: str, fmt: str = "parquet") -> DataFrame:
     src = table(spark, sf, "lineitem")
