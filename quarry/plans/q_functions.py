@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import scalar as X
-from quarry.functions.udfs import register_minutes_udf
+from quarry.functions.noise import normal, uniform
+from quarry.functions.udfs import define_minutes_function, register_minutes_udf
 from quarry.operators.relational import with_global_position
 from quarry.plans.registry import fixed_sql, query
 from quarry.plans.standins import TRIPS_SQL, table, trips
@@ -112,3 +113,26 @@ def duration_minutes_sql(spark: SparkSession, sf: str) -> DataFrame:
     trips(spark, sf).createOrReplaceTempView("trips_view")
     return spark.sql("SELECT Trip_ID, to_minutes(Duration) AS DurationMins, Start_Terminal "
                      "FROM trips_view")
+
+
+@query("duration_minutes_function", ops=("V02", "S11"), sql=f"""
+SELECT Trip_ID, {fixed_sql('Duration / 60.0', 3)} AS DurationMins, Start_Terminal FROM {TRIPS_SQL} t""")
+def duration_minutes_function(spark: SparkSession, sf: str) -> DataFrame:
+    # a function defined in SQL: Catalyst puts its body in the place of the call
+    define_minutes_function(spark, "seconds_in_minutes")
+    trips(spark, sf).createOrReplaceTempView("trips_for_function")
+    return spark.sql("SELECT Trip_ID, seconds_in_minutes(Duration) AS DurationMins, Start_Terminal FROM trips_for_function")
+
+
+_U = "(CAST(('0x' || substr(md5(concat('{seed}:', event_id)), {at}, 13)) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+
+
+@query("noise_offset", ops=("X22", "B15"), sql=f"""
+SELECT event_id, {fixed_sql(f"value + (-2.0 + 4.0 * ({_U.format(seed=7, at=1)}))", 4)} AS shifted,
+       {fixed_sql(f"value + (0.0 + 1.5 * sqrt(-2.0 * ln({_U.format(seed=8, at=1)})) * cos(6.283185307179586 * ({_U.format(seed=8, at=14)})))", 4)} AS noisy
+FROM events""")
+def noise_offset(spark: SparkSession, sf: str) -> DataFrame:
+    # one draw per row from (seed, event_id): the same numbers for any layout of the table
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", X.fixed_round(F.col("value") + uniform(7, "event_id", -2.0, 2.0), 4).alias("shifted"),
+                     X.fixed_round(F.col("value") + normal(8, "event_id", 0.0, 1.5), 4).alias("noisy"))

@@ -24,6 +24,7 @@ from quarry.session import session_path, session_table
 from quarry.sources import readers as RD
 from quarry.sources import sinks as SK
 from quarry.sources.json_array import read_json_array
+from quarry.sources.versions import create_versioned, drop_versions, replace_version, write_counted
 
 
 def _replaced(sink, df: DataFrame, target: str, **options) -> str:
@@ -248,3 +249,29 @@ FROM ({_DIRTY_SQL}) GROUP BY o_orderpriority""")
 def csv_reject_counts(spark: SparkSession, sf: str) -> DataFrame:
     typed, rejected = _dirty_orders(spark, sf, "orders-dirty-counts")
     return typed.groupBy("o_orderpriority").agg(F.count("custkey").alias("typed_rows"), rejected)
+
+
+@query("table_update_in_place", ops=("K06", "K07"), writes=True, sql="""
+SELECT c_custkey, c_name, abs(c_acctbal) AS c_acctbal, CAST(round(abs(c_acctbal) / 1000.0) AS INTEGER) AS balance_band, c_mktsegment
+FROM customer WHERE c_nationkey <> 3""")
+def table_update_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    # each version is made from the table it replaces: first other rows and values, then other columns
+    name, root = session_table(spark, "customer_versions"), session_path(spark, "customer-versions")
+    create_versioned(spark, name, table(spark, sf, "customer"), root)
+    replace_version(spark, name, lambda t: t.where("c_nationkey <> 3").withColumn("c_acctbal", F.abs("c_acctbal")), root)
+    replace_version(spark, name, lambda t: t.withColumn("balance_band", salary_band("c_acctbal", 1000.0)).drop("c_nationkey"), root)
+    drop_versions(spark, name, root)
+    return spark.read.table(name).select("c_custkey", "c_name", "c_acctbal", "balance_band", "c_mktsegment")
+
+
+@query("write_counts", ops=("K10", "G13", "B18"), writes=True, sql=f"""
+SELECT count(*) AS source_rows, count(raw) FILTER (TRY_CAST(raw AS BIGINT) IS NULL) AS rejected_rows,
+       count(*) FILTER (raw IS NULL OR TRY_CAST(raw AS BIGINT) IS NOT NULL) AS written_rows,
+       CAST(sum(TRY_CAST(raw AS BIGINT)) AS BIGINT) AS custkey_sum FROM ({_DIRTY_SQL})""")
+def write_counts(spark: SparkSession, sf: str) -> DataFrame:
+    # the counts around a save come from the save itself: the source is read once
+    typed, rejected = _dirty_orders(spark, sf, "orders-dirty-written")
+    counts = write_counted(typed, lambda df: SK.write_parquet(df.drop("_rejected"), session_path(spark, "orders-clean")),
+                           keep=~F.col("_rejected"), rejected_rows=rejected, custkey_sum=F.sum("custkey"))
+    names = ["source_rows", "rejected_rows", "written_rows", "custkey_sum"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.operators import profile as P
+from quarry.operators import sketches as S
 from quarry.plans.registry import fixed_sql, query
 from quarry.plans.standins import table
+from quarry.session import session_path
+from quarry.sources import sinks as SK
 
 # (name, kind) of the customer table, in order; kind: n = numeric, t = text
 _CUSTOMER_COLS = [("c_custkey", "n"), ("c_name", "t"), ("c_nationkey", "n"),
@@ -47,6 +51,27 @@ def column_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     return P.column_quartiles(table(spark, sf, "lineitem"), _QUARTILE_COLS, exact=True, digits=6)
 
 
+_SKETCHED = ["l_quantity", "l_extendedprice"]
+
+
+@query("quantile_sketches", ops=("G11",), writes=True, sql="\nUNION ALL\n".join(
+    f"SELECT {flag} AS return_flag, '{c}' AS column_name, p, count({c}) AS row_count, true AS within_bound "
+    f"FROM lineitem, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) t(p) GROUP BY ALL"
+    for c in _SKETCHED for flag in ("l_returnflag", "NULL::VARCHAR")))
+def quantile_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    # sketches per flag and status are stored once; both groupings come from them, not from the rows
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", *_SKETCHED)
+    path = SK.write_parquet(S.sketch_groups(li, ["l_returnflag", "l_linestatus"], _SKETCHED), session_path(spark, "lineitem-sketches"))
+    stored, out = spark.read.parquet(path), None
+    for by in (["l_returnflag"], []):
+        found = S.sketch_quantiles(S.merge_sketches(stored, by), [0.25, 0.5, 0.75])
+        checked = S.rank_errors(li, found, by, _SKETCHED).select(
+            (F.col("l_returnflag") if by else F.lit(None).cast("string")).alias("return_flag"), "column_name", "p",
+            F.col("n").alias("row_count"), (F.col("error") <= S.RANK_ERROR).alias("within_bound"))
+        out = checked if out is None else out.unionByName(checked)
+    return out
+
+
 # lineitem's columns with their Spark type names, in order.
 _LINEITEM_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
                    ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),

@@ -74,9 +74,12 @@ def test_elastic_net_not_better_than_ols_on_train(spark):
 
 
 def test_elastic_net_query_rows(spark):
-    rows = {r.term: r.value for r in E.queries()["elastic_net_fit"](spark, SF_SMALL).collect()}
-    assert {"l_quantity", "intercept", "rmse", "r2"} <= set(rows)
-    assert 0.0 < rows["r2"] <= 1.0
+    rows = E.queries()["elastic_net_fit"](spark, SF_SMALL).collect()
+    for fit in ("reference", "strong"):
+        found = {r.term: r.value for r in rows if r.fit == fit}
+        assert {"l_quantity", "intercept", "rmse", "r2"} <= set(found)
+        assert 0.0 <= found["r2"] <= 1.0
+        assert all(r.gap == 0.0 for r in rows if r.fit == fit and r.kind == "coefficient")
 
 
 def test_residual_bands_sum_to_test_rows(spark):
