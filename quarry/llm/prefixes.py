@@ -144,7 +144,7 @@ def differing_groups(members: DataFrame, nodes: DataFrame, turns: DataFrame, con
     distinct reference of a node with more than one are read and compared. (Equal
     fingerprints and equal last turns make the prefixes before equal, too.)"""
     mixed = nodes.where("ref_conv_low < ref_conv_high or ref_pos_low < ref_pos_high").select(*KEY)
-    refs = members.join(mixed, KEY, "left_semi").select(*KEY, "ref_conv", "ref_pos").distinct()
+    refs = members.where("depth > 0").select(*KEY, "ref_conv", "ref_pos").distinct().join(mixed, KEY, "left_semi")
     named = refs.join(turns.select(F.col("conv_id").alias("ref_conv"), F.col("pos").alias("ref_pos"), "turn", "tie"), ["ref_conv", "ref_pos"])
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     texts = conversations.select(F.col("conv_id").cast("long").alias("ref_conv"), F.col("turn").cast("long").alias("at"),
