@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shipping import Shipped
 from quarry.llm.tokens import bounds, flat, ranges, row_ids, slices
 
 WINDOW, FILTERS, WIDTHS = 256, 16, (2, 3, 4)
@@ -204,8 +205,9 @@ def judge(column: pa.Array, network: ByteNetwork | None) -> tuple[list, np.ndarr
 
 def _predict(shared):
     def predict(batches):
+        network = shared.value
         for batch in slices(batches, "text"):
-            lang, score = judge(batch.column("text"), shared.value)
+            lang, score = judge(batch.column("text"), network)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                                              names=["doc_id", "held_out", "lang_pred", "score"])
     return predict
@@ -213,8 +215,9 @@ def _predict(shared):
 
 def _keep(shared, min_score: float):
     def keep(batches):
+        network = shared.value
         for batch in slices(batches, "text"):
-            lang, score = judge(batch.column("text"), shared.value)
+            lang, score = judge(batch.column("text"), network)
             yield batch.filter(pa.array((np.array(lang) != "und") & (score >= min_score)))
     return keep
 
@@ -222,7 +225,7 @@ def _keep(shared, min_score: float):
 def keep_identified(docs: DataFrame, network: ByteNetwork | None, min_score: float = 0.35) -> DataFrame:
     """The rows of docs whose text has a language: those that identify() calls
     ``und`` go, and those whose best language has less than ``min_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    shared = Shipped(docs.sparkSession, network)
     return docs.mapInArrow(_keep(shared, min_score), docs.schema)
 
 
@@ -235,6 +238,6 @@ def identify(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
     if there is no network. Only the text is an input. Repeated rows give
     repeated rows; other columns are ignored; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    shared = Shipped(docs.sparkSession, network)
     return learnable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(
         _predict(shared), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shipping import Shipped
+
 TOKEN = re.compile("[A-Za-z0-9]+")
 MAX_RULES = 1_000_000
 
@@ -104,6 +106,6 @@ def filter_urls(pages: DataFrame, rules: list[Rule], default: str = "allow") ->
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; the index is for at most {MAX_RULES}: judge them in parts")
     parts = with_host_and_path(pages.select("page_id", "url")).select("page_id", "host", "path")
-    shared = pages.sparkSession.sparkContext.broadcast(RuleIndex(rules, token_counts(parts, rules)))
+    shared = Shipped(pages.sparkSession, RuleIndex(rules, token_counts(parts, rules)))
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, host string, path string, rule string, verdict string"
     return parts.mapInArrow(_judge(shared, ["page_id", "host", "path"], default), schema)

@@ -64,3 +64,38 @@ def test_remove_spans(spark):
                                  "doc_id long, text string, lang string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert {r[0]: r[1] for r in remove_spans(docs, bench).collect()} == {1: "Ça va: . Après", 2: "nothing", 3: None, 4: item + " " + "z " * 400}
+
+
+def test_items_in_several_automata(spark, monkeypatch):
+    """The benchmark cut into parts gives the rows of one automaton."""
+    import functools
+
+    import quarry.llm.decontam as D
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choice(["a", "b", "é", "7", "zz", "q"]) for _ in range(n))
+    items = [(i, text(rng.randrange(0, 40))) for i in range(60)]
+    docs = [(i, text(20) + " " + (items[i][1] or "") + " " + text(10)) for i in range(60)]
+    monkeypatch.setattr(D, "build_automata", functools.partial(D.build_automata, part_words=100))
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    assert len(D.build_automata(right, 5)) > 5
+    assert sorted((tuple(r) for r in D.contamination(left, right, 5).collect()), key=str) == brute(docs, items, 5)
+
+
+def test_flat_arrays_are_small():
+    """Some 60 bytes a word, where dictionaries take ten times that."""
+    import pickle
+
+    import numpy as np
+
+    from quarry.llm.decontam import SuffixAutomaton
+    rng = np.random.default_rng(1)
+    machine = SuffixAutomaton([(str(i), rng.integers(1, 1 << 40, 200).astype(np.uint64)) for i in range(200)], 13)
+    assert len(pickle.dumps(machine)) < 80 * 40_000
+
+
+def test_too_large_a_benchmark_is_refused(spark, monkeypatch):
+    import quarry.llm.decontam as D
+    monkeypatch.setattr(D, "MAX_BENCHMARK_BYTES", 10)
+    with pytest.raises(ValueError):
+        D.build_automata(spark.createDataFrame([(1, "x" * 11)], "item_id long, text string"))
