@@ -64,3 +64,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(rows) == len(drows)
     assert _canon(df.columns, rows) == _canon(dcols, drows)
+
+
+def test_entry_survives_a_missing_library():
+    """Without the tokenizer package all other queries are still registered."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = ("import sys; sys.modules['public_tokenizers'] = None; sys.path.insert(0, %r); import warnings; "
+              "warnings.simplefilter('ignore'); import __spark_entry__ as E; print(len(E.queries()), 'scan_parquet' in E.queries(), 'pipeline' in E.queries())" % root)
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=120)
+    assert out.stdout.split()[1:] == ["True", "False"], out.stderr[-1000:]
