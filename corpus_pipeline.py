@@ -16,7 +16,8 @@ from quarry.llm.decontam import drop_contaminated
 from quarry.llm.langid import keep_identified, train
 from quarry.llm.minhash import near_duplicates
 from quarry.llm.substring import remove_passages, repeated_passages
-from quarry.session import scratch_path
+from quarry.operators.relational import with_global_position
+from quarry.session import ensure_checkpoint_dir, scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,18 +26,46 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs, train(docs))
 
 
+def with_row_ids(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows of docs that have a doc_id, once each, and the name of a new
+    column that tells them apart: the doc_id, but where rows with different texts
+    share one, only one of them keeps it and the others get numbers beyond all."""
+    name = next(n for n in (f"row_id_{i}" for i in range(len(docs.columns) + 1)) if n not in {c.lower() for c in docs.columns})
+    ensure_checkpoint_dir(docs.sparkSession)
+    named = docs.where("doc_id is not null")
+    again = named.groupBy("doc_id").count().where("count > 1").select("doc_id").checkpoint()
+    if not again.head(1):
+        return named.withColumn(name, F.col("doc_id").cast("long")), name
+    single = named.join(again, "doc_id", "left_anti").withColumn(name, F.col("doc_id").cast("long"))
+    several = named.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).withColumn("text_hash", F.xxhash64("text"))
+    texts = several.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct().checkpoint()
+    least = texts.groupBy("id").agg(F.min("hash").alias("hash"))
+    top = named.agg(F.max("doc_id")).first()[0]
+    others = with_global_position(texts.join(least, ["id", "hash"], "left_anti"), [F.col("id"), F.col("hash")], "place")
+    numbers = least.select("id", "hash", F.col("id").cast("long").alias(name)).unionByName(
+        others.select("id", "hash", (F.col("place") + top).cast("long").alias(name)))
+    several = several.join(numbers, (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("hash"))).select(*docs.columns, name)
+    return single.select(*docs.columns, name).unionByName(several), name
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the
-    smallest doc_id (once, if its row is repeated). Rows without a doc_id stay."""
-    gone = near_duplicates(docs, percent=80).where("not kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    smallest doc_id (once, if its row is repeated). Rows that share a doc_id but
+    not the text are documents of their own. Rows without a doc_id stay."""
+    rows, name = with_row_ids(docs)
+    found = near_duplicates(rows.select(F.col(name).alias("doc_id"), "text"), percent=80)
+    gone = found.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return rows.join(gone, name, "left_anti").select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more that repeat an earlier document's are cut out."""
-    cut = remove_passages(docs, repeated_passages(docs))
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+    """Passages of 50 words and more that repeat an earlier document's are cut
+    out. Rows without a doc_id stay as they are; repeated rows stay once."""
+    rows, name = with_row_ids(docs)
+    cut = remove_passages(rows, repeated_passages(rows.select(F.col(name).alias("doc_id"), "text")), on=name).select(docs.columns)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.unionByName(docs.where("doc_id is null"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

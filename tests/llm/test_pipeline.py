@@ -103,3 +103,23 @@ def test_odd_rows_pass_every_stage(spark):
             assert out.count() <= part.count()
             if name != "bpe_encoding":
                 assert out.columns == docs.columns
+
+
+def test_rows_that_share_a_doc_id_are_judged_by_their_own_text(spark):
+    """Extra columns with the operators' own names, one doc_id on two texts, through the stages."""
+    words = lambda tag, n: " ".join(f"{tag}word{i} the and" for i in range(n))
+    same, unique, passage = words("a", 40), words("b", 40), words("c", 60)
+    rows = [(1, same), (3, unique), (3, same), (3, unique), (7, words("d", 30) + " " + passage), (9, passage + " " + words("e", 30)), (9, words("f", 35)), (None, same)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, spans string, _doc int, _spans int, held_out int, signature string, row_id_0 int, doc0 int, label int"
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t), "x", 1, 2, 3, "y", 4, 5, 6) for d, t in rows], columns)
+    deduped = P.near_dedup(spark, docs, SF)
+    assert deduped.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in deduped.collect()), key=str)
+    assert left == sorted({(1, same), (3, unique), *rows[4:]}, key=str)
+    cut = {(r.doc_id, r.text.split()[0]): (r.text, r.n_chars, r.spans, r._spans) for r in P.substring_dedup(spark, deduped, SF).collect()}
+    assert len(cut) == len(left)
+    kept = cut[9, "eword0"]
+    assert kept[0].split() == words("e", 30).split() and kept[1:] == (len(kept[0]), "x", 2)
+    assert cut[7, "dword0"][0] == rows[4][1] and cut[9, "fword0"][0] == rows[6][1] and cut[None, "aword0"][0] == same
+    for stage in (P.language_id, P.benchmark_decontamination):
+        assert stage(spark, docs, SF).columns == docs.columns
