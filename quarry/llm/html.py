@@ -9,8 +9,9 @@ slots. The text of a page is that of its remaining slots, but for those that
 tag, class or id mark as menu, header, footer, sidebar, notice, advert, form
 or comments (by whole names; of marks around or on an outermost article or main
 element, only one of comments drops it); where the page has an article (or main) element only the slots
-inside count. Template text goes there too, but where nothing else is left
-inside: an article that all pages of a host share is no boilerplate of one.
+inside count. There the template drops whole wrappers only: an element like a div or a list goes if its
+tag is in the template and all its text is, too. A heading or paragraph of the article itself stays
+although every page has it, and so does an article that has nothing else.
 
 Occurrence vectors are never built: a vector is represented by the sum of a
 hash of (page, count) over the pages, so tokens are aggregated per host with
@@ -20,6 +21,7 @@ map-side partial sums, and a host of any size is no group of its own.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from decimal import Decimal
 from html import unescape
 
@@ -48,95 +50,146 @@ COMMENTS = frozenset("comment comments commentlist disqus reply replies respond"
 MAIN = {"main": 1, "article": 2}
 # an open element of the first kind ends before a start tag of the second
 CLOSED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+# elements inside an article that go as a whole if the template holds them
+WRAPPERS = frozenset("div section ul ol dl table fieldset details center figure".split())
+#: Paths and labels longer than this many steps or characters are kept as a running hash.
+DEEP, LONG = 64, 200
 MIN_PAGES = 3
 SPREAD = 1024
 
 
-def scan(page: str):
-    """(blocks, tokens) of a page. blocks: (text, in main, dropped by marks,
-    hashes of its text nodes); tokens: hash -> [count, path, text or None]."""
-    blocks, tokens = [], {}
-    stack: list[tuple[str, str, int, int]] = []  # name, path, dropped, main
-    text: list[str] = []
-    hashes: list[int] = []
-    path, dropped, main = "", 0, 0
-
-    def count(kind: str, value: str) -> int:
+def _step(path: str, label: str, depth: int) -> str:
+    """The path one tag further down; from DEEP steps on a hash, so that unclosed tags cost no more than others."""
+    return f"{path}/{label}" if depth < DEEP else "#" + xxhash.xxh64_hexdigest(f"{path}/{label}")
+
+
+class Page:
+    """A scanned page.
+
+    blocks    (text, in main, dropped by marks, hashes of its text nodes, innermost wrapper or -1)
+    tokens    hash -> [count, path, text or None]
+    wrappers  (hash of the tag, enclosing wrapper or -1) of the wrappers inside articles, in order
+    """
+
+    def __init__(self, page: str):
+        self.blocks: list[tuple] = []
+        self.tokens: dict[int, list] = {}
+        self.wrappers: list[tuple[int, int]] = []
+        self._scan(page)
+
+    def _count(self, kind: str, path: str, value: str) -> int:
         key = xxhash.xxh64_intdigest(f"{kind}\0{path}\0{value}") - (1 << 63)
-        entry = tokens.setdefault(key, [0, path, value if kind == "text" else None])
-        entry[0] += 1
+        self.tokens.setdefault(key, [0, path, value if kind == "text" else None])[0] += 1
         return key
 
-    def flush():
-        nonlocal text, hashes
-        if text:
-            joined = " ".join("".join(text).split())
-            if joined:
-                blocks.append((joined, main, dropped, hashes))
-            text, hashes = [], []
-
-    at, end = 0, len(page)
-    while at < end:
-        m = PIECE.match(page, at)
-        at, piece = m.end(), m[0]
-        if piece[0] != "<" or piece == "<":
-            if not dropped:
-                node = unescape(piece)
-                text.append(node)
-                if not node.isspace():
-                    hashes.append(count("text", " ".join(node.split())))
-            elif not piece.isspace():
-                count("text", " ".join(unescape(piece).split()))
-            continue
-        named = NAME.match(piece)
-        if named is None:  # comment, doctype, processing instruction
-            continue
-        name = named[1].lower()
-        if name not in INLINE:
-            flush()
-        elif name == "br":
-            text.append(" ")
-        if piece[1] == "/":
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-        elif piece[-1:] == ">":  # a tag that the end of the page cuts off opens nothing
+    def _scan(self, page: str) -> None:
+        top = ("", 0, 0, -1)  # path, dropped, main, wrapper
+        stack: list[tuple] = []  # name and the same
+        opened: Counter = Counter()
+        text: list[str] = []
+        hashes: list[int] = []
+        path, dropped, main, wrapper = top
+
+        def flush():
+            nonlocal text, hashes
+            if text:
+                joined = " ".join("".join(text).split())
+                if joined:
+                    self.blocks.append((joined, main, dropped, hashes, wrapper))
+                text, hashes = [], []
+
+        def close(k: int):
+            for entry in stack[k:]:
+                opened[entry[0]] -= 1
+            del stack[k:]
+
+        at, end = 0, len(page)
+        while at < end:
+            m = PIECE.match(page, at)
+            at, piece = m.end(), m[0]
+            if piece[0] != "<" or piece == "<":
+                if not dropped:
+                    node = unescape(piece)
+                    text.append(node)
+                    if not node.isspace():
+                        hashes.append(self._count("text", path, " ".join(node.split())))
+                elif not piece.isspace():
+                    self._count("text", path, " ".join(unescape(piece).split()))
+                continue
+            named = NAME.match(piece)
+            if named is None:  # comment, doctype, processing instruction
+                continue
+            name = named[1].lower()
             if name not in INLINE:
-                while stack and stack[-1][0] in INLINE and any(s[0] == "p" for s in stack):
-                    if name in CLOSED_BY or name not in INLINE:
-                        stack.pop()
-                if stack and stack[-1][0] in CLOSED_BY and (CLOSED_BY[stack[-1][0]] is None or name in CLOSED_BY[stack[-1][0]]):
-                    stack.pop()
-            path, dropped, main = stack[-1][1:] if stack else ("", 0, 0)
-            values = [(x[2] or x[3] or x[4] or "").lower() for x in MARKS.finditer(piece)]
-            marks, names = [w for x in values for w in WORD.findall(x)], {n for x in values for n in x.split()}
-            label = f"{name}.{'.'.join(sorted(set(marks)))}" if marks else name
-            count("tag", label)
-            if name in RAW:
-                close = RAW[name].search(page, at)
-                at = close.end() if close else end
-            elif name not in VOID and not piece.endswith("/>"):
-                # 1: by a mark that an outermost article (or main) inside overrules
-                gone = 2 if name in DROPPED else 0
-                if name not in ("html", "body") and not MARKED.isdisjoint(names):
-                    gone = max(gone, 2 if main == 2 or not COMMENTS.isdisjoint(names) else 1)
-                gone = max(gone, dropped)
-                stack.append((name, f"{path}/{label}", 0 if gone == 1 and name in MAIN else gone, max(main, MAIN.get(name, 0))))
-        path, dropped, main = stack[-1][1:] if stack else ("", 0, 0)
-    flush()
-    return blocks, tokens
+                flush()
+            elif name == "br":
+                text.append(" ")
+            if piece[1] == "/":
+                if opened[name]:
+                    close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
+            elif piece[-1:] == ">":  # a tag that the end of the page cuts off opens nothing
+                if name not in INLINE:
+                    while stack and stack[-1][0] in INLINE and opened["p"]:
+                        close(len(stack) - 1)
+                    if stack and stack[-1][0] in CLOSED_BY and (CLOSED_BY[stack[-1][0]] is None or name in CLOSED_BY[stack[-1][0]]):
+                        close(len(stack) - 1)
+                path, dropped, main, wrapper = stack[-1][1:] if stack else top
+                values = [(x[2] or x[3] or x[4] or "").lower() for x in MARKS.finditer(piece)]
+                marks, names = [w for x in values for w in WORD.findall(x)], {n for x in values for n in x.split()}
+                label = f"{name}.{'.'.join(sorted(set(marks)))}" if marks else name
+                label = label if len(label) <= LONG else label[:20] + "#" + xxhash.xxh64_hexdigest(label)
+                tag = self._count("tag", path, label)
+                if name in RAW:
+                    closing = RAW[name].search(page, at)
+                    at = closing.end() if closing else end
+                elif name not in VOID and not piece.endswith("/>"):
+                    # 1: by a mark that an outermost article (or main) inside overrules
+                    gone = 2 if name in DROPPED else 0
+                    if name not in ("html", "body") and not MARKED.isdisjoint(names):
+                        gone = max(gone, 2 if main == 2 or not COMMENTS.isdisjoint(names) else 1)
+                    gone = max(gone, dropped)
+                    if main and name in WRAPPERS:
+                        self.wrappers.append((tag, wrapper))
+                        wrapper = len(self.wrappers) - 1
+                    stack.append((name, _step(path, label, len(stack)), 0 if gone == 1 and name in MAIN else gone, max(main, MAIN.get(name, 0)), wrapper))
+                    opened[name] += 1
+            path, dropped, main, wrapper = stack[-1][1:] if stack else top
+        flush()
+
+    def boilerplate(self, template: frozenset) -> list[bool]:
+        """Per wrapper: it or one around it is in the template with all its text."""
+        whole = [tag in template for tag, _ in self.wrappers]
+        for block in self.blocks:
+            if not block[3] or not template.issuperset(block[3]):
+                at = block[4]
+                while at >= 0 and whole[at] is not None:  # an outer wrapper that holds a slot: None, with all around it
+                    whole[at] = None
+                    at = self.wrappers[at][1]
+        out: list[bool] = []
+        for k, (_, above) in enumerate(self.wrappers):
+            out.append(bool(whole[k]) or (above >= 0 and out[above]))
+        return out
 
 
 def extract(page: str | None, template: frozenset) -> str:
-    """The text of a page's slots, given the template's text tokens."""
-    blocks = [b for b in scan(page or "")[0] if not b[2]]
-    slots = [b for b in blocks if not (b[3] and template.issuperset(b[3]))]
-    if any(b[1] for b in blocks):
-        slots = [b for b in slots if b[1]] or [b for b in blocks if b[1]]
+    """The text of a page's slots, given the template's tokens."""
+    scanned = Page(page or "")
+    blocks = [b for b in scanned.blocks if not b[2]]
+    inside = [b for b in blocks if b[1]]
+    if inside:
+        gone = scanned.boilerplate(template) if template else []
+        slots = [b for b in inside if not (gone and b[4] >= 0 and gone[b[4]])] or inside
+    else:
+        slots = [b for b in blocks if not (b[3] and template.issuperset(b[3]))]
     return "\n".join(b[0] for b in slots)
 
 
+def scan(page: str):
+    """(blocks, tokens) of a page."""
+    scanned = Page(page)
+    return scanned.blocks, scanned.tokens
+
+
 def _tokens(batches):
     for batch in batches:
         rows: dict = {}
@@ -196,13 +249,14 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     Character references are decoded, white space inside a block becomes one
     space, blocks are joined in page order by a line feed. A null or empty
     page, or one without main text, gives an empty text. Pages whose url is
-    null or has no host share the empty host. Hosts with fewer than
+    null or has no host share the empty host. Unclosed and deeply nested tags cost
+    no more memory than others. Hosts with fewer than
     ``min_pages`` different pages have no template. Repeated rows give repeated rows;
     other columns are ignored; an empty table gives no rows.
     """
     ensure_checkpoint_dir(pages.sparkSession)
-    # text nodes of a template: at most those of the host's smallest page
-    known = templates(pages, min_pages).where("is_text").groupBy("host").agg(F.collect_list("token").alias("template")).checkpoint()
+    # tokens of a template: at most those of the host's smallest page
+    known = templates(pages, min_pages).groupBy("host").agg(F.collect_list("token").alias("template")).checkpoint()
     # hosts with at least 1 in SPREAD of the pages (so at most SPREAD of them) are
     # dealt over parts of about that size, each with a copy of the template
     counts = with_host(pages.withColumn("html", F.lit(""))).groupBy("host").count().checkpoint()

@@ -80,3 +80,81 @@ def test_copies_of_a_page_are_no_template(spark):
     got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     want = "Whole text\nof the page"
     assert got == {**{i: want for i in range(5)}, **{10 + i: want + "\nend" * (i % 2) for i in range(6)}}
+
+
+def test_headings_that_all_pages_share_stay(spark):
+    """Nothing of an article goes but whole wrappers that the template holds."""
+    page = ("<body><article><h1>Title {0}</h1><h2>Summary</h2><p>short {0}</p><h2>Method</h2><p>The same first line.</p><div><h3>Data</h3><p>own {0}</p></div>"
+            "<ul class=share><li><a href=x>Send</a></li><li><a href=y>Print</a></li></ul><section><div>Our letter: <p>every week</p></div></section></article></body>")
+    rows = [(i, f"http://h/{i}", page.format(i)) for i in range(4)]
+    # the list and the section are cut only where the host's template holds them: with two pages there is none
+    rows += [(10 + i, f"http://two/{i}", page.format(i).replace("class=share", "")) for i in range(2)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    kept = "Title {0}\nSummary\nshort {0}\nMethod\nThe same first line.\nData\nown {0}"
+    assert got == {**{i: kept.format(i) for i in range(4)}, **{10 + i: kept.format(i) + "\nSend\nPrint\nOur letter:\nevery week" for i in range(2)}}
+
+
+def test_unclosed_and_deep_tags_are_linear(spark):
+    import time
+    import tracemalloc
+    deep = "<article>" + "<div class=a>x" * 20_000
+    tracemalloc.start()
+    began = time.time()
+    assert extract(deep, NONE).split("\n") == ["x"] * 20_000
+    assert time.time() - began < 20 and tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+    stray = "<div>" * 5_000 + "<b>" * 5_000 + "y</i>" * 20_000
+    assert len(extract(stray, NONE)) == 20_000
+    rows = [(i, f"http://d/{i}", "<article>" + "<div class=a>x" * 3_000 + f" own {i}") for i in range(3)]
+    assert all(r.text.endswith(f"own {r.page_id}") for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+
+
+def test_main_text_equals_a_plain_reading(spark):
+    """All pages of a given table against another parser's text of their articles."""
+    from html.parser import HTMLParser
+
+    from test_pipeline import SF
+
+    class Article(HTMLParser):
+        gone = {"nav", "header", "footer", "aside", "form", "script", "style"}
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.now, self.inside, self.skip = [], "", 0, 0
+
+        def end_block(self):
+            if self.now.split():
+                self.out.append(" ".join(self.now.split()))
+            self.now = ""
+
+        def handle_starttag(self, tag, attrs):
+            marks = dict(attrs).get("class") or ""
+            if tag == "article":
+                self.inside += 1
+            self.skip += tag in self.gone or (bool(self.skip) and tag == "div") or (tag == "div" and marks in ("ad", "comments"))
+            if tag == "br":
+                self.now += " "
+            elif tag not in ("b", "i", "a", "span", "em", "strong"):
+                self.end_block()
+
+        def handle_endtag(self, tag):
+            if tag not in ("b", "i", "a", "span", "em", "strong"):
+                self.end_block()
+            if self.skip and (tag in self.gone or tag == "div"):
+                self.skip -= 1
+            if tag == "article":
+                self.inside -= 1
+
+        def handle_data(self, data):
+            if self.inside and not self.skip:
+                self.now += data
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        reader = Article()
+        reader.feed(r.html or "")
+        reader.end_block()
+        want[r.page_id] = "\n".join(reader.out)
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert got == want and sum(map(len, got.values())) > 1000
