@@ -254,4 +254,6 @@ def _crowd_links(crowds: DataFrame, shingled: DataFrame, percent: int) -> DataFr
         .select("crowd", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                 F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
                 "rep", "shingles")
-    return meets.groupBy("crowd", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
+    # one column names the pair of blocks: rows that are dealt by crowd would all count as grouped already
+    task = F.concat_ws("-", "crowd", "i", "j")
+    return meets.select(task.alias("task"), "side", "rep", "shingles").groupBy("task").applyInArrow(_compare_blocks(percent), "a long, b long")
