@@ -47,10 +47,14 @@ def sketch_quantiles(sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
 def rank_errors(df: DataFrame, quantiles: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """quantiles with ``error``: how far p lies from the exact share of rows below
     the value, 0 if it lies between the shares below and up to it. ``quantiles``
-    has a few rows per group and is joined by broadcast of one packed row a group."""
-    packed = quantiles.groupBy(*by).agg(F.collect_list(F.struct("column_name", "p", "value")).alias("q")) if by else \
-        quantiles.agg(F.collect_list(F.struct("column_name", "p", "value")).alias("q"))
-    rows = df.join(packed, list(by)) if by else df.join(F.broadcast(packed), F.lit(True))
+    has a few rows per group and is joined as one packed row a group."""
+    entry = F.struct("column_name", "p", "value")
+    if by:
+        rows = df.join(quantiles.groupBy(*by).agg(F.collect_list(entry).alias("q")), list(by))
+    else:  # one row per column and probability
+        few = quantiles.select("column_name", "p", "value").collect()
+        literals = [F.struct(F.lit(r["column_name"]).alias("column_name"), F.lit(r["p"]).alias("p"), F.lit(r["value"]).cast("double").alias("value")) for r in few]
+        rows = df.withColumn("q", F.array(*literals) if few else F.array().cast("array<struct<column_name:string,p:double,value:double>>"))
     x = F.lit(None).cast("double")
     for c in columns:
         v = F.col(f"`{c}`").cast("double")
