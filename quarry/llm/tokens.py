@@ -83,10 +83,6 @@ def binary_array(data: np.ndarray, offsets: np.ndarray, kind=None) -> pa.Array:
                                  [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def list_array(values: pa.Array, offsets: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-
-
 def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte run data[start:end] (prefix polynomial sums)."""
     up, down = _powers(len(data) + 1)
