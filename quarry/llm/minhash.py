@@ -30,6 +30,8 @@ SYMBOLS, CHUNKS = 32, 8
 WIDTH = SYMBOLS // CHUNKS
 MAX_DISTANCE = 2 * CHUNKS - 1
 BLOCK_SHINGLES = 1 << 16
+#: and at most about so many sets, however short: a task's matrices take some 60 MB
+BLOCK_SETS = 1024
 
 
 def _distinct_shingles(column):
@@ -245,9 +247,9 @@ def _distance(a: str, b: str):
 
 def _crowd_links(crowds: DataFrame, shingled: DataFrame, percent: int) -> DataFrame:
     """Verified links within each crowd: its classes are dealt into blocks of
-    about BLOCK_SHINGLES shingles and each pair of blocks is one small task."""
+    about BLOCK_SHINGLES shingles or BLOCK_SETS sets and each pair of blocks is one small task."""
     inside = shingled.join(crowds, "rep").checkpoint()
-    blocks = inside.groupBy("crowd").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks")).checkpoint()
+    blocks = inside.groupBy("crowd").agg(F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count("*") / BLOCK_SETS)).cast("int").alias("blocks")).checkpoint()
     dealt = inside.join(blocks, "crowd").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
     # block i meets every block j: the row goes to (min, max); side 2 is a block with itself
     meets = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
