@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +17,11 @@ _REGISTER = "name string, version int, path string"
 
 
 def _register(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(_REGISTER).parquet(f"{root.rstrip('/')}/register")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = f"{root.rstrip('/')}/register"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], _REGISTER)
+    return spark.read.schema(_REGISTER).parquet(path)
 
 
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
