@@ -7,35 +7,45 @@ subsequence of at least the wanted length are the upper nodes of the
 Cartesian tree over the token hashes. Sliding minima find their centres, all
 of them at once; a stack pass over these few links them into the tree.
 
-Windows with the same min-hash meet. A window's core are the tokens around its
-centre, as many as a passage has: windows of one group with one core are a
-star around the first document that has it, so a passage that thousands of
-documents share makes a link for each and no pairs. The first window of a core
-meets the group's first document and some neighbours that share the left or the
-right half of its core (two copies of a passage share one of the halves, wherever
-its centre lies), in an order of the documents that differs from function to
-function. The colliding windows of two documents are joined where their
-intervals overlap, over all hash functions; one function makes a candidate,
-which is verified on the tokens themselves.
+Windows with the same min-hash meet. Windows of one group whose tokens around
+the centre (its core, as far as a passage of the least length can reach) are
+equal are a star around the first document that has them; the first ones of up to
+FEW cores are compared with each other. More cores under one key are a crowd: all
+of it is settled on the tokens, in two ways. Every run of the least length in one
+function's crowds meets the first document that has the same run, so no exact
+repeat is lost and a passage that thousands of documents share makes a few links
+for each. And the cores of a crowd are compared with its representatives, all of
+them that have enough tokens in common: those with a passage in common are linked,
+one without is a representative itself; in a large crowd this is done in blocks,
+and then for the representatives of all blocks. The colliding windows of two
+documents are joined where their intervals overlap, over all hash functions; one
+function makes a candidate, which is verified on the tokens themselves.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from quarry.llm.shipping import written
-from quarry.llm.tokens import NOT_SPACE, _powers, binary_array, bounds, mix, row_ids, seeds, shingles, slices, words
+from quarry.llm.shipping import Shipped, written
+from quarry.llm.tokens import NOT_SPACE, _powers, binary_array, bounds, mix, ranges, row_ids, seeds, shingles, slices, words
 from quarry.session import ensure_checkpoint_dir
 
 K = 5
 FUNCTIONS = 4
-FLUSH = 1 << 19
-#: Windows of different cores that a piece leaves under one key; partners of such a window beside its key's first, for each half of its core.
-SHARED, NEIGHBOURS = 8, 2
+FLUSH = 1 << 18
+#: Cores of one key that are all paired at once; the key of more is a crowd's.
+FEW = 4
+#: Different cores of a crowd that are compared at once, tasks that those of a larger crowd are dealt over
+#: first, and blocks of representatives from which it pays to count their tokens before the blocks meet.
+BLOCK, SALTS, WIDE = 768, 16, 64
+#: Bits of a map of crowds' keys for each key, and its least and largest size (powers of two): beyond the largest some windows are looked at in vain.
+MAP_BITS, MAP_LEAST, MAP_MOST, MAP_PART = 64, 20, 28, 19
 #: Targets that one copy of a source's stretch is compared with.
 TARGETS = 2000
 #: Of a token's hash, when two stretches are compared: among some hundred tokens, a chance match once in 50,000 tokens.
@@ -93,13 +103,21 @@ def compact_windows(values: np.ndarray, counts: np.ndarray, width: int) -> tuple
     return row[keep], (low - base)[keep], (centre - base)[keep], (high - base)[keep]
 
 
-def core_hashes(tokens: np.ndarray, start: np.ndarray, centre: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Two 16-bit hashes in one number: of the tokens from start to centre and of those from centre to end."""
-    up, down = _powers(len(tokens) + 1)
+def _sums(tokens: np.ndarray) -> np.ndarray:
+    """Prefix polynomial sums: of them, _span_hashes makes the hash of any run."""
     sums = np.zeros(len(tokens) + 1, dtype=np.uint64)
-    np.cumsum(mix(tokens) * up[:len(tokens)], out=sums[1:])
-    side = lambda a, b: mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)) >> np.uint64(48)
-    return (side(start, centre + 1) << np.uint64(16) | side(centre, end)).astype(np.uint32).view(np.int32)
+    np.cumsum(mix(tokens) * _powers(len(tokens) + 1)[0][:len(tokens)], out=sums[1:])
+    return sums
+
+
+def _span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix((sums[end] - sums[start]) * _powers(len(sums))[1][start] + (end - start).astype(np.uint64))
+
+
+def core_hashes(sums: np.ndarray, start: np.ndarray, centre: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of the tokens from start to end and the centre's place among them."""
+    both = mix(_span_hashes(sums, start, end) + (centre - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (both >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _first_of(*columns) -> np.ndarray:
@@ -111,52 +129,39 @@ def _first_of(*columns) -> np.ndarray:
     return out
 
 
-def _neighbour_order(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """A pseudo-random order of documents, another one for each hash function (the key's lowest bits)."""
-    return mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (key & np.uint64(FUNCTIONS - 1)))
-
-
 def _starred(key, core, doc, span):
-    """Rows of one piece: windows under their keys, but of those with one key
-    and core only the first document's, and of the cores of one key the
-    SHARED least. Every other window makes groups of two, under keys of its own:
-    with the first one of its core, or, as a core's first, with the key's
-    first and with the NEIGHBOURS before it, in the function's order, that share
-    the left or the right half of its core."""
+    """Rows of one piece: windows under their keys, but of those with one key and
+    core only the first document's. Each other one makes a group of two with it,
+    under a key of its own."""
     order = np.lexsort((span, doc, core, key))
     key, core, doc, span = key[order], core[order], doc[order], span[order]
-    n = len(key)
-    lead = _first_of(key, core) if n else np.zeros(0, bool)
-    of_core = np.maximum.accumulate(np.where(lead, np.arange(n), 0)) if n else np.zeros(0, np.int64)
-    one, two = [np.flatnonzero(~lead)], [of_core[~lead]]
-    leads = np.flatnonzero(lead)
-    # a core's rank among those of its key: the same cores are the least ones in every piece
-    rank = mix(core[leads].astype(np.int64).view(np.uint64))
-    by_rank = leads[np.lexsort((rank, key[leads]))]
-    new = _first_of(key[by_rank]) if n else np.zeros(0, bool)
-    place = np.arange(len(by_rank)) - np.maximum.accumulate(np.where(new, np.arange(len(by_rank)), 0))
-    keep, rest = by_rank[place < SHARED], by_rank[place >= SHARED]
-    if len(rest):
-        crowd = leads[np.isin(key[leads], key[rest])]
-        by_doc = crowd[np.lexsort((doc[crowd], key[crowd]))]
-        first = _first_of(key[by_doc])
-        least = by_doc[np.maximum.accumulate(np.where(first, np.arange(len(by_doc)), 0))]
-        one.append(by_doc)
-        two.append(least)
-        for side in (core >> 16, core & 0xFFFF):
-            around = crowd[np.lexsort((_neighbour_order(doc[crowd], key[crowd]), side[crowd], key[crowd]))]
-            for lag in range(1, NEIGHBOURS + 1):
-                x, y = around[lag:], around[:-lag]
-                same = (key[x] == key[y]) & (side[x] == side[y])
-                one.append(x[same])
-                two.append(y[same])
-    one, two = np.concatenate(one), np.concatenate(two)
+    lead = _first_of(key, core)
+    of_core = np.maximum.accumulate(np.where(lead, np.arange(len(key)), 0))
+    one, two = np.flatnonzero(~lead), of_core[~lead]
     pairs = doc[one] != doc[two]
     one, two = one[pairs], two[pairs]
     own = mix(key[one] ^ mix(doc[one].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + span[one].astype(np.uint64))
               + mix(doc[two].view(np.uint64) + span[two].astype(np.uint64)))
-    take = np.concatenate([keep, one, two])
-    return np.concatenate([key[keep], own, own]), core[take], doc[take], span[take]
+    take = np.concatenate([np.flatnonzero(lead), one, two])
+    return np.concatenate([key[lead], own, own]), core[take], doc[take], span[take]
+
+
+def _tokens_of(batch) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the texts and their number in each."""
+    hashes, _, _, counts, _ = words(batch.column("text"), NOT_SPACE)
+    return _long_rows(hashes, counts)
+
+
+def _windows_of(tokens: np.ndarray, per_row: np.ndarray, width: int):
+    """For each function: key, row, low and high within the row, and the places among all tokens of
+    centre, core's start and core's end of the windows."""
+    salt, ends = seeds(FUNCTIONS, 41), bounds(per_row)
+    for k in range(FUNCTIONS):
+        values = mix(tokens ^ salt[k])
+        row, low, centre, high = compact_windows(values, per_row, width)
+        at = ends[row] + centre
+        key = values[at] & ~np.uint64(FUNCTIONS - 1) | np.uint64(k)
+        yield key, row, low, high, at, np.maximum(at - width + 1, ends[row]), np.minimum(at + width, ends[row + 1])
 
 
 def _windows(width: int):
@@ -168,19 +173,12 @@ def _windows(width: int):
                                              names=["key", "core", "doc", "span"])
 
     def run(batches):
-        salt = seeds(FUNCTIONS, 41)
         parts, held = [], 0
         for batch in slices(batches, "text"):
-            hashes, _, _, counts, _ = words(batch.column("text"), NOT_SPACE)
-            tokens, per_row = shingles(hashes, np.where(counts >= K, counts, 0), K) if (counts >= K).all() else _long_rows(hashes, counts)
-            ids, ends = batch.column("doc").to_numpy(), bounds(per_row)
-            for k in range(FUNCTIONS):
-                values = mix(tokens ^ salt[k])
-                row, low, centre, high = compact_windows(values, per_row, width)
-                at = ends[row] + centre
-                core = core_hashes(tokens, np.maximum(at - width // 2, ends[row]), at, np.minimum(at + width // 2, ends[row + 1]))
-                key = values[at] & ~np.uint64(FUNCTIONS - 1) | np.uint64(k)
-                parts.append((key, core, ids[row], (low << 32) | high))
+            tokens, per_row = _tokens_of(batch)
+            ids, sums = batch.column("doc").to_numpy(), _sums(tokens)
+            for key, row, low, high, at, start, end in _windows_of(tokens, per_row, width):
+                parts.append((key, core_hashes(sums, start, at, end), ids[row], (low << 32) | high))
                 held += len(row)
             if held >= FLUSH:
                 yield from emit(parts)
@@ -190,6 +188,255 @@ def _windows(width: int):
     return run
 
 
+def _map_place(bits: int):
+    """A key's place in a map of 2 ** bits bits: the bits above the function's."""
+    return F.shiftrightunsigned("key", 2).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _map_parts(batches):
+    """Bits of a map, packed by part of it (the table is dealt by part)."""
+    parts = {}
+    for batch in batches:
+        place, large = batch.column("place").to_numpy(), batch.column("large").to_numpy(zero_copy_only=False)
+        for kind in (False, True):
+            own = place[large] if kind else place
+            for p in np.unique(own >> MAP_PART).tolist():
+                parts.setdefault((p, kind), np.zeros(1 << MAP_PART, bool))[own[own >> MAP_PART == p] & ((1 << MAP_PART) - 1)] = True
+    for (p, kind), bits in parts.items():
+        yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([kind]), pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)])], names=["part", "large", "bits"])
+
+
+def _crowd_map(crowds: DataFrame, bits: int) -> dict:
+    """{large: bits} of the keys of crowds, 2 ** bits of them: a bounded map, whatever the number of keys."""
+    rows = crowds.select(_map_place(bits).alias("place"), "large").withColumn("part", F.shiftright("place", MAP_PART)) \
+        .repartition(8, "part").mapInArrow(_map_parts, "part long, large boolean, bits binary").collect()
+    out = {kind: np.zeros(1 << max(bits - 3, MAP_PART - 3), np.uint8) for kind in (False, True)}
+    for r in rows:
+        out[r.large][r.part * (1 << MAP_PART - 3):(r.part + 1) * (1 << MAP_PART - 3)] |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
+    return out
+
+
+def _crowd_rows(width: int, bits: int, shipped: Shipped):
+    """Windows whose key is in the map, with the 24-bit tokens of their cores
+    (salt 0, or 1 to SALTS in a large crowd), and the runs of ``width``
+    tokens that the first function's windows among them stand for (salt -1)."""
+    def run(batches):
+        known = shipped.value
+        has = lambda kind, key: (known[kind][(place := (key >> np.uint64(2) & np.uint64((1 << bits) - 1)).astype(np.int64)) >> 3] >> (7 - (place & 7)) & 1).astype(bool)
+        for batch in slices(batches, "text"):
+            tokens, per_row = _tokens_of(batch)
+            small = np.ascontiguousarray(tokens.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]
+            ids, ends, sums = batch.column("doc").to_numpy(), bounds(per_row), _sums(tokens)
+            for k, found in enumerate(_windows_of(tokens, per_row, width)):
+                key, row, low, high, at, start, end = (x[has(False, found[0])] for x in found)
+                doc, span = ids[row], (low << 32) | high
+                salt = np.where(has(True, key), 1 + mix(doc.view(np.uint64)) % np.uint64(SALTS), np.uint64(0)).astype(np.int32)
+                for lo in range(0, len(key), 1 << 13):
+                    cut = slice(lo, lo + (1 << 13))
+                    size = end[cut] - start[cut]
+                    part = binary_array(small[ranges(start[cut], size)].ravel(), bounds(size * TOKEN_BYTES))
+                    yield pa.RecordBatch.from_arrays([pa.array(key[cut].view(np.int64)), pa.array(salt[cut]), pa.array(doc[cut]), pa.array(span[cut]), part], names=CROWD)
+                if k == 0 and len(key):
+                    first, last = np.maximum(low + ends[row], at - width + 1), np.minimum(at, high + ends[row] - width + 1)
+                    size = last - first + 1
+                    begin, of = ranges(first, size), row_ids(size)
+                    run_key = _span_hashes(sums, begin, begin + width).view(np.int64)
+                    for lo in range(0, len(begin), 1 << 16):
+                        own = of[lo:lo + (1 << 16)]
+                        yield pa.RecordBatch.from_arrays([pa.array(run_key[lo:lo + (1 << 16)]), pa.array(np.full(len(own), -1, np.int32)), pa.array(doc[own]), pa.array(span[own]),
+                                                          pa.nulls(len(own), pa.binary())], names=CROWD)
+    return run
+
+
+CROWD = ["key", "salt", "doc", "span", "tokens"]
+CROWD_TYPE = "key long, salt int, doc long, span long, tokens binary"
+
+
+def _common(cores: list[np.ndarray], width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Places (rising) of the cores that may have a passage in common with another
+    one; for each pair of them if it may; and their tokens as a table of bits and
+    as its columns (0: in no other core). Two passages have ``similarity`` of the
+    tokens of the larger one in common, and a passage of a core has ``width`` tokens
+    less those that come again."""
+    sizes = np.array([len(c) for c in cores], dtype=np.int64)
+    every = np.concatenate(cores).astype(np.uint64)
+    both = np.unique(row_ids(sizes).astype(np.uint64) << np.uint64(32) | every)
+    row, token = (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF)
+    need = needed(sizes, np.bincount(row, minlength=len(cores)), width, similarity)
+    while len(row):
+        _, at, often = np.unique(token, return_inverse=True, return_counts=True)
+        have = np.bincount(row[often[at] > 1], minlength=len(cores))
+        keep = (often[at] > 1) & (have >= need)[row]
+        if keep.all():
+            break
+        row, token = row[keep], token[keep]
+    left, row = np.unique(row, return_inverse=True)
+    known, column = np.unique(token, return_inverse=True)
+    bits = np.zeros((len(left), len(known) + 1), dtype=bool)
+    bits[row, column + 1] = True
+    shared = np.zeros((len(left), len(left)), dtype=np.float32)
+    for lo in range(1, bits.shape[1], 4096):
+        part = bits[:, lo:lo + 4096].astype(np.float32)
+        shared += part @ part.T
+    columns = []
+    for i in left.tolist():
+        own = cores[i].astype(np.uint64)
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        columns.append(np.where(known[at] == own, at + 1, 0))
+    return left, shared >= np.maximum(need[left][:, None], need[left][None, :]), bits, columns
+
+
+def needed(sizes: np.ndarray, distinct: np.ndarray, width: int, similarity: float) -> np.ndarray:
+    """Different tokens that a core has at least in common with one that shares a passage with it."""
+    return np.ceil(similarity * np.maximum(width - (sizes - distinct), 1) - 1e-9).astype(np.int64)
+
+
+def _represented(rows: list[tuple], width: int, similarity: float, other=None) -> tuple[list[tuple[int, int]], list[int]]:
+    """rows: (doc, span, tokens, ...), sorted. (earlier, later) of those that share
+    a passage, each one with the representatives before it as long as they have
+    passages that were not covered yet, and the representatives: those that share none
+    with an earlier one of another document. With ``other`` (earlier, later),
+    which tells the pairs to compare, all are representatives."""
+    cores = [_tokens(r[2]) for r in rows]
+    places, may, bits, columns = _common(cores, width, similarity)
+    links, settled, heads = [], np.zeros(len(rows), dtype=bool), np.zeros(len(places), dtype=bool)
+    share = 2 * similarity / (1 + similarity)
+    for j, b in enumerate(places.tolist()):
+        near = np.flatnonzero(may[j, :j] & heads[:j])
+        near = near[[rows[places[a]][0] != rows[b][0] and (other is None or other(rows[places[a]], rows[b])) for a in near]] if len(near) else near
+        hit = bits[near][:, columns[j]]
+        # hits less the wanted ones: a run of at least width must have enough of them
+        above = np.zeros((len(near), hit.shape[1] + 1))
+        np.cumsum(hit - share, axis=1, out=above[:, 1:])
+        if len(near) and hit.shape[1] >= width:
+            may_hold = (above[:, width:] - np.minimum.accumulate(above, axis=1)[:, :-width]).max(axis=1) > -1e-6
+        else:
+            may_hold = np.zeros(len(near), dtype=bool)
+        open_ = np.ones(len(cores[b]), dtype=bool)
+        for x in np.flatnonzero(may_hold)[np.argsort(-hit[may_hold].sum(axis=1), kind="stable")].tolist():
+            if not open_.any():
+                break
+            if not (hit[x] & open_).any():
+                continue
+            a = int(places[near[x]])
+            found = verified_passages(cores[a], cores[b], width, similarity)
+            if any(open_[first:last + 1].any() for first, last, *_ in found):
+                links.append((a, b))
+            for first, last, *_ in found:
+                settled[b] = True
+                open_[first:last + 1] = False
+        heads[j] = other is not None or not settled[b]
+    return links, np.flatnonzero(~settled).tolist()
+
+
+def _links(pairs: list[tuple]) -> list:
+    """Columns src, dst, s_span and d_span of pairs of windows (doc, span)."""
+    pairs = [(a, b) if a < b else (b, a) for a, b in pairs]
+    return [pa.array([p[i][f] for p in pairs], pa.int64()) for f in (0, 1) for i in (0, 1)]
+
+
+def _meet(width: int, similarity: float):
+    """Rows of _crowd_rows sorted by salt, key, doc and span: links (src, dst, s_span, d_span), and the
+    representatives of a large crowd's part (key, src and s_span its window's, tokens)."""
+    def settle(key, salt, rows):
+        links, heads = _represented(rows, width, similarity)
+        own = [rows[i] for i in heads] if salt else []
+        if not links and not own:
+            return
+        columns = _links([(rows[a][:2], rows[b][:2]) for a, b in links])
+        none = pa.nulls(len(own), pa.int64())
+        extra = [pa.array([r[0] for r in own], pa.int64()), none, pa.array([r[1] for r in own], pa.int64()), none]
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([c, e]) for c, e in zip(columns, extra)] + [
+            pa.array([None] * len(links) + [key] * len(own), pa.int64()), pa.array([None] * len(links) + [r[2] for r in own], pa.binary())], names=MET)
+
+    def run(batches):
+        now, rows, seen, run_key, first = None, [], set(), None, None
+        for batch in batches:
+            salts = batch.column("salt").to_numpy()
+            runs = int(np.searchsorted(salts, 0))
+            if runs:
+                key, doc, span = (batch.column(c).to_numpy()[:runs] for c in ("key", "doc", "span"))
+                lead = _first_of(key)
+                lead[0] = run_key is None or key[0] != run_key
+                of = np.maximum.accumulate(np.where(lead, np.arange(runs), -1))
+                src = np.where(of >= 0, doc[of], first[0] if first else 0)
+                s_span = np.where(of >= 0, span[of], first[1] if first else 0)
+                run_key, first = key[-1], (int(src[-1]), int(s_span[-1]))
+                pair = np.stack([src, doc, s_span, span])[:, src != doc]
+                if pair.shape[1]:
+                    yield pa.RecordBatch.from_arrays([*(pa.array(p) for p in pair), pa.nulls(pair.shape[1], pa.int64()), pa.nulls(pair.shape[1], pa.binary())], names=MET)
+            for key, salt, doc, span, tokens in zip(*(batch.slice(runs).column(c).to_pylist() for c in CROWD)):
+                if now != (key, salt) or salt and len(rows) >= BLOCK:
+                    if len(rows) > 1 or rows and now[1]:
+                        yield from settle(*now, rows)
+                    now, rows, seen = (key, salt), [], set()
+                if tokens not in seen:  # a copy of the core has its link already
+                    seen.add(tokens)
+                    rows.append((doc, span, tokens))
+        if len(rows) > 1 or rows and now[1]:
+            yield from settle(*now, rows)
+    return run
+
+
+MET = ["src", "dst", "s_span", "d_span", "key", "tokens"]
+LINK_TYPE = "src long, dst long, s_span long, d_span long"
+MET_TYPE = LINK_TYPE + ", key long, tokens binary"
+
+
+def _core_tokens(width: int, similarity: float):
+    """The different tokens of each representative, and how many of them it must share."""
+    def run(batches):
+        for batch in batches:
+            full = [_tokens(t) for t in batch.column("tokens").to_pylist()]
+            cores = [np.unique(c) for c in full]
+            size = np.array([len(c) for c in cores], dtype=np.int64)
+            need = needed(np.array([len(c) for c in full], dtype=np.int64), size, width, similarity)
+            of = row_ids(size)
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(of), batch.column("src").take(of), batch.column("s_span").take(of), pa.array(need[of]),
+                                              pa.array(np.concatenate([*cores, np.zeros(0, np.uint32)]).astype(np.int32))], names=["key", "src", "s_span", "need", "token"])
+    return run
+
+
+def _across(width: int, similarity: float):
+    """Links of one pair of blocks of representatives, which are compared with all of the other block."""
+    def run(table):
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("src", "s_span", "tokens", "side"))))
+        same = table.column("one")[0].as_py() == table.column("two")[0].as_py()
+        links, _ = _represented(rows, width, similarity, lambda a, b: same or a[3] != b[3])
+        pairs = [(rows[a][:2], rows[b][:2]) for a, b in links]
+        return pa.table(_links(pairs), names=MET[:4])
+    return run
+
+
+def _crowd_links(texts: DataFrame, crowds: DataFrame, width: int, similarity: float) -> DataFrame | None:
+    """Pairs of windows (src, dst, s_span, d_span) of crowds: keys, and if they are large."""
+    spark = texts.sparkSession
+    n, many = int(spark.conf.get("spark.sql.shuffle.partitions")), crowds.count()
+    if not many:
+        return None
+    bits = min(max((MAP_BITS * many).bit_length(), MAP_LEAST), MAP_MOST)
+    shipped = Shipped(spark, _crowd_map(crowds, bits))
+    rows = texts.mapInArrow(_crowd_rows(width, bits, shipped), CROWD_TYPE).repartition(n, "key", "salt").sortWithinPartitions("salt", "key", "doc", "span")
+    met = written(rows.mapInArrow(_meet(width, similarity), MET_TYPE), "crowd-links")
+    links = met.where("dst is not null").select(*MET[:4])
+    heads = met.where("dst is null").drop("dst", "d_span")
+    if not crowds.where("large").head(1):
+        return links
+    blocks = lambda heads: written(heads.join(heads.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "key"), "crowd-heads")
+    heads = blocks(heads)
+    wide = heads.where(F.col("blocks") > WIDE).drop("blocks")
+    if wide.head(1):
+        # what has too few tokens that come again among all of its crowd is like none of it
+        tokens = wide.mapInArrow(_core_tokens(width, similarity), "key long, src long, s_span long, need long, token int")
+        again = tokens.withColumn("often", F.count("*").over(W.Window.partitionBy("key", "token"))).where("often > 1")
+        may = again.groupBy("key", "src", "s_span").agg(F.count("*").alias("have"), F.first("need").alias("need")).where("have >= need")
+        heads = heads.where(F.col("blocks") <= WIDE).unionByName(blocks(wide.join(may.drop("have", "need"), ["key", "src", "s_span"])))
+    heads = heads.withColumn("side", F.pmod(F.xxhash64("src"), "blocks").cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .withColumns({"one": F.least("side", "other"), "two": F.greatest("side", "other")})
+    return links.unionByName(heads.groupBy("key", "one", "two").applyInArrow(_across(width, similarity), LINK_TYPE))
+
+
 def _long_rows(hashes, counts):
     """Shingles of the rows with at least K words; the others have none."""
     keep = np.repeat(counts >= K, counts)
@@ -256,6 +503,8 @@ def verified_passages(source: np.ndarray, target: np.ndarray, width: int, simila
     at = np.minimum(np.searchsorted(known, target), max(len(known) - 1, 0))
     hit = known[at] == target if len(known) else np.zeros(len(target), bool)
     share = 2 * similarity / (1 + similarity)
+    if np.count_nonzero(hit) < share * width - 1e-9:
+        return []
     out, todo = [], [(0, len(target), 0)]
     while todo:
         lo, hi, level = todo.pop()
@@ -324,10 +573,11 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     Words are what stands between white space, A-Z lower-cased. A passage has
     at least ``min_words`` words, and its set of five-word shingles has a
     Jaccard similarity of at least ``similarity`` with that of its source.
-    A passage is compared with the first document that has its min-hash and the
-    tokens around it, or else with the first that has the min-hash and with 2 x
-    NEIGHBOURS others that share half of those tokens, not with all. One of the
-    FUNCTIONS hash functions is enough for a candidate. Repeats within one document are no passages here.
+    Every run of ``min_words`` words that an earlier document has, too, is in a
+    passage. Others need the same min-hash under one of the FUNCTIONS hash
+    functions. They are compared with all different surroundings of the min-hash
+    or, if there are more than FEW, with one representative of those that share
+    a passage. Repeats within one document are no passages here.
     Null, empty and short texts have none; rows with a null doc_id take no
     part; rows that repeat a doc_id count as one document if they are equal
     and should not differ. Other columns are ignored; an empty table gives no
@@ -338,20 +588,27 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
     found = texts.mapInArrow(_windows(width), "key long, core int, doc long, span long")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_doc = W.Window.partitionBy("key").orderBy("doc", "span")
-    of_core = W.Window.partitionBy("key", "core").orderBy("doc", "span")
-    order = [F.xxhash64("doc", F.col("key").bitwiseAND(F.lit(FUNCTIONS - 1))), "doc", "span"]
-    sides = [W.Window.partitionBy("key", s).orderBy(*order) for s in ("left", "right")]
-    upto = lambda w: w.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)
     at = F.struct("doc", "span")
-    met = found.repartition(n, "key").withColumn("first", F.first(at).over(upto(by_doc))).withColumn("alone", F.count("*").over(W.Window.partitionBy("key")) == 1) \
-        .where("not alone").withColumn("copy", F.first(at).over(upto(of_core)))
-    near = F.array(*[F.lag(at, k).over(w) for w in sides for k in range(1, NEIGHBOURS + 1)])
-    met = met.withColumns({"left": F.shiftright("core", 16), "right": F.col("core").bitwiseAND(F.lit(0xFFFF))}).withColumn("near", near).select("doc", "span", F.explode(F.when(F.col("copy.doc") < F.col("doc"), F.array("copy"))
-                                              .otherwise(F.array_compact(F.array_distinct(F.concat(F.array("first"), "near"))))).alias("s")) \
-        .where("doc <> s.doc").select(*[F.least(F.struct("doc", "span"), F.struct(F.col("s.doc").alias("doc"), F.col("s.span").alias("span"))).alias("low"),
-                                        F.greatest(F.struct("doc", "span"), F.struct(F.col("s.doc").alias("doc"), F.col("s.span").alias("span"))).alias("high")]) \
-        .select(F.col("low.doc").alias("src"), F.col("high.doc").alias("dst"), F.col("low.span").alias("s_span"), F.col("high.span").alias("d_span"))
+    of_core, of_key = W.Window.partitionBy("key", "core").orderBy("doc", "span"), W.Window.partitionBy("key")
+    met = found.repartition(n, "key").withColumn("copy", F.first(at).over(of_core.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow))) \
+        .withColumn("lead", F.row_number().over(of_core) == 1) \
+        .withColumns({"cores": F.sum(F.col("lead").cast("int")).over(of_key), "least": F.min("doc").over(of_key), "most": F.max("doc").over(of_key)}) \
+        .where("least < most")
+    leads = W.Window.partitionBy("key", "lead").orderBy("doc", "span")
+    met = met.withColumn("place", F.row_number().over(leads)).withColumn("near", F.array_compact(F.array(*[F.lag(at, k).over(leads) for k in range(1, FEW)])))
+    # a crowd is one row: its key, without windows
+    none = F.lit(None).cast("long")
+    met = met.withColumn("s", F.explode(F.when(~F.col("lead"), F.array("copy")).when(F.col("cores") <= FEW, F.col("near"))
+                                        .when(F.col("place") == 1, F.array(F.struct(none.alias("doc"), none.alias("span")))).otherwise(F.array()))) \
+        .where("s.doc is null or doc <> s.doc").select(
+            F.when(F.col("s.doc").isNull(), F.col("key")).alias("key"), (F.col("cores") > BLOCK).alias("large"),
+            F.least(at, "s").alias("low"), F.greatest(at, "s").alias("high"), "s") \
+        .select("key", "large", F.when(F.col("key").isNull(), F.col("low.doc")).alias("src"), F.when(F.col("key").isNull(), F.col("high.doc")).alias("dst"),
+                F.col("low.span").alias("s_span"), F.col("high.span").alias("d_span"))
+    met = written(met, "window-links")
+    crowd = _crowd_links(texts, met.where("key is not null").select("key", "large"), width, similarity)
+    met = met.where("key is null").select(*MET[:4])
+    met = met.unionByName(crowd) if crowd is not None else met
 
     # overlapping windows of two documents are one candidate; a near copy goes on
     # beyond the window where a changed token has a smaller hash

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.llm import substring
 from quarry.llm.substring import compact_windows, dense_segments, remove_passages, repeated_passages, verified_passages
 
 SCHEMA = "doc_id long, text string, key long, doc long, span string"
@@ -134,3 +135,77 @@ def test_decoys_hide_no_exact_repeat(spark):
             if first.setdefault(run, d) != d:
                 assert set(range(i, i + 50)) <= covered.get(d, set()), (d, i)
     assert {r.doc_id for r in got} == {b for _, b in pairs} | {d for d, t in rows if "often69" in t and d != min(e for e, u in rows if "often69" in u)}
+
+
+def runs_that_come_again(rows, n=50):
+    """{doc: word places} of the runs of n words that a smaller doc_id has, too."""
+    first, out = {}, {}
+    for d, text in sorted(rows):
+        w = text.split()
+        for i in range(len(w) - n + 1):
+            if first.setdefault(tuple(w[i:i + n]), d) != d:
+                out.setdefault(d, set()).update(range(i, i + n))
+    return out
+
+
+@pytest.mark.parametrize("block, wide", [(None, None), (16, 64), (16, 0)])
+def test_a_crowd_around_a_phrase_hides_no_repeat(spark, monkeypatch, block, wide):
+    """332 documents have one phrase of 45 words. Around it 60 pairs share a passage of 60 words, and 60
+    other pairs one in which a word is another one; groups of four share parts of a longer passage."""
+    if block:  # a large crowd: representatives of blocks meet again
+        monkeypatch.setattr(substring, "BLOCK", block)
+        monkeypatch.setattr(substring, "WIDE", wide)
+    rng = random.Random(5)
+    phrase = [f"phrase{i}" for i in range(45)]
+    ids = list(range(1000))
+    rng.shuffle(ids)
+    rows, pairs, near = [], set(), set()
+
+    def add(words):
+        d = ids.pop()
+        rows.append((d, " ".join(own_words(d, rng.randrange(20, 60)) + words + own_words(d + 10_000, rng.randrange(20, 60)))))
+        return d
+
+    for p in range(60):
+        at = rng.randrange(16)
+        passage = [f"p{p}x{i}" for i in range(at)] + phrase + [f"p{p}x{i}" for i in range(at, 15)]
+        pairs.add(tuple(sorted((add(passage), add(passage)))))
+        other = [f"q{p}x{i}" for i in range(at)] + phrase + [f"q{p}x{i}" for i in range(at, 15)]
+        changed = list(other)
+        changed[at - 1 if at > 7 else at + 45] = f"changed{p}"
+        near.add(tuple(sorted((add(other), add(changed)))))
+    for p in range(8):  # each two of them have other words in common
+        long = [f"r{p}x{i}" for i in range(30)] + phrase + [f"r{p}x{i}" for i in range(30, 60)]
+        for cut in (long[:82], long[20:90], long[26:80], long[28:]):
+            add(cut)
+    for _ in range(60):
+        add(phrase)
+    got = repeated_passages(frame(spark, rows)).collect()
+    found, covered = {(r.source_id, r.doc_id) for r in got}, {}
+    for r in got:
+        covered.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.n_words))
+    assert pairs <= found and near <= found
+    again = runs_that_come_again(rows)
+    assert again and all(places <= covered.get(d, set()) for d, places in again.items())
+
+
+def test_equal_cores_do_not_hide_a_longer_repeat(spark):
+    """The first document of each three has 180 of the 185 words that the others share."""
+    rng = random.Random(8)
+    rows = []
+    for p in range(250):
+        passage = [f"p{p}x{i}" for i in range(185)]
+        parts = [passage[:180]] + [passage] * 2
+        rows += [(3 * p + j, " ".join(own_words(3 * p + j, rng.randrange(5, 60)) + part + own_words(3 * p + j + 10_000, rng.randrange(5, 60)))) for j, part in enumerate(parts)]
+    got, covered = repeated_passages(frame(spark, rows)).collect(), {}
+    for r in got:
+        covered.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.n_words))
+    assert all(places <= covered.get(d, set()) for d, places in runs_that_come_again(rows).items())
+
+
+def test_crowds_make_few_links(spark):
+    """A passage in 600 documents, and a phrase in 600 others: links grow with the documents, not with their pairs."""
+    passage, phrase = [f"s{i}" for i in range(56)], [f"phrase{i}" for i in range(20)]
+    rows = [(d, " ".join(own_words(d, 70) + (passage if d % 2 else phrase) + own_words(d + 10_000, 70))) for d in range(1200)]
+    got = repeated_passages(frame(spark, rows)).collect()
+    assert {r.doc_id for r in got} == set(range(3, 1200, 2)) and len({(r.source_id, r.doc_id) for r in got}) < 20 * 600
