@@ -14,10 +14,10 @@ FEW cores are compared with each other. More cores under one key are a crowd: al
 of it is settled on the tokens, in two ways. Every run of the least length in one
 function's crowds meets the first document that has the same run, so no exact
 repeat is lost and a passage that thousands of documents share makes a few links
-for each. And the cores of a crowd are compared with its representatives, all of
-them that have enough tokens in common: those with a passage in common are linked,
-one without is a representative itself; in a large crowd this is done in blocks,
-and then for the representatives of all blocks. The colliding windows of two
+for each. And each different core of a crowd is compared with all earlier ones that
+have enough tokens in common, whatever these share with others, until passages
+hold all of its tokens that another core could hold, too; in a large crowd first in
+blocks, and then what is open yet with the blocks of all. The colliding windows of two
 documents are joined where their intervals overlap, over all hash functions; one
 function makes a candidate, which is verified on the tokens themselves.
 """
@@ -42,14 +42,14 @@ FLUSH = 1 << 18
 #: Cores of one key that are all paired at once; the key of more is a crowd's.
 FEW = 4
 #: Different cores of a crowd that are compared at once, tasks that those of a larger crowd are dealt over
-#: first, and blocks of representatives from which it pays to count their tokens before the blocks meet.
-BLOCK, SALTS, WIDE = 768, 16, 64
+#: first, and blocks from which it pays to count their tokens before the blocks meet.
+BLOCK, SALTS, WIDE = 768, 16, 1
 #: Bits of a map of crowds' keys for each key, and its least and largest size (powers of two): beyond the largest some windows are looked at in vain.
 MAP_BITS, MAP_LEAST, MAP_MOST, MAP_PART = 64, 20, 28, 19
 #: Targets that one copy of a source's stretch is compared with.
 TARGETS = 2000
-#: Of a token's hash, when two stretches are compared: among some hundred tokens, a chance match once in 50,000 tokens.
-TOKEN_BYTES = 3
+#: Of a token's hash, when two stretches or the cores of a crowd are compared: a crowd of a million tokens has one by chance once in 4,000.
+TOKEN_BYTES = 4
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -76,15 +76,14 @@ def window_centres(values: np.ndarray, counts: np.ndarray, width: int) -> np.nda
 
 def compact_windows(values: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, l, c, r) of the compact windows that hold a run of ``width``; l, c
-    and r count within the row. Of equal values only the first one's window
-    stays: it holds the others'."""
+    and r count within the row. A run with equal least values is in the window of
+    the first one of them, as its copy in another text is."""
     at = bounds(counts)
     centre = window_centres(values, counts, width)
     row = np.searchsorted(at, centre, side="right") - 1
     value = values[centre].tolist()
     rows, places = row.tolist(), centre.tolist()
     low, high = at[row].tolist(), (at[row + 1] - 1).tolist()
-    keep = np.ones(len(value), dtype=bool)
     stack: list[int] = []
     for i, v in enumerate(value):
         if stack and rows[stack[-1]] != rows[i]:
@@ -92,13 +91,10 @@ def compact_windows(values: np.ndarray, counts: np.ndarray, width: int) -> tuple
         while stack and value[stack[-1]] > v:
             high[stack.pop()] = places[i] - 1
         if stack:
-            if value[stack[-1]] == v:
-                keep[i] = False
-                continue
             low[i] = places[stack[-1]] + 1
         stack.append(i)
     low, high = np.array(low, dtype=np.int64), np.array(high, dtype=np.int64)
-    keep &= high - low + 1 >= width
+    keep = high - low + 1 >= width
     base = at[row]
     return row[keep], (low - base)[keep], (centre - base)[keep], (high - base)[keep]
 
@@ -217,7 +213,7 @@ def _crowd_map(crowds: DataFrame, bits: int) -> dict:
 
 
 def _crowd_rows(width: int, bits: int, shipped: Shipped):
-    """Windows whose key is in the map, with the 24-bit tokens of their cores
+    """Windows whose key is in the map, with the 32-bit tokens of their cores
     (salt 0, or 1 to SALTS in a large crowd), and the runs of ``width``
     tokens that the first function's windows among them stand for (salt -1)."""
     def run(batches):
@@ -252,12 +248,13 @@ CROWD = ["key", "salt", "doc", "span", "tokens"]
 CROWD_TYPE = "key long, salt int, doc long, span long, tokens binary"
 
 
-def _common(cores: list[np.ndarray], width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def _common(cores: list[np.ndarray], wanted: np.ndarray, width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Places (rising) of the cores that may have a passage in common with another
-    one; for each pair of them if it may; and their tokens as a table of bits and
-    as its columns (0: in no other core). Two passages have ``similarity`` of the
-    tokens of the larger one in common, and a passage of a core has ``width`` tokens
-    less those that come again."""
+    one; which of them are wanted; the tokens that these have in common with each,
+    0 if too few for a passage; and the tokens as a table of bits and as its columns
+    (0: in no other core). Two passages have ``similarity`` of the tokens of the larger
+    one in common, and a passage of a core has ``width`` tokens less those that come
+    again."""
     sizes = np.array([len(c) for c in cores], dtype=np.int64)
     every = np.concatenate(cores).astype(np.uint64)
     both = np.unique(row_ids(sizes).astype(np.uint64) << np.uint64(32) | every)
@@ -274,16 +271,17 @@ def _common(cores: list[np.ndarray], width: int, similarity: float) -> tuple[np.
     known, column = np.unique(token, return_inverse=True)
     bits = np.zeros((len(left), len(known) + 1), dtype=bool)
     bits[row, column + 1] = True
-    shared = np.zeros((len(left), len(left)), dtype=np.float32)
+    own = np.flatnonzero(wanted[left])
+    shared = np.zeros((len(own), len(left)), dtype=np.float32)
     for lo in range(1, bits.shape[1], 4096):
         part = bits[:, lo:lo + 4096].astype(np.float32)
-        shared += part @ part.T
+        shared += part[own] @ part.T
     columns = []
     for i in left.tolist():
-        own = cores[i].astype(np.uint64)
-        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-        columns.append(np.where(known[at] == own, at + 1, 0))
-    return left, shared >= np.maximum(need[left][:, None], need[left][None, :]), bits, columns
+        core = cores[i].astype(np.uint64)
+        at = np.minimum(np.searchsorted(known, core), len(known) - 1)
+        columns.append(np.where(known[at] == core, at + 1, 0))
+    return left, own, np.where(shared >= np.maximum(need[left][own][:, None], need[left][None, :]), shared, 0), bits, columns
 
 
 def needed(sizes: np.ndarray, distinct: np.ndarray, width: int, similarity: float) -> np.ndarray:
@@ -291,42 +289,62 @@ def needed(sizes: np.ndarray, distinct: np.ndarray, width: int, similarity: floa
     return np.ceil(similarity * np.maximum(width - (sizes - distinct), 1) - 1e-9).astype(np.int64)
 
 
-def _represented(rows: list[tuple], width: int, similarity: float, other=None) -> tuple[list[tuple[int, int]], list[int]]:
+def _may_cover(hit: np.ndarray, open_: np.ndarray, share: float, width: int) -> np.ndarray:
+    """bool per row of hits: if a run of at least ``width`` that begins and ends with a hit and has
+    enough of them may hold one of the tokens ``open_``."""
+    size = hit.shape[1]
+    if size < width or not len(hit):
+        return np.zeros(len(hit), dtype=bool)
+    above = np.zeros((len(hit), size + 1))  # hits less the wanted ones
+    np.cumsum(hit - share, axis=1, out=above[:, 1:])
+    least = np.minimum.accumulate(above, axis=1)
+    most = np.maximum.accumulate(above[:, ::-1], axis=1)[:, ::-1]
+    holds = (above[:, width:] - least[:, :-width]).max(axis=1) > -1e-6
+    place, first, last = np.arange(size), hit.argmax(axis=1)[:, None], size - 1 - hit[:, ::-1].argmax(axis=1)[:, None]
+    return holds & ((most[:, 1:] - least[:, :-1] > -1e-6) & open_ & (place >= first) & (place <= last)).any(axis=1)
+
+
+def _settled(rows: list[tuple], sources: np.ndarray, opens: list, width: int, similarity: float) -> list[tuple[int, int]]:
     """rows: (doc, span, tokens, ...), sorted. (earlier, later) of those that share
-    a passage, each one with the representatives before it as long as they have
-    passages that were not covered yet, and the representatives: those that share none
-    with an earlier one of another document. With ``other`` (earlier, later),
-    which tells the pairs to compare, all are representatives."""
-    cores = [_tokens(r[2]) for r in rows]
-    places, may, bits, columns = _common(cores, width, similarity)
-    links, settled, heads = [], np.zeros(len(rows), dtype=bool), np.zeros(len(places), dtype=bool)
-    share = 2 * similarity / (1 + similarity)
-    for j, b in enumerate(places.tolist()):
-        near = np.flatnonzero(may[j, :j] & heads[:j])
-        near = near[[rows[places[a]][0] != rows[b][0] and (other is None or other(rows[places[a]], rows[b])) for a in near]] if len(near) else near
-        hit = bits[near][:, columns[j]]
-        # hits less the wanted ones: a run of at least width must have enough of them
-        above = np.zeros((len(near), hit.shape[1] + 1))
-        np.cumsum(hit - share, axis=1, out=above[:, 1:])
-        if len(near) and hit.shape[1] >= width:
-            may_hold = (above[:, width:] - np.minimum.accumulate(above, axis=1)[:, :-width]).max(axis=1) > -1e-6
-        else:
-            may_hold = np.zeros(len(near), dtype=bool)
-        open_ = np.ones(len(cores[b]), dtype=bool)
-        for x in np.flatnonzero(may_hold)[np.argsort(-hit[may_hold].sum(axis=1), kind="stable")].tolist():
-            if not open_.any():
-                break
-            if not (hit[x] & open_).any():
-                continue
-            a = int(places[near[x]])
-            found = verified_passages(cores[a], cores[b], width, similarity)
-            if any(open_[first:last + 1].any() for first, last, *_ in found):
-                links.append((a, b))
-            for first, last, *_ in found:
-                settled[b] = True
-                open_[first:last + 1] = False
-        heads[j] = other is not None or not settled[b]
-    return links, np.flatnonzero(~settled).tolist()
+    a passage: each row with ``opens``, bool per token, against all sources before it,
+    whatever these share with others, as long as a passage may hold a token that is
+    open yet; what it holds is open no more."""
+    cores, docs = [_tokens(r[2]) for r in rows], np.array([r[0] for r in rows])
+    # what a core's passages hold is one run (two do not fit side by side): one that goes on ends with an open token that the other core has, too
+    free = [c[o] if o is not None else c[:0] for c, o in zip(cores, opens)]
+    known, often = np.unique(np.concatenate([np.unique(c) for c, own in zip(cores, sources) if own] or [cores[0][:0]]), return_counts=True)
+    of = row_ids(np.array([len(f) for f in free], dtype=np.int64))
+    every = np.concatenate(free)
+    at = np.minimum(np.searchsorted(known, every), max(len(known) - 1, 0))
+    again = (known[at] == every) & (often[at] > sources[of]) if len(known) else np.zeros(len(every), dtype=bool)
+    wanted = np.bincount(of[again], minlength=len(rows)) > 0
+    if not wanted.any():
+        return []
+    places, own, shared, bits, columns = _common(cores, wanted, width, similarity)
+    links, share = [], 2 * similarity / (1 + similarity)
+    for i, j in enumerate(own.tolist()):
+        b = int(places[j])
+        near = np.flatnonzero(shared[i, :j])
+        near = near[sources[places[near]] & (docs[places[near]] != docs[b])]
+        near = near[np.argsort(-shared[i, near], kind="stable")]
+        open_, step = opens[b], 8
+        while len(near) and open_.any():
+            some, near = near[:step], near[step:]
+            hit = bits[np.ix_(some, columns[j])]
+            may, step = _may_cover(hit, open_, share, width), 256
+            closed = False  # since may was told
+            for x in np.flatnonzero(may).tolist():
+                if closed and not _may_cover(hit[x:x + 1], open_, share, width)[0]:
+                    continue
+                a = int(places[some[x]])
+                found = verified_passages(cores[a], cores[b], width, similarity)
+                if any(open_[first:last + 1].any() for first, last, *_ in found):
+                    links.append((a, b))
+                for first, last, *_ in found:
+                    open_[first:last + 1] = False
+                closed |= bool(found)
+            near = near[bits[np.ix_(near, columns[j][open_])].any(axis=1)]
+    return links
 
 
 def _links(pairs: list[tuple]) -> list:
@@ -337,17 +355,19 @@ def _links(pairs: list[tuple]) -> list:
 
 def _meet(width: int, similarity: float):
     """Rows of _crowd_rows sorted by salt, key, doc and span: links (src, dst, s_span, d_span), and the
-    representatives of a large crowd's part (key, src and s_span its window's, tokens)."""
+    cores of a large crowd's part (key, src and s_span its window's, tokens, and which of them are open)."""
     def settle(key, salt, rows):
-        links, heads = _represented(rows, width, similarity)
-        own = [rows[i] for i in heads] if salt else []
+        opens = [np.ones(len(r[2]) // TOKEN_BYTES, dtype=bool) for r in rows]
+        links = _settled(rows, np.ones(len(rows), dtype=bool), opens, width, similarity)
+        own, masks = (rows, [np.packbits(o).tobytes() if o.any() else None for o in opens]) if salt else ([], [])
         if not links and not own:
             return
         columns = _links([(rows[a][:2], rows[b][:2]) for a, b in links])
         none = pa.nulls(len(own), pa.int64())
         extra = [pa.array([r[0] for r in own], pa.int64()), none, pa.array([r[1] for r in own], pa.int64()), none]
         yield pa.RecordBatch.from_arrays([pa.concat_arrays([c, e]) for c, e in zip(columns, extra)] + [
-            pa.array([None] * len(links) + [key] * len(own), pa.int64()), pa.array([None] * len(links) + [r[2] for r in own], pa.binary())], names=MET)
+            pa.array([None] * len(links) + [key] * len(own), pa.int64()), pa.array([None] * len(links) + [r[2] for r in own], pa.binary()),
+            pa.array([None] * len(links) + masks, pa.binary())], names=MET)
 
     def run(batches):
         now, rows, seen, run_key, first = None, [], set(), None, None
@@ -364,7 +384,8 @@ def _meet(width: int, similarity: float):
                 run_key, first = key[-1], (int(src[-1]), int(s_span[-1]))
                 pair = np.stack([src, doc, s_span, span])[:, src != doc]
                 if pair.shape[1]:
-                    yield pa.RecordBatch.from_arrays([*(pa.array(p) for p in pair), pa.nulls(pair.shape[1], pa.int64()), pa.nulls(pair.shape[1], pa.binary())], names=MET)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(p) for p in pair), pa.nulls(pair.shape[1], pa.int64()),
+                                                      pa.nulls(pair.shape[1], pa.binary()), pa.nulls(pair.shape[1], pa.binary())], names=MET)
             for key, salt, doc, span, tokens in zip(*(batch.slice(runs).column(c).to_pylist() for c in CROWD)):
                 if now != (key, salt) or salt and len(rows) >= BLOCK:
                     if len(rows) > 1 or rows and now[1]:
@@ -378,33 +399,35 @@ def _meet(width: int, similarity: float):
     return run
 
 
-MET = ["src", "dst", "s_span", "d_span", "key", "tokens"]
+MET = ["src", "dst", "s_span", "d_span", "key", "tokens", "open"]
 LINK_TYPE = "src long, dst long, s_span long, d_span long"
-MET_TYPE = LINK_TYPE + ", key long, tokens binary"
+MET_TYPE = LINK_TYPE + ", key long, tokens binary, open binary"
 
 
 def _core_tokens(width: int, similarity: float):
-    """The different tokens of each representative, and how many of them it must share."""
+    """The different tokens of each core, which of them are open, and how many it must share."""
     def run(batches):
         for batch in batches:
             full = [_tokens(t) for t in batch.column("tokens").to_pylist()]
             cores = [np.unique(c) for c in full]
+            opens = [np.isin(u, c[np.unpackbits(np.frombuffer(o, np.uint8), count=len(c)).astype(bool)]) if o else np.zeros(len(u), dtype=bool)
+                     for u, c, o in zip(cores, full, batch.column("open").to_pylist())]
             size = np.array([len(c) for c in cores], dtype=np.int64)
             need = needed(np.array([len(c) for c in full], dtype=np.int64), size, width, similarity)
             of = row_ids(size)
             yield pa.RecordBatch.from_arrays([batch.column("key").take(of), batch.column("src").take(of), batch.column("s_span").take(of), pa.array(need[of]),
-                                              pa.array(np.concatenate([*cores, np.zeros(0, np.uint32)]).astype(np.int32))], names=["key", "src", "s_span", "need", "token"])
+                                              pa.array(np.concatenate([*cores, np.zeros(0, np.uint32)]).view(np.int32)), pa.array(np.concatenate([*opens, np.zeros(0, bool)]))],
+                                             names=["key", "src", "s_span", "need", "token", "free"])
     return run
 
 
 def _across(width: int, similarity: float):
-    """Links of one pair of blocks of representatives, which are compared with all of the other block."""
+    """Links of a block of cores with open tokens to a block of its crowd's cores, all of them."""
     def run(table):
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("src", "s_span", "tokens", "side"))))
-        same = table.column("one")[0].as_py() == table.column("two")[0].as_py()
-        links, _ = _represented(rows, width, similarity, lambda a, b: same or a[3] != b[3])
-        pairs = [(rows[a][:2], rows[b][:2]) for a, b in links]
-        return pa.table(_links(pairs), names=MET[:4])
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("src", "s_span", "tokens", "target", "open"))), key=lambda r: r[:4])
+        opens = [np.unpackbits(np.frombuffer(r[4], np.uint8), count=len(r[2]) // TOKEN_BYTES).astype(bool) if r[3] else None for r in rows]
+        links = _settled(rows, np.array([not r[3] for r in rows]), opens, width, similarity)
+        return pa.table(_links([(rows[a][:2], rows[b][:2]) for a, b in links]), names=MET[:4])
     return run
 
 
@@ -419,22 +442,31 @@ def _crowd_links(texts: DataFrame, crowds: DataFrame, width: int, similarity: fl
     rows = texts.mapInArrow(_crowd_rows(width, bits, shipped), CROWD_TYPE).repartition(n, "key", "salt").sortWithinPartitions("salt", "key", "doc", "span")
     met = written(rows.mapInArrow(_meet(width, similarity), MET_TYPE), "crowd-links")
     links = met.where("dst is not null").select(*MET[:4])
-    heads = met.where("dst is null").drop("dst", "d_span")
     if not crowds.where("large").head(1):
         return links
-    blocks = lambda heads: written(heads.join(heads.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "key"), "crowd-heads")
-    heads = blocks(heads)
-    wide = heads.where(F.col("blocks") > WIDE).drop("blocks")
+    # equal cores of several parts are one: the others have their link already
+    cores = met.where("dst is null").groupBy("key", "tokens").agg(F.min(F.struct("src", "s_span", "open")).alias("first")).select("key", "tokens", "first.*")
+    count = lambda c: F.ceil(F.count(c) / BLOCK).cast("int")
+    blocks = lambda cores: written(cores.join(cores.groupBy("key").agg(count("*").alias("blocks"), count("open").alias("open_blocks")), "key"), "crowd-cores")
+    cores = blocks(cores)
+    wide = cores.where(F.col("blocks") > WIDE).drop("blocks", "open_blocks")
     if wide.head(1):
-        # what has too few tokens that come again among all of its crowd is like none of it
-        tokens = wide.mapInArrow(_core_tokens(width, similarity), "key long, src long, s_span long, need long, token int")
-        again = tokens.withColumn("often", F.count("*").over(W.Window.partitionBy("key", "token"))).where("often > 1")
-        may = again.groupBy("key", "src", "s_span").agg(F.count("*").alias("have"), F.first("need").alias("need")).where("have >= need")
-        heads = heads.where(F.col("blocks") <= WIDE).unionByName(blocks(wide.join(may.drop("have", "need"), ["key", "src", "s_span"])))
-    heads = heads.withColumn("side", F.pmod(F.xxhash64("src"), "blocks").cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumns({"one": F.least("side", "other"), "two": F.greatest("side", "other")})
-    return links.unionByName(heads.groupBy("key", "one", "two").applyInArrow(_across(width, similarity), LINK_TYPE))
+        # what has too few tokens that come again among all of its crowd is like none of it; with no open one among
+        # them it is no target, and without one that is open in another core no source
+        tokens = wide.mapInArrow(_core_tokens(width, similarity), "key long, src long, s_span long, need long, token int, free boolean")
+        of_token = W.Window.partitionBy("key", "token")
+        again = tokens.withColumns({"often": F.count("*").over(of_token), "targets": F.count_if("free").over(of_token)}).where("often > 1")
+        may = again.groupBy("key", "src", "s_span").agg(F.count("*").alias("have"), F.first("need").alias("need"), F.max("free").alias("is_target"),
+                                                        F.max(F.col("targets") > F.col("free").cast("int")).alias("is_source")).where("have >= need and (is_target or is_source)")
+        kept = wide.join(may.drop("have", "need"), ["key", "src", "s_span"]).withColumn("open", F.when(F.col("is_target"), F.col("open")))
+        cores = cores.where(F.col("blocks") <= WIDE).unionByName(blocks(kept.drop("is_target", "is_source")))
+    # every block of those with open tokens meets every block of all
+    side = lambda n: F.pmod(F.xxhash64("src"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = cores.where("open_blocks > 0")
+    sides = kept.withColumns({"target": F.lit(False), "one": side("blocks"), "open": F.lit(None).cast("binary")}).withColumn("two", each("open_blocks")) \
+        .unionByName(kept.where("open is not null").withColumns({"target": F.lit(True), "two": side("open_blocks")}).withColumn("one", each("blocks")))
+    return links.unionByName(sides.drop("blocks", "open_blocks").groupBy("key", "one", "two").applyInArrow(_across(width, similarity), LINK_TYPE))
 
 
 def _long_rows(hashes, counts):
@@ -444,7 +476,7 @@ def _long_rows(hashes, counts):
 
 
 def _pieces(batches):
-    """24-bit tokens of the listed stretches of each text: a source's once for
+    """32-bit tokens of the listed stretches of each text: a source's once for
     each of its ``copies`` (salts 0, 1, ...), a target's under its own salt."""
     for batch in slices(batches, "text"):
         hashes, _, _, counts, _ = words(batch.column("text"), NOT_SPACE)
@@ -575,9 +607,11 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     Jaccard similarity of at least ``similarity`` with that of its source.
     Every run of ``min_words`` words that an earlier document has, too, is in a
     passage. Others need the same min-hash under one of the FUNCTIONS hash
-    functions. They are compared with all different surroundings of the min-hash
-    or, if there are more than FEW, with one representative of those that share
-    a passage. Repeats within one document are no passages here.
+    functions. They are compared with all different surroundings of the min-hash;
+    if there are more than FEW, until passages hold all words around it that may
+    repeat. Equal surroundings, which hold every passage of the least length around
+    the min-hash, are compared once, as the first document's. Repeats within one
+    document are no passages here.
     Null, empty and short texts have none; rows with a null doc_id take no
     part; rows that repeat a doc_id count as one document if they are equal
     and should not differ. Other columns are ignored; an empty table gives no

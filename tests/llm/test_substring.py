@@ -209,3 +209,41 @@ def test_crowds_make_few_links(spark):
     rows = [(d, " ".join(own_words(d, 70) + (passage if d % 2 else phrase) + own_words(d + 10_000, 70))) for d in range(1200)]
     got = repeated_passages(frame(spark, rows)).collect()
     assert {r.doc_id for r in got} == set(range(3, 1200, 2)) and len({(r.source_id, r.doc_id) for r in got}) < 20 * 600
+
+
+def test_equal_least_tokens_have_windows_of_their_own():
+    """Each run is in one window whose centre is its first least token, so the same run elsewhere has the same centre in it."""
+    rng = np.random.default_rng(3)
+    counts = np.array([40, 3, 25, 30])
+    values = rng.integers(1, 4, counts.sum()).astype(np.uint64)
+    values[-30:] = 2
+    row, low, centre, high = compact_windows(values, counts, 6)
+    at = np.concatenate([[0], np.cumsum(counts)])
+    for r, n in enumerate(counts):
+        x = values[at[r]:at[r + 1]]
+        own = [w[1:] for w in zip(row.tolist(), low.tolist(), centre.tolist(), high.tolist()) if w[0] == r]
+        for i in range(n):
+            for j in range(i + 5, n):
+                assert [c for lo, c, hi in own if lo <= i <= c <= j <= hi] == [i + int(x[i:j + 1].argmin())]
+
+
+@pytest.mark.parametrize("block, wide", [(None, None), (16, 64), (16, 0)])
+def test_a_repeat_of_a_repeat_is_a_source_too(spark, monkeypatch, block, wide):
+    """In a crowd around a phrase, the second of each three documents repeats the first one, and the third one
+    resembles the second alone."""
+    if block:
+        monkeypatch.setattr(substring, "BLOCK", block)
+        monkeypatch.setattr(substring, "WIDE", wide)
+    rng = random.Random(6)
+    phrase = [f"phrase{i}" for i in range(45)]
+    rows, thirds = [], {}
+    for p in range(50):
+        left, right = [f"l{p}x{i}" for i in range(20)], [f"r{p}x{i}" for i in range(12)]
+        changed = right[:4] + [f"changed{p}"] + right[5:]
+        for j, part in enumerate((left + phrase, left + phrase + right, phrase + changed)):
+            d = 100 * j + p
+            rows.append((d, " ".join(own_words(d, rng.randrange(20, 60)) + part + own_words(d + 10_000, rng.randrange(20, 60)))))
+        thirds[200 + p] = 100 + p
+    got = {(r.doc_id, r.source_id) for r in repeated_passages(frame(spark, rows)).collect()}
+    assert {d for d, _ in got} == set(range(100, 150)) | set(thirds)
+    assert set(thirds.items()) <= got and {(100 + p, p) for p in range(50)} <= got
