@@ -44,6 +44,8 @@ FEW = 4
 #: Different cores of a crowd that are compared at once, tasks that those of a larger crowd are dealt over
 #: first, and blocks from which it pays to count their tokens before the blocks meet.
 BLOCK, SALTS, WIDE = 768, 16, 1
+#: Of a crowd's core: earlier ones that it meets first, those with most tokens in common; and cores for which these are looked up at once.
+NEAREST, TOGETHER = 8, 64
 #: Bits of a map of crowds' keys for each key, and its least and largest size (powers of two): beyond the largest some windows are looked at in vain.
 MAP_BITS, MAP_LEAST, MAP_MOST, MAP_PART = 64, 20, 28, 19
 #: Targets that one copy of a source's stretch is compared with.
@@ -289,19 +291,79 @@ def needed(sizes: np.ndarray, distinct: np.ndarray, width: int, similarity: floa
     return np.ceil(similarity * np.maximum(width - (sizes - distinct), 1) - 1e-9).astype(np.int64)
 
 
-def _may_cover(hit: np.ndarray, open_: np.ndarray, share: float, width: int) -> np.ndarray:
-    """bool per row of hits: if a run of at least ``width`` that begins and ends with a hit and has
-    enough of them may hold one of the tokens ``open_``."""
+def _coverable(hit: np.ndarray, share: float, width: int) -> np.ndarray:
+    """bool per row of hits and token: if a run of at least ``width`` that begins and ends with a hit
+    and has enough of them may hold it (no token of a row without such a run). Columns past the end
+    of a row are no hits."""
     size = hit.shape[1]
     if size < width or not len(hit):
-        return np.zeros(len(hit), dtype=bool)
-    above = np.zeros((len(hit), size + 1))  # hits less the wanted ones
-    np.cumsum(hit - share, axis=1, out=above[:, 1:])
+        return np.zeros(hit.shape, dtype=bool)
+    above = np.zeros((len(hit), size + 1), dtype=np.float32)  # hits less the wanted ones
+    np.cumsum(hit - np.float32(share), axis=1, out=above[:, 1:])
     least = np.minimum.accumulate(above, axis=1)
     most = np.maximum.accumulate(above[:, ::-1], axis=1)[:, ::-1]
-    holds = (above[:, width:] - least[:, :-width]).max(axis=1) > -1e-6
+    holds = (above[:, width:] - least[:, :-width]).max(axis=1) > -1e-3
     place, first, last = np.arange(size), hit.argmax(axis=1)[:, None], size - 1 - hit[:, ::-1].argmax(axis=1)[:, None]
-    return holds & ((most[:, 1:] - least[:, :-1] > -1e-6) & open_ & (place >= first) & (place <= last)).any(axis=1)
+    return holds[:, None] & (most[:, 1:] - least[:, :-1] > -1e-3) & (place >= first) & (place <= last)
+
+
+def _core(tokens: np.ndarray) -> tuple[list, dict]:
+    """A core's tokens as a list, and the first place of each."""
+    listed = tokens.tolist()
+    return listed, dict(zip(reversed(listed), range(len(listed) - 1, -1, -1)))
+
+
+def _core_segments(hit: list, lo: int, hi: int, share: float, width: int) -> list[tuple[int, int]]:
+    """dense_segments of hit[lo:hi], for the few runs of hits that a core has."""
+    runs, i = [], lo
+    while i < hi:
+        if hit[i]:
+            first = i
+            while i < hi and hit[i]:
+                i += 1
+            runs.append((first - lo, i - lo))
+        i += 1
+    if len(runs) == 1:
+        return [(lo + runs[0][0], lo + runs[0][1] - 1)] if runs[0][1] - runs[0][0] >= width else []
+    if not runs or runs[-1][1] - runs[0][0] < width:
+        return []
+    return [(lo + a, lo + b) for a, b in dense_segments(np.array(hit[lo:hi], dtype=bool), share, width)]
+
+
+def core_passages(source: tuple[list, dict], target: tuple[list, dict], width: int, similarity: float) -> list[tuple[int, int]]:
+    """(first, last) of verified_passages, for two cores as _core gives them: so few tokens are
+    compared sooner as sets than as arrays."""
+    (tokens, places), goal = source, target[0]
+    at = list(map(places.get, goal))
+    hit = [x is not None for x in at]
+    share = 2 * similarity / (1 + similarity)
+    if sum(hit) < share * width - 1e-9:
+        return []
+    out, todo = [], [(0, len(goal), 0)]
+    while todo:
+        lo, hi, level = todo.pop()
+        for first, last in _core_segments(hit, lo, hi, (share, (1 + share) / 2, 1.0)[level], width):
+            own = [i for i in range(first, last + 1) if hit[i]]
+            spots = [at[i] for i in own]
+            shift = [x - (i - first) for x, i in zip(spots, own)]
+            a, middle = set(goal[first:last + 1]), sorted(shift)
+            half = len(middle) // 2
+            median = middle[half] if len(middle) % 2 else int((middle[half - 1] + middle[half]) / 2)
+            for start, slack in ((median, width), (shift[0], 0), (shift[-1], 0), (0, len(tokens))):
+                near = [x for x in spots if start - slack <= x <= start + last - first + slack]
+                if near:
+                    low, high = min(near), max(near)
+                    if slack == 0:
+                        low, high = max(start, 0), min(start + last - first, len(tokens) - 1)
+                    b = set(tokens[low:high + 1])
+                    common = len(a & b)
+                    if common / (len(a) + len(b) - common) >= similarity:
+                        out.append((first, last))
+                        break
+            else:
+                if level < 2:  # a part of it may do
+                    todo.append((first, last + 1, level + 1))
+    return sorted(out)
 
 
 def _settled(rows: list[tuple], sources: np.ndarray, opens: list, width: int, similarity: float) -> list[tuple[int, int]]:
@@ -321,29 +383,45 @@ def _settled(rows: list[tuple], sources: np.ndarray, opens: list, width: int, si
     if not wanted.any():
         return []
     places, own, shared, bits, columns = _common(cores, wanted, width, similarity)
-    links, share = [], 2 * similarity / (1 + similarity)
-    for i, j in enumerate(own.tolist()):
-        b = int(places[j])
-        near = np.flatnonzero(shared[i, :j])
-        near = near[sources[places[near]] & (docs[places[near]] != docs[b])]
-        near = near[np.argsort(-shared[i, near], kind="stable")]
-        open_, step = opens[b], 8
-        while len(near) and open_.any():
-            some, near = near[:step], near[step:]
-            hit = bits[np.ix_(some, columns[j])]
-            may, step = _may_cover(hit, open_, share, width), 256
-            closed = False  # since may was told
-            for x in np.flatnonzero(may).tolist():
-                if closed and not _may_cover(hit[x:x + 1], open_, share, width)[0]:
-                    continue
-                a = int(places[some[x]])
-                found = verified_passages(cores[a], cores[b], width, similarity)
-                if any(open_[first:last + 1].any() for first, last, *_ in found):
-                    links.append((a, b))
-                for first, last, *_ in found:
-                    open_[first:last + 1] = False
-                closed |= bool(found)
-            near = near[bits[np.ix_(near, columns[j][open_])].any(axis=1)]
+    links, share, ready = [], 2 * similarity / (1 + similarity), {}
+    core = lambda i: ready[i] if i in ready else ready.setdefault(i, _core(cores[i]))
+    is_source, doc = sources[places], docs[places]
+    for lo in range(0, len(own), TOGETHER):
+        # the first ones that each of some targets meets, all at once: which do not depend on what is open
+        some = own[lo:lo + TOGETHER].tolist()
+        near, wide = [], np.zeros((len(some), max(len(columns[j]) for j in some)), dtype=np.int64)
+        for i, j in enumerate(some):
+            row = shared[lo + i, :j]
+            may = np.flatnonzero((row > 0) & is_source[:j] & (doc[:j] != doc[j]))
+            near.append(may[np.argsort(-row[may], kind="stable")])
+            wide[i, :len(columns[j])] = columns[j]
+        at = bounds(np.array([min(len(n), NEAREST) for n in near], dtype=np.int64))
+        met = np.concatenate([n[:NEAREST] for n in near])
+        cover = _coverable(bits[met[:, None], wide[row_ids(np.diff(at))]], share, width)
+        for i, j in enumerate(some):
+            b = int(places[j])
+            open_, column, more = opens[b], columns[j], near[i]
+            first, holds = more[:NEAREST], cover[at[i]:at[i + 1], :len(column)]
+            while len(first) and open_.any():
+                more = more[len(first):]
+                closed = False  # since it was told which may hold an open token
+                for x in np.flatnonzero((holds & open_).any(axis=1)).tolist():
+                    if closed and not (holds[x] & open_).any():
+                        continue
+                    a = int(places[first[x]])
+                    found = core_passages(core(a), core(b), width, similarity)
+                    if any(open_[begin:end + 1].any() for begin, end in found):
+                        links.append((a, b))
+                    for begin, end in found:
+                        open_[begin:end + 1] = False
+                    closed |= bool(found)
+                still = column[open_]
+                still = still[still > 0]
+                if not len(more) or not len(still):
+                    break
+                more = more[bits[more[:, None], still].any(axis=1)]
+                first = more[:256]
+                holds = _coverable(bits[first[:, None], column], share, width)
     return links
 
 

@@ -247,3 +247,24 @@ def test_a_repeat_of_a_repeat_is_a_source_too(spark, monkeypatch, block, wide):
     got = {(r.doc_id, r.source_id) for r in repeated_passages(frame(spark, rows)).collect()}
     assert {d for d, _ in got} == set(range(100, 150)) | set(thirds)
     assert set(thirds.items()) <= got and {(100 + p, p) for p in range(50)} <= got
+
+
+def test_core_passages_are_the_verified_ones():
+    rng = np.random.default_rng(5)
+    some = 0
+    for n in range(600):
+        size, width, similarity = int(rng.integers(46, 92)), int(rng.choice([3, 10, 46])), float(rng.choice([0.5, 0.8, 1.0]))
+        source = rng.integers(0, rng.choice([6, 40, 1 << 32]), size).astype(np.uint32)
+        at = int(rng.integers(0, 30))
+        target = np.concatenate([rng.integers(0, 1 << 32, at).astype(np.uint32), source[int(rng.integers(0, 20)):]])
+        for place in rng.integers(0, len(target), int(rng.integers(0, 4))):
+            target[place:place + int(rng.integers(1, 6))] = rng.integers(0, 1 << 32)
+        wanted = [p[:2] for p in substring.verified_passages(source, target, width, similarity)]
+        assert substring.core_passages(substring._core(source), substring._core(target), width, similarity) == wanted
+        some += len(wanted)
+        # a token of a passage is never left out as one that no passage can hold, past the end of a core or not
+        hit = np.concatenate([np.isin(target, source), np.zeros(int(rng.integers(0, 9)), bool)])
+        may = substring._coverable(hit[None], 2 * similarity / (1 + similarity), width)[0]
+        for first, last in wanted:
+            assert may[first:last + 1].all()
+    assert some > 300
