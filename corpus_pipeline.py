@@ -15,6 +15,7 @@ from quarry.llm.bpe import decode, encode, load_ranks
 from quarry.llm.decontam import drop_contaminated
 from quarry.llm.langid import keep_identified, train
 from quarry.llm.minhash import near_duplicates
+from quarry.llm.shipping import written
 from quarry.llm.substring import remove_passages, repeated_passages
 from quarry.operators.relational import with_global_position
 from quarry.session import ensure_checkpoint_dir, scratch_path
@@ -77,7 +78,9 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the
     digests of ids and of the bytes they decode to."""
     ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return decode(encode(docs, ranks), ranks).select(
+    # in one task with the encoder, the decoder would take a second Python worker for each core; Spark keeps
+    # them all at work from then on, and an executor holds the memory of twice as many
+    return decode(written(encode(docs, ranks), "bpe-ids"), ranks).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 

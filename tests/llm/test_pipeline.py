@@ -123,3 +123,15 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_own_text(spark):
     assert cut[7, "dword0"][0] == rows[4][1] and cut[9, "fword0"][0] == rows[6][1] and cut[None, "aword0"][0] == same
     for stage in (P.language_id, P.benchmark_decontamination):
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_a_task_of_the_last_stage_holds_one_python_worker(spark):
+    # an encoder and a decoder in one task made two workers a core, which stayed for all stages after it
+    docs = spark.createDataFrame([(1, "One text and\tanother."), (2, None)], "doc_id long, text string")
+    out = P.bpe_encoding(spark, docs, SF)
+    assert str(out._jdf.queryExecution().executedPlan()).count("MapInArrow") == 1
+    rows = {r.doc_id: r for r in out.collect()}
+    ranks = Ranks.of_file(public_tokenizers.path("byte_bpe_50k.tiktoken")).ranks
+    ids = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary("One text and\tanother.")
+    assert np.frombuffer(rows[1].ids, "<u4").tolist() == ids and rows[1].n_tokens == len(ids)
+    assert rows[2].n_tokens == 0 and rows[2].decoded_sha256 == hashlib.sha256(b"").hexdigest()
