@@ -150,13 +150,42 @@ def _tokens_of(batch) -> tuple[np.ndarray, np.ndarray]:
     return _long_rows(hashes, counts)
 
 
+def without_repeats(tokens: np.ndarray, sums: np.ndarray, base: np.ndarray, low: np.ndarray, centre: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the windows that stay, their low) of sorted windows; base: where their rows begin
+    among the tokens. Where equal least tokens come again and again with the same tokens between, at
+    most width / 2 apart, a run that begins in the middle has the same set of tokens as the longer one
+    from the first of them on. So the windows of the middle ones are one with the last one's, whose core
+    holds each shortest run that ends beyond the repeats; one that does not is like that of the first
+    ones, which stay."""
+    at, first = base + centre, base + low
+    prior = np.minimum(np.searchsorted(at, first - 1), max(len(at) - 1, 0))
+    tie = np.flatnonzero((low > 0) & (at[prior] == first - 1) & (tokens[first - 1] == tokens[at]))
+    prior = prior[tie]
+    gap, size = np.zeros(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.int64)
+    gap[tie], size[tie] = _span_hashes(sums, at[prior], at[tie]), at[tie] - at[prior]
+    again = (size[tie] == size[prior]) & (gap[tie] == gap[prior])  # the gap before the prior one is this one's
+    follows = np.zeros(len(at), dtype=bool)
+    follows[tie[again]] = True
+    middle = np.zeros(len(at), dtype=bool)
+    inner = prior[again & (2 * size[tie] <= width)]
+    middle[inner] = follows[inner] | (size[inner] == 1)
+    start = np.arange(len(at))  # the first of the windows that are one
+    start[tie] = np.where(middle[prior], prior, tie)
+    while not np.array_equal(start, further := start[start]):
+        start = further
+    stay = np.flatnonzero(~middle)
+    return stay, low[start[stay]]
+
+
 def _windows_of(tokens: np.ndarray, per_row: np.ndarray, width: int):
     """For each function: key, row, low and high within the row, and the places among all tokens of
     centre, core's start and core's end of the windows."""
-    salt, ends = seeds(FUNCTIONS, 41), bounds(per_row)
+    salt, ends, sums = seeds(FUNCTIONS, 41), bounds(per_row), _sums(tokens)
     for k in range(FUNCTIONS):
         values = mix(tokens ^ salt[k])
         row, low, centre, high = compact_windows(values, per_row, width)
+        stay, low = without_repeats(tokens, sums, ends[row], low, centre, width)
+        row, centre, high = row[stay], centre[stay], high[stay]
         at = ends[row] + centre
         key = values[at] & ~np.uint64(FUNCTIONS - 1) | np.uint64(k)
         yield key, row, low, high, at, np.maximum(at - width + 1, ends[row]), np.minimum(at + width, ends[row + 1])

@@ -227,6 +227,34 @@ def test_equal_least_tokens_have_windows_of_their_own():
                 assert [c for lo, c, hi in own if lo <= i <= c <= j <= hi] == [i + int(x[i:j + 1].argmin())]
 
 
+def test_repeats_of_a_least_token_have_few_windows():
+    """A word that comes 2,000 times makes a few windows, and so does a line of four words; each run is in a
+    window with the same least token and set of tokens, and its start in one's core."""
+    rng = np.random.default_rng(4)
+    for words in ([7], [7, 8, 9, 7]):
+        tokens = substring.mix(np.array([*range(100, 150), *words * 2000, *range(200, 250)], dtype=np.uint64))
+        assert all(len(found[0]) < 130 for found in substring._windows_of(tokens, np.array([len(tokens)]), 46))
+    width = 7
+    for _ in range(60):
+        rows = [np.concatenate([np.resize(rng.integers(0, 9, rng.integers(1, 6)), rng.integers(1, 30)) for _ in range(rng.integers(1, 5))]) for _ in range(3)]
+        counts = np.array([len(x) for x in rows])
+        tokens = substring.mix(np.concatenate(rows).astype(np.uint64) + np.uint64(1))
+        at = np.concatenate([[0], np.cumsum(counts)])
+        for k, (key, row, low, high, centre, start, end) in enumerate(substring._windows_of(tokens, counts, width)):
+            values = substring.mix(tokens ^ substring.seeds(substring.FUNCTIONS, 41)[k])
+            for r, n in enumerate(counts):
+                x = values[at[r]:at[r + 1]].tolist()
+                own = [(lo, hi, c - at[r], a - at[r], b - at[r]) for i, lo, hi, c, a, b in zip(row, low, high, centre, start, end) if i == r]
+                for i in range(n - width + 1):
+                    for j in range(i + width - 1, n):
+                        least, held = min(x[i:j + 1]), set(x[i:j + 1])
+                        assert any(x[c] == least and lo <= i and j <= hi and c <= j or lo <= c <= j <= hi and set(x[c:j + 1]) == held for lo, hi, c, _, _ in own)
+                    short = x[i:i + width]
+                    assert any(x[c] == min(short) and any(set(x[s:s + width]) == set(short) for s in range(a, b - width + 1)) for _, _, c, a, b in own)
+                    # what the first function's windows stand for has this very run
+                    assert any(x[c] == min(short) and any(x[s:s + width] == short for s in range(max(lo, c - width + 1), min(c, hi - width + 1) + 1)) for lo, hi, c, _, _ in own)
+
+
 @pytest.mark.parametrize("block, wide", [(None, None), (16, 64), (16, 0)])
 def test_a_repeat_of_a_repeat_is_a_source_too(spark, monkeypatch, block, wide):
     """In a crowd around a phrase, the second of each three documents repeats the first one, and the third one
