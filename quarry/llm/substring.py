@@ -83,19 +83,22 @@ def compact_windows(values: np.ndarray, counts: np.ndarray, width: int) -> tuple
     at = bounds(counts)
     centre = window_centres(values, counts, width)
     row = np.searchsorted(at, centre, side="right") - 1
-    value = values[centre].tolist()
-    rows, places = row.tolist(), centre.tolist()
-    low, high = at[row].tolist(), (at[row + 1] - 1).tolist()
-    stack: list[int] = []
-    for i, v in enumerate(value):
-        if stack and rows[stack[-1]] != rows[i]:
-            stack = []
-        while stack and value[stack[-1]] > v:
-            high[stack.pop()] = places[i] - 1
-        if stack:
-            low[i] = places[stack[-1]] + 1
-        stack.append(i)
-    low, high = np.array(low, dtype=np.int64), np.array(high, dtype=np.int64)
+    if not len(centre):
+        return row, centre, centre, centre
+    # the next centres with an equal or smaller value to the left, a smaller one to the right: zeros stand between the rows
+    rank = np.cumsum(_first_of(row)) + np.arange(len(row))
+    value = np.zeros(rank[-1] + 2, dtype=np.uint64)
+    value[rank] = values[centre]
+    left, right = np.arange(len(value)) - 1, np.arange(len(value)) + 1
+    for link, larger in ((left, np.greater), (right, np.greater_equal)):
+        todo = rank
+        while len(todo := todo[larger(value[link[todo]], value[todo])]):
+            link[todo] = link[link[todo]]
+    place = np.zeros(len(value), dtype=np.int64)
+    place[rank] = centre
+    left, right = left[rank], right[rank]
+    low = np.where(value[left] > 0, place[left] + 1, at[row])
+    high = np.where(value[right] > 0, place[right] - 1, at[row + 1] - 1)
     keep = high - low + 1 >= width
     base = at[row]
     return row[keep], (low - base)[keep], (centre - base)[keep], (high - base)[keep]
@@ -279,27 +282,26 @@ CROWD = ["key", "salt", "doc", "span", "tokens"]
 CROWD_TYPE = "key long, salt int, doc long, span long, tokens binary"
 
 
-def _common(cores: list[np.ndarray], wanted: np.ndarray, width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Places (rising) of the cores that may have a passage in common with another
+def _common(sizes: np.ndarray, every: np.ndarray, row: np.ndarray, token: np.ndarray, wanted: np.ndarray, width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of cores with these sizes, all their tokens, and the different ones (row, token, sorted):
+    places (rising) of those that may have a passage in common with another
     one; which of them are wanted; the tokens that these have in common with each,
     0 if too few for a passage; and the tokens as a table of bits and as its columns
     (0: in no other core). Two passages have ``similarity`` of the tokens of the larger
     one in common, and a passage of a core has ``width`` tokens less those that come
     again."""
-    sizes = np.array([len(c) for c in cores], dtype=np.int64)
-    every = np.concatenate(cores).astype(np.uint64)
-    both = np.unique(row_ids(sizes).astype(np.uint64) << np.uint64(32) | every)
-    row, token = (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF)
-    need = needed(sizes, np.bincount(row, minlength=len(cores)), width, similarity)
+    need = needed(sizes, np.bincount(row, minlength=len(sizes)), width, similarity)
+    known, column = np.unique(token, return_inverse=True)
     while len(row):
-        _, at, often = np.unique(token, return_inverse=True, return_counts=True)
-        have = np.bincount(row[often[at] > 1], minlength=len(cores))
-        keep = (often[at] > 1) & (have >= need)[row]
+        often = np.bincount(column, minlength=len(known))[column] > 1
+        keep = often & (np.bincount(row[often], minlength=len(sizes)) >= need)[row]
         if keep.all():
             break
-        row, token = row[keep], token[keep]
+        row, column = row[keep], column[keep]
     left, row = np.unique(row, return_inverse=True)
-    known, column = np.unique(token, return_inverse=True)
+    used = np.zeros(len(known), dtype=bool)
+    used[column] = True
+    known, column = known[used], (np.cumsum(used) - 1)[column]
     bits = np.zeros((len(left), len(known) + 1), dtype=bool)
     bits[row, column + 1] = True
     own = np.flatnonzero(wanted[left])
@@ -308,10 +310,10 @@ def _common(cores: list[np.ndarray], wanted: np.ndarray, width: int, similarity:
         part = bits[:, lo:lo + 4096].astype(np.float32)
         shared += part[own] @ part.T
     columns = []
-    for i in left.tolist():
-        core = cores[i].astype(np.uint64)
-        at = np.minimum(np.searchsorted(known, core), len(known) - 1)
-        columns.append(np.where(known[at] == core, at + 1, 0))
+    if len(left):
+        at = np.minimum(np.searchsorted(known, every), len(known) - 1)
+        at, ends = np.where(known[at] == every, at + 1, 0), bounds(sizes)
+        columns = [at[lo:hi] for lo, hi in zip(ends[left].tolist(), ends[left + 1].tolist())]
     return left, own, np.where(shared >= np.maximum(need[left][own][:, None], need[left][None, :]), shared, 0), bits, columns
 
 
@@ -320,13 +322,46 @@ def needed(sizes: np.ndarray, distinct: np.ndarray, width: int, similarity: floa
     return np.ceil(similarity * np.maximum(width - (sizes - distinct), 1) - 1e-9).astype(np.int64)
 
 
+def _longest_segments(hit: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) for each row of hits: the first one of the longest segments of dense_segments, (0, -1) without a hit."""
+    n, size = hit.shape
+    edge = np.zeros((n, size + 2), dtype=np.int8)
+    edge[:, 1:-1] = hit
+    edge = np.diff(edge, axis=1)
+    above = np.zeros((n, size + 1))  # hits less the wanted ones
+    np.cumsum(hit, axis=1, out=above[:, 1:])
+    above -= share * np.arange(size + 1)
+    least = np.minimum.accumulate(np.where(edge == 1, above, np.inf), axis=1)
+    row, end = np.nonzero(edge == -1)
+    most = above[row, end] + 1e-9
+    low, high = np.zeros(len(end), dtype=np.int64), end.astype(np.int64)
+    for _ in range(size.bit_length()):  # the first run from which the share is met
+        middle = (low + high) >> 1
+        met = least[row, middle] <= most
+        low, high = np.where(met | (low >= high), low, middle + 1), np.where(met, middle, high)
+    out = np.zeros((2, n), dtype=np.int64)
+    out[1] = -1
+    if len(row):
+        lead = np.flatnonzero(_first_of(row))
+        length = end - low
+        longest = np.flatnonzero(length == np.repeat(np.maximum.reduceat(length, lead), np.diff(np.append(lead, len(row)))))
+        longest = longest[_first_of(row[longest])]
+        out[:, row[longest]] = low[longest], end[longest] - 1
+    return out[0], out[1]
+
+
 def _coverable(hit: np.ndarray, share: float, width: int) -> np.ndarray:
     """bool per row of hits and token: if a run of at least ``width`` that begins and ends with a hit
     and has enough of them may hold it (no token of a row without such a run). Columns past the end
-    of a row are no hits."""
+    of a row are no hits. In less than twice the width there is one segment at most, as dense_segments
+    has it, and no other token is held."""
     size = hit.shape[1]
     if size < width or not len(hit):
         return np.zeros(hit.shape, dtype=bool)
+    if size < 2 * width:
+        first, last = _longest_segments(hit, share)
+        place = np.arange(size)
+        return (last - first + 1 >= width)[:, None] & (place >= first[:, None]) & (place <= last[:, None])
     above = np.zeros((len(hit), size + 1), dtype=np.float32)  # hits less the wanted ones
     np.cumsum(hit - np.float32(share), axis=1, out=above[:, 1:])
     least = np.minimum.accumulate(above, axis=1)
@@ -343,25 +378,21 @@ def _core(tokens: np.ndarray) -> tuple[list, dict]:
 
 
 def _core_segments(hit: list, lo: int, hi: int, share: float, width: int) -> list[tuple[int, int]]:
-    """dense_segments of hit[lo:hi], for the few runs of hits that a core has."""
-    runs, i = [], lo
-    while i < hi:
-        if hit[i]:
-            first = i
-            while i < hi and hit[i]:
-                i += 1
-            runs.append((first - lo, i - lo))
-        i += 1
-    if len(runs) == 1:
-        return [(lo + runs[0][0], lo + runs[0][1] - 1)] if runs[0][1] - runs[0][0] >= width else []
-    if not runs or runs[-1][1] - runs[0][0] < width:
+    """dense_segments of hit[lo:hi]: mostly one, from the first hit to the last one."""
+    while lo < hi and not hit[lo]:
+        lo += 1
+    while lo < hi and not hit[hi - 1]:
+        hi -= 1
+    if hi - lo < width:
         return []
+    if sum(hit[lo:hi]) - share * (hi - lo) >= -1e-9:
+        return [(lo, hi - 1)]
     return [(lo + a, lo + b) for a, b in dense_segments(np.array(hit[lo:hi], dtype=bool), share, width)]
 
 
-def core_passages(source: tuple[list, dict], target: tuple[list, dict], width: int, similarity: float) -> list[tuple[int, int]]:
+def core_passages(source: tuple[list, dict], target: tuple[list, dict], width: int, similarity: float, segment: tuple[int, int] | None = None) -> list[tuple[int, int]]:
     """(first, last) of verified_passages, for two cores as _core gives them: so few tokens are
-    compared sooner as sets than as arrays."""
+    compared sooner as sets than as arrays. segment: the only dense one, if that is known."""
     (tokens, places), goal = source, target[0]
     at = list(map(places.get, goal))
     hit = [x is not None for x in at]
@@ -371,14 +402,17 @@ def core_passages(source: tuple[list, dict], target: tuple[list, dict], width: i
     out, todo = [], [(0, len(goal), 0)]
     while todo:
         lo, hi, level = todo.pop()
-        for first, last in _core_segments(hit, lo, hi, (share, (1 + share) / 2, 1.0)[level], width):
-            own = [i for i in range(first, last + 1) if hit[i]]
-            spots = [at[i] for i in own]
-            shift = [x - (i - first) for x, i in zip(spots, own)]
-            a, middle = set(goal[first:last + 1]), sorted(shift)
-            half = len(middle) // 2
+        for first, last in [segment] if segment and not level else _core_segments(hit, lo, hi, (share, (1 + share) / 2, 1.0)[level], width):
+            spots = [x for x in at[first:last + 1] if x is not None]
+            a, b = set(goal[first:last + 1]), set(tokens[min(spots):max(spots) + 1])
+            common = len(a & b)
+            if common / (len(a) + len(b) - common) >= similarity:  # mostly so: all that is hit
+                out.append((first, last))
+                continue
+            shift = [x - i for i, x in enumerate(at[first:last + 1]) if x is not None]
+            middle, half = sorted(shift), len(shift) // 2
             median = middle[half] if len(middle) % 2 else int((middle[half - 1] + middle[half]) / 2)
-            for start, slack in ((median, width), (shift[0], 0), (shift[-1], 0), (0, len(tokens))):
+            for start, slack in ((median, width), (shift[0], 0), (shift[-1], 0)):
                 near = [x for x in spots if start - slack <= x <= start + last - first + slack]
                 if near:
                     low, high = min(near), max(near)
@@ -401,44 +435,51 @@ def _settled(rows: list[tuple], sources: np.ndarray, opens: list, width: int, si
     whatever these share with others, as long as a passage may hold a token that is
     open yet; what it holds is open no more."""
     cores, docs = [_tokens(r[2]) for r in rows], np.array([r[0] for r in rows])
+    sizes, every = np.array([len(c) for c in cores], dtype=np.int64), np.concatenate(cores).astype(np.uint64)
+    both = np.unique(row_ids(sizes).astype(np.uint64) << np.uint64(32) | every)
+    of_row, token = (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF)
     # what a core's passages hold is one run (two do not fit side by side): one that goes on ends with an open token that the other core has, too
-    free = [c[o] if o is not None else c[:0] for c, o in zip(cores, opens)]
-    known, often = np.unique(np.concatenate([np.unique(c) for c, own in zip(cores, sources) if own] or [cores[0][:0]]), return_counts=True)
-    of = row_ids(np.array([len(f) for f in free], dtype=np.int64))
-    every = np.concatenate(free)
-    at = np.minimum(np.searchsorted(known, every), max(len(known) - 1, 0))
-    again = (known[at] == every) & (often[at] > sources[of]) if len(known) else np.zeros(len(every), dtype=bool)
+    known, often = np.unique(token[sources[of_row]], return_counts=True)
+    open_ = np.concatenate([o if o is not None else np.zeros(n, dtype=bool) for o, n in zip(opens, sizes.tolist())])
+    of, free = row_ids(sizes)[open_], every[open_]
+    at = np.minimum(np.searchsorted(known, free), max(len(known) - 1, 0))
+    again = (known[at] == free) & (often[at] > sources[of]) if len(known) else np.zeros(len(free), dtype=bool)
     wanted = np.bincount(of[again], minlength=len(rows)) > 0
     if not wanted.any():
         return []
-    places, own, shared, bits, columns = _common(cores, wanted, width, similarity)
+    places, own, shared, bits, columns = _common(sizes, every, of_row, token, wanted, width, similarity)
     links, share, ready = [], 2 * similarity / (1 + similarity), {}
     core = lambda i: ready[i] if i in ready else ready.setdefault(i, _core(cores[i]))
     is_source, doc = sources[places], docs[places]
     for lo in range(0, len(own), TOGETHER):
         # the first ones that each of some targets meets, all at once: which do not depend on what is open
-        some = own[lo:lo + TOGETHER].tolist()
-        near, wide = [], np.zeros((len(some), max(len(columns[j]) for j in some)), dtype=np.int64)
-        for i, j in enumerate(some):
-            row = shared[lo + i, :j]
-            may = np.flatnonzero((row > 0) & is_source[:j] & (doc[:j] != doc[j]))
-            near.append(may[np.argsort(-row[may], kind="stable")])
+        some = own[lo:lo + TOGETHER]
+        most, size = int(some[-1]), max(len(columns[j]) for j in some.tolist())
+        row = shared[lo:lo + TOGETHER, :most]
+        may = (row > 0) & is_source[:most] & (doc[:most] != doc[some][:, None]) & (np.arange(most) < some[:, None])
+        order = np.argsort(np.where(may, -row, 1).astype(np.int16 if width < 1 << 14 else np.int64), axis=1, kind="stable")
+        near = [x[:n] for x, n in zip(order, may.sum(axis=1).tolist())]
+        wide, open_wide = np.zeros((len(some), size), dtype=np.int64), np.zeros((len(some), size), dtype=bool)
+        for i, j in enumerate(some.tolist()):
             wide[i, :len(columns[j])] = columns[j]
+            open_wide[i, :len(columns[j])] = opens[places[j]]
         at = bounds(np.array([min(len(n), NEAREST) for n in near], dtype=np.int64))
-        met = np.concatenate([n[:NEAREST] for n in near])
-        cover = _coverable(bits[met[:, None], wide[row_ids(np.diff(at))]], share, width)
-        for i, j in enumerate(some):
+        met, of = np.concatenate([n[:NEAREST] for n in near]), row_ids(np.diff(at))
+        cover = _coverable(bits[met[:, None], wide[of]], share, width)
+        useful = (cover & open_wide[of]).any(axis=1)
+        for i, j in enumerate(some.tolist()):
             b = int(places[j])
             open_, column, more = opens[b], columns[j], near[i]
-            first, holds = more[:NEAREST], cover[at[i]:at[i + 1], :len(column)]
+            first, holds, use = more[:NEAREST], cover[at[i]:at[i + 1], :len(column)], useful[at[i]:at[i + 1]]
             while len(first) and open_.any():
                 more = more[len(first):]
                 closed = False  # since it was told which may hold an open token
-                for x in np.flatnonzero((holds & open_).any(axis=1)).tolist():
+                for x in np.flatnonzero(use).tolist():
                     if closed and not (holds[x] & open_).any():
                         continue
                     a = int(places[first[x]])
-                    found = core_passages(core(a), core(b), width, similarity)
+                    begin = int(holds[x].argmax())
+                    found = core_passages(core(a), core(b), width, similarity, (begin, begin + int(holds[x].sum()) - 1))
                     if any(open_[begin:end + 1].any() for begin, end in found):
                         links.append((a, b))
                     for begin, end in found:
@@ -451,6 +492,7 @@ def _settled(rows: list[tuple], sources: np.ndarray, opens: list, width: int, si
                 more = more[bits[more[:, None], still].any(axis=1)]
                 first = more[:256]
                 holds = _coverable(bits[first[:, None], column], share, width)
+                use = (holds & open_).any(axis=1)
     return links
 
 
@@ -675,6 +717,8 @@ def verified_passages(source: np.ndarray, target: np.ndarray, width: int, simila
 
 
 def _tokens(data: bytes) -> np.ndarray:
+    if TOKEN_BYTES == 4:
+        return np.frombuffer(data, "<u4")
     out = np.zeros((len(data) // TOKEN_BYTES, 4), dtype=np.uint8)
     out[:, :TOKEN_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
     return out.view("<u4").ravel()
