@@ -44,8 +44,10 @@ FEW = 4
 #: Different cores of a crowd that are compared at once, tasks that those of a larger crowd are dealt over
 #: first, and blocks from which it pays to count their tokens before the blocks meet.
 BLOCK, SALTS, WIDE = 768, 16, 1
-#: Of a crowd's core: earlier ones that it meets first, those with most tokens in common; and cores for which these are looked up at once.
-NEAREST, TOGETHER = 8, 64
+#: Of a crowd's core: earlier ones that it meets first, those with most tokens in common, and then each time; and cores for which these are looked up at once.
+NEAREST, FURTHER, TOGETHER = 8, 32, 64
+#: Cores, and those of the last crowd among them, from which it pays to settle their crowds.
+SETTLED = 256
 #: Bits of a map of crowds' keys for each key, and its least and largest size (powers of two): beyond the largest some windows are looked at in vain.
 MAP_BITS, MAP_LEAST, MAP_MOST, MAP_PART = 64, 20, 28, 19
 #: Targets that one copy of a source's stretch is compared with.
@@ -282,12 +284,12 @@ CROWD = ["key", "salt", "doc", "span", "tokens"]
 CROWD_TYPE = "key long, salt int, doc long, span long, tokens binary"
 
 
-def _common(sizes: np.ndarray, every: np.ndarray, row: np.ndarray, token: np.ndarray, wanted: np.ndarray, width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of cores with these sizes, all their tokens, and the different ones (row, token, sorted):
-    places (rising) of those that may have a passage in common with another
-    one; which of them are wanted; the tokens that these have in common with each,
-    0 if too few for a passage; and the tokens as a table of bits and as its columns
-    (0: in no other core). Two passages have ``similarity`` of the tokens of the larger
+def _common(sizes: np.ndarray, every: np.ndarray, row: np.ndarray, token: np.ndarray, wanted: np.ndarray, crowd: np.ndarray, width: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of cores with these sizes, all their tokens, and the different ones (row, token, sorted;
+    crowd << 32 is in a token): places (rising) of those that may have a passage in common with
+    another one of their crowd; which of them are wanted, and the first ones of these ones' crowds;
+    the tokens that they have in common with each from that one on, 0 if too few for a passage; and
+    the tokens as a table of bits and as its columns (0: in no other core). Two passages have ``similarity`` of the tokens of the larger
     one in common, and a passage of a core has ``width`` tokens less those that come
     again."""
     need = needed(sizes, np.bincount(row, minlength=len(sizes)), width, similarity)
@@ -302,19 +304,28 @@ def _common(sizes: np.ndarray, every: np.ndarray, row: np.ndarray, token: np.nda
     used = np.zeros(len(known), dtype=bool)
     used[column] = True
     known, column = known[used], (np.cumsum(used) - 1)[column]
-    bits = np.zeros((len(left), len(known) + 1), dtype=bool)
-    bits[row, column + 1] = True
     own = np.flatnonzero(wanted[left])
-    shared = np.zeros((len(own), len(left)), dtype=np.float32)
-    for lo in range(1, bits.shape[1], 4096):
-        part = bits[:, lo:lo + 4096].astype(np.float32)
-        shared += part[own] @ part.T
-    columns = []
-    if len(left):
-        at = np.minimum(np.searchsorted(known, every), len(known) - 1)
-        at, ends = np.where(known[at] == every, at + 1, 0), bounds(sizes)
-        columns = [at[lo:hi] for lo, hi in zip(ends[left].tolist(), ends[left + 1].tolist())]
-    return left, own, np.where(shared >= np.maximum(need[left][own][:, None], need[left][None, :]), shared, 0), bits, columns
+    if not len(own):
+        return left, own, own, np.zeros((0, 0)), np.zeros((0, 0), dtype=bool), []
+    begin = np.flatnonzero(_first_of(crowd[left]))  # the crowds' first cores, and their first tokens
+    base, some = np.repeat(begin, np.diff(np.append(begin, len(left)))), np.append(begin, len(left)).tolist()
+    of = known >> np.uint64(32)
+    starts = np.searchsorted(of, np.append(crowd[left[begin]].astype(np.uint64), of[-1] + np.uint64(1)))
+    place = np.arange(len(known)) - np.repeat(starts[:-1], np.diff(starts)) + 1
+    bits = np.zeros((len(left), int(place.max()) + 1), dtype=bool)
+    bits[row, place[column]] = True
+    shared = np.zeros((len(own), int(np.diff(some).max())), dtype=np.float32)
+    at = np.searchsorted(own, some).tolist()
+    for i, size in enumerate(np.diff(starts).tolist()):
+        mine = slice(at[i], at[i + 1])
+        for lo in range(1, size + 1 if at[i] < at[i + 1] else 0, 4096):
+            part = bits[some[i]:some[i + 1], lo:min(lo + 4096, size + 1)].astype(np.float32)
+            shared[mine, :some[i + 1] - some[i]] += part[own[mine] - some[i]] @ part.T
+    other = np.minimum(base[own][:, None] + np.arange(shared.shape[1]), len(left) - 1)
+    shared[shared < np.maximum(need[left][own][:, None], need[left][other])] = 0
+    at = np.minimum(np.searchsorted(known, every), len(known) - 1)
+    at, ends = np.where(known[at] == every, place[at], 0), bounds(sizes)
+    return left, own, base[own], shared, bits, [at[lo:hi] for lo, hi in zip(ends[left].tolist(), ends[left + 1].tolist())]
 
 
 def needed(sizes: np.ndarray, distinct: np.ndarray, width: int, similarity: float) -> np.ndarray:
@@ -429,70 +440,75 @@ def core_passages(source: tuple[list, dict], target: tuple[list, dict], width: i
     return sorted(out)
 
 
-def _settled(rows: list[tuple], sources: np.ndarray, opens: list, width: int, similarity: float) -> list[tuple[int, int]]:
-    """rows: (doc, span, tokens, ...), sorted. (earlier, later) of those that share
-    a passage: each row with ``opens``, bool per token, against all sources before it,
+def _settled(rows: list[tuple], crowd: np.ndarray, sources: np.ndarray, opens: list, width: int, similarity: float) -> list[tuple[int, int]]:
+    """rows: (doc, span, tokens, ...), sorted, of one crowd after another. (earlier, later) of those that share
+    a passage: each row with ``opens``, bool per token, against all sources of its crowd before it,
     whatever these share with others, as long as a passage may hold a token that is
     open yet; what it holds is open no more."""
     cores, docs = [_tokens(r[2]) for r in rows], np.array([r[0] for r in rows])
-    sizes, every = np.array([len(c) for c in cores], dtype=np.int64), np.concatenate(cores).astype(np.uint64)
-    both = np.unique(row_ids(sizes).astype(np.uint64) << np.uint64(32) | every)
-    of_row, token = (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF)
+    sizes = np.array([len(c) for c in cores], dtype=np.int64)
+    of, every, own = row_ids(sizes), np.concatenate(cores).astype(np.uint64), crowd.astype(np.uint64) << np.uint64(32)
+    both = np.unique(of.astype(np.uint64) << np.uint64(32) | every)
+    of_row, every = (both >> np.uint64(32)).astype(np.int64), own[of] | every
+    token = own[of_row] | both & np.uint64(0xFFFFFFFF)
     # what a core's passages hold is one run (two do not fit side by side): one that goes on ends with an open token that the other core has, too
     known, often = np.unique(token[sources[of_row]], return_counts=True)
     open_ = np.concatenate([o if o is not None else np.zeros(n, dtype=bool) for o, n in zip(opens, sizes.tolist())])
-    of, free = row_ids(sizes)[open_], every[open_]
+    of, free = of[open_], every[open_]
     at = np.minimum(np.searchsorted(known, free), max(len(known) - 1, 0))
     again = (known[at] == free) & (often[at] > sources[of]) if len(known) else np.zeros(len(free), dtype=bool)
     wanted = np.bincount(of[again], minlength=len(rows)) > 0
     if not wanted.any():
         return []
-    places, own, shared, bits, columns = _common(sizes, every, of_row, token, wanted, width, similarity)
+    places, own, base, shared, bits, columns = _common(sizes, every, of_row, token, wanted, crowd, width, similarity)
     links, share, ready = [], 2 * similarity / (1 + similarity), {}
     core = lambda i: ready[i] if i in ready else ready.setdefault(i, _core(cores[i]))
     is_source, doc = sources[places], docs[places]
     for lo in range(0, len(own), TOGETHER):
-        # the first ones that each of some targets meets, all at once: which do not depend on what is open
-        some = own[lo:lo + TOGETHER]
-        most, size = int(some[-1]), max(len(columns[j]) for j in some.tolist())
-        row = shared[lo:lo + TOGETHER, :most]
-        may = (row > 0) & is_source[:most] & (doc[:most] != doc[some][:, None]) & (np.arange(most) < some[:, None])
-        order = np.argsort(np.where(may, -row, 1).astype(np.int16 if width < 1 << 14 else np.int64), axis=1, kind="stable")
+        some, begin = own[lo:lo + TOGETHER], base[lo:lo + TOGETHER, None]
+        size, row = max(len(columns[j]) for j in some.tolist()), shared[lo:lo + TOGETHER, :int((some - begin[:, 0]).max())]
+        other = np.minimum(begin + np.arange(row.shape[1]), len(places) - 1)
+        may = (row > 0) & is_source[other] & (doc[other] != doc[some][:, None]) & (other < some[:, None])
+        order = begin + np.argsort(np.where(may, -row, 1).astype(np.int16 if width < 1 << 14 else np.int64), axis=1, kind="stable")
         near = [x[:n] for x, n in zip(order, may.sum(axis=1).tolist())]
         wide, open_wide = np.zeros((len(some), size), dtype=np.int64), np.zeros((len(some), size), dtype=bool)
         for i, j in enumerate(some.tolist()):
             wide[i, :len(columns[j])] = columns[j]
             open_wide[i, :len(columns[j])] = opens[places[j]]
-        at = bounds(np.array([min(len(n), NEAREST) for n in near], dtype=np.int64))
-        met, of = np.concatenate([n[:NEAREST] for n in near]), row_ids(np.diff(at))
-        cover = _coverable(bits[met[:, None], wide[of]], share, width)
-        useful = (cover & open_wide[of]).any(axis=1)
-        for i, j in enumerate(some.tolist()):
-            b = int(places[j])
-            open_, column, more = opens[b], columns[j], near[i]
-            first, holds, use = more[:NEAREST], cover[at[i]:at[i + 1], :len(column)], useful[at[i]:at[i + 1]]
-            while len(first) and open_.any():
-                more = more[len(first):]
-                closed = False  # since it was told which may hold an open token
-                for x in np.flatnonzero(use).tolist():
-                    if closed and not (holds[x] & open_).any():
+        going, most = list(range(len(some))), NEAREST
+        while going:
+            # the next ones that each of these targets meets, all at once: which do not depend on what is open
+            first = [near[i][:most] for i in going]
+            at = bounds(np.array([len(f) for f in first], dtype=np.int64))
+            met, of = np.concatenate(first), np.repeat(going, np.diff(at))
+            cover = _coverable(bits[met[:, None], wide[of]], share, width)
+            useful = np.flatnonzero((cover & open_wide[of]).any(axis=1))
+            head, use = cover[useful].argmax(axis=1).tolist(), useful.tolist()
+            tail = (cover[useful].sum(axis=1) + head - 1).tolist()
+            to, on = np.searchsorted(useful, at).tolist(), []
+            for n, i in enumerate(going):
+                j = int(some[i])
+                b = int(places[j])
+                open_, closed = opens[b], False
+                for x in range(to[n], to[n + 1]):
+                    if closed and not open_[head[x]:tail[x] + 1].any():
                         continue
-                    a = int(places[first[x]])
-                    begin = int(holds[x].argmax())
-                    found = core_passages(core(a), core(b), width, similarity, (begin, begin + int(holds[x].sum()) - 1))
+                    a = int(places[met[use[x]]])
+                    found = core_passages(core(a), core(b), width, similarity, (head[x], tail[x]))
                     if any(open_[begin:end + 1].any() for begin, end in found):
                         links.append((a, b))
                     for begin, end in found:
                         open_[begin:end + 1] = False
                     closed |= bool(found)
-                still = column[open_]
-                still = still[still > 0]
-                if not len(more) or not len(still):
-                    break
-                more = more[bits[more[:, None], still].any(axis=1)]
-                first = more[:256]
-                holds = _coverable(bits[first[:, None], column], share, width)
-                use = (holds & open_).any(axis=1)
+                near[i] = near[i][most:]
+                if len(near[i]):
+                    still = columns[j][open_]
+                    still = still[still > 0]
+                    near[i] = near[i][bits[near[i][:, None], still].any(axis=1)]
+                    if len(near[i]):
+                        open_wide[i, :len(open_)] = open_
+                        on.append(i)
+            going, most = on, FURTHER
     return links
 
 
@@ -505,21 +521,23 @@ def _links(pairs: list[tuple]) -> list:
 def _meet(width: int, similarity: float):
     """Rows of _crowd_rows sorted by salt, key, doc and span: links (src, dst, s_span, d_span), and the
     cores of a large crowd's part (key, src and s_span its window's, tokens, and which of them are open)."""
-    def settle(key, salt, rows):
+    def settle(crowds):
+        rows, of = [r for _, own in crowds for r in own], np.repeat(np.arange(len(crowds)), [len(own) for _, own in crowds])
         opens = [np.ones(len(r[2]) // TOKEN_BYTES, dtype=bool) for r in rows]
-        links = _settled(rows, np.ones(len(rows), dtype=bool), opens, width, similarity)
-        own, masks = (rows, [np.packbits(o).tobytes() if o.any() else None for o in opens]) if salt else ([], [])
+        links = _settled(rows, of, np.ones(len(rows), dtype=bool), opens, width, similarity)
+        own = [(crowds[i][0][0], r, np.packbits(o).tobytes() if o.any() else None) for i, r, o in zip(of.tolist(), rows, opens) if crowds[i][0][1]]
         if not links and not own:
             return
         columns = _links([(rows[a][:2], rows[b][:2]) for a, b in links])
         none = pa.nulls(len(own), pa.int64())
-        extra = [pa.array([r[0] for r in own], pa.int64()), none, pa.array([r[1] for r in own], pa.int64()), none]
+        extra = [pa.array([r[0] for _, r, _ in own], pa.int64()), none, pa.array([r[1] for _, r, _ in own], pa.int64()), none]
         yield pa.RecordBatch.from_arrays([pa.concat_arrays([c, e]) for c, e in zip(columns, extra)] + [
-            pa.array([None] * len(links) + [key] * len(own), pa.int64()), pa.array([None] * len(links) + [r[2] for r in own], pa.binary()),
-            pa.array([None] * len(links) + masks, pa.binary())], names=MET)
+            pa.array([None] * len(links) + [k for k, _, _ in own], pa.int64()), pa.array([None] * len(links) + [r[2] for _, r, _ in own], pa.binary()),
+            pa.array([None] * len(links) + [o for _, _, o in own], pa.binary())], names=MET)
 
     def run(batches):
         now, rows, seen, run_key, first = None, [], set(), None, None
+        crowds, held = [], 0  # small ones are settled together
         for batch in batches:
             salts = batch.column("salt").to_numpy()
             runs = int(np.searchsorted(salts, 0))
@@ -538,13 +556,19 @@ def _meet(width: int, similarity: float):
             for key, salt, doc, span, tokens in zip(*(batch.slice(runs).column(c).to_pylist() for c in CROWD)):
                 if now != (key, salt) or salt and len(rows) >= BLOCK:
                     if len(rows) > 1 or rows and now[1]:
-                        yield from settle(*now, rows)
+                        crowds.append((now, rows))
+                        held += len(rows)
+                    if held >= SETTLED:
+                        yield from settle(crowds)
+                        crowds, held = [], 0
                     now, rows, seen = (key, salt), [], set()
                 if tokens not in seen:  # a copy of the core has its link already
                     seen.add(tokens)
                     rows.append((doc, span, tokens))
         if len(rows) > 1 or rows and now[1]:
-            yield from settle(*now, rows)
+            crowds.append((now, rows))
+        if crowds:
+            yield from settle(crowds)
     return run
 
 
@@ -553,8 +577,8 @@ LINK_TYPE = "src long, dst long, s_span long, d_span long"
 MET_TYPE = LINK_TYPE + ", key long, tokens binary, open binary"
 
 
-def _core_tokens(width: int, similarity: float):
-    """The different tokens of each core, which of them are open, and how many it must share."""
+def _core_parts(width: int, similarity: float):
+    """The different tokens of each core dealt over its crowd's parts, which of them are open, and how many it must share."""
     def run(batches):
         for batch in batches:
             full = [_tokens(t) for t in batch.column("tokens").to_pylist()]
@@ -563,19 +587,36 @@ def _core_tokens(width: int, similarity: float):
                      for u, c, o in zip(cores, full, batch.column("open").to_pylist())]
             size = np.array([len(c) for c in cores], dtype=np.int64)
             need = needed(np.array([len(c) for c in full], dtype=np.int64), size, width, similarity)
-            of = row_ids(size)
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(of), batch.column("src").take(of), batch.column("s_span").take(of), pa.array(need[of]),
-                                              pa.array(np.concatenate([*cores, np.zeros(0, np.uint32)]).view(np.int32)), pa.array(np.concatenate([*opens, np.zeros(0, bool)]))],
-                                             names=["key", "src", "s_span", "need", "token", "free"])
+            of, token, free = row_ids(size), np.concatenate([*cores, np.zeros(0, np.uint32)]), np.concatenate([*opens, np.zeros(0, bool)])
+            part = token % batch.column("blocks").to_numpy().astype(np.uint32)[of]
+            order = np.lexsort((part, of))
+            of, part, token, free = of[order], part[order], token[order], free[order]
+            lead = np.flatnonzero(_first_of(of, part))
+            at, own = np.append(lead, len(of)), of[lead]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(own) for c in ("key", "src", "s_span")), pa.array(need[own]), pa.array(part[lead].astype(np.int32)),
+                                              binary_array(token.astype("<u4").view(np.uint8), at * 4), binary_array(free.view(np.uint8), at)],
+                                             names=["key", "src", "s_span", "need", "part", "token", "free"])
     return run
 
 
+def _again(table):
+    """For each core of a crowd, of one part's tokens: those that come again, if an open one is among them, and if one is open in another core."""
+    token, free = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("token", "<u4"), ("free", bool)))
+    of = row_ids(np.array([len(f) for f in table.column("free").to_pylist()], dtype=np.int64))
+    _, at, often = np.unique(token, return_inverse=True, return_counts=True)
+    targets, n = np.bincount(at, weights=free), table.num_rows
+    more = often[at] > 1
+    count = lambda x: np.bincount(of[x], minlength=n)
+    return pa.table([*(table.column(c) for c in ("key", "src", "s_span", "need")), pa.array(count(more)), pa.array(count(more & free) > 0), pa.array(count(more & (targets[at] > free)) > 0)],
+                    names=["key", "src", "s_span", "need", "have", "is_target", "is_source"])
+
+
 def _across(width: int, similarity: float):
     """Links of a block of cores with open tokens to a block of its crowd's cores, all of them."""
     def run(table):
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("src", "s_span", "tokens", "target", "open"))), key=lambda r: r[:4])
         opens = [np.unpackbits(np.frombuffer(r[4], np.uint8), count=len(r[2]) // TOKEN_BYTES).astype(bool) if r[3] else None for r in rows]
-        links = _settled(rows, np.array([not r[3] for r in rows]), opens, width, similarity)
+        links = _settled(rows, np.zeros(len(rows), dtype=np.int64), np.array([not r[3] for r in rows]), opens, width, similarity)
         return pa.table(_links([(rows[a][:2], rows[b][:2]) for a, b in links]), names=MET[:4])
     return run
 
@@ -598,15 +639,15 @@ def _crowd_links(texts: DataFrame, crowds: DataFrame, width: int, similarity: fl
     count = lambda c: F.ceil(F.count(c) / BLOCK).cast("int")
     blocks = lambda cores: written(cores.join(cores.groupBy("key").agg(count("*").alias("blocks"), count("open").alias("open_blocks")), "key"), "crowd-cores")
     cores = blocks(cores)
-    wide = cores.where(F.col("blocks") > WIDE).drop("blocks", "open_blocks")
+    wide = cores.where(F.col("blocks") > WIDE)
     if wide.head(1):
         # what has too few tokens that come again among all of its crowd is like none of it; with no open one among
-        # them it is no target, and without one that is open in another core no source
-        tokens = wide.mapInArrow(_core_tokens(width, similarity), "key long, src long, s_span long, need long, token int, free boolean")
-        of_token = W.Window.partitionBy("key", "token")
-        again = tokens.withColumns({"often": F.count("*").over(of_token), "targets": F.count_if("free").over(of_token)}).where("often > 1")
-        may = again.groupBy("key", "src", "s_span").agg(F.count("*").alias("have"), F.first("need").alias("need"), F.max("free").alias("is_target"),
-                                                        F.max(F.col("targets") > F.col("free").cast("int")).alias("is_source")).where("have >= need and (is_target or is_source)")
+        # them it is no target, and without one that is open in another core no source. A crowd has as many parts as blocks
+        parts = wide.mapInArrow(_core_parts(width, similarity), "key long, src long, s_span long, need long, part int, token binary, free binary")
+        again = parts.groupBy("key", "part").applyInArrow(_again, "key long, src long, s_span long, need long, have long, is_target boolean, is_source boolean")
+        may = again.groupBy("key", "src", "s_span").agg(F.sum("have").alias("have"), F.first("need").alias("need"), F.max("is_target").alias("is_target"),
+                                                        F.max("is_source").alias("is_source")).where("have >= need and (is_target or is_source)")
+        wide = wide.drop("blocks", "open_blocks")
         kept = wide.join(may.drop("have", "need"), ["key", "src", "s_span"]).withColumn("open", F.when(F.col("is_target"), F.col("open")))
         cores = cores.where(F.col("blocks") <= WIDE).unionByName(blocks(kept.drop("is_target", "is_source")))
     # every block of those with open tokens meets every block of all

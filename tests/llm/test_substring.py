@@ -277,6 +277,49 @@ def test_a_repeat_of_a_repeat_is_a_source_too(spark, monkeypatch, block, wide):
     assert set(thirds.items()) <= got and {(100 + p, p) for p in range(50)} <= got
 
 
+def test_crowds_settled_together_keep_apart():
+    """The links of several crowds in one call are those of each alone, though their tokens are the same."""
+    rng = np.random.default_rng(9)
+    crowds = []
+    for n in (2, 30, 5, 17):
+        base = rng.integers(0, 1 << 32, 91).astype(np.uint32)
+        cores = [np.where(rng.random(91) < rng.choice([0.0, 0.05, 0.4]), rng.integers(0, 1 << 32, 91).astype(np.uint32), base) for _ in range(n)]
+        cores += [np.concatenate([c[:50], crowds[-1][0][50:]]) for c in cores[:2]] if crowds else []
+        crowds.append(cores)
+
+    def links(some):
+        rows = [(i, 0, c.tobytes()) for cores in some for i, c in enumerate(cores)]
+        of = np.repeat(np.arange(len(some)), [len(c) for c in some])
+        return substring._settled(rows, of, np.ones(len(rows), bool), [np.ones(91, bool) for _ in rows], 46, 0.8)
+
+    each, begin = [], 0
+    for cores in crowds:
+        each += [(a + begin, b + begin) for a, b in links([cores])]
+        begin += len(cores)
+    assert len(each) > 20 and sorted(links(crowds)) == sorted(each)
+
+
+def test_tokens_that_come_again_are_counted_by_parts():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    cores = [rng.integers(0, 400, 91).astype(np.uint32) for _ in range(40)]
+    opens = [None if i % 3 else rng.random(91) < 0.1 for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * 40, pa.int64()), pa.array(range(40), pa.int64()), pa.array([0] * 40, pa.int64()), pa.array([c.tobytes() for c in cores]),
+                                        pa.array([None if o is None else np.packbits(o).tobytes() for o in opens]), pa.array([3] * 40, pa.int32())],
+                                       names=["key", "src", "s_span", "tokens", "open", "blocks"])
+    parts = pa.Table.from_batches(substring._core_parts(46, 0.8)([batch]))
+    assert parts.num_rows <= 3 * 40
+    some = [substring._again(parts.filter(pa.compute.equal(parts["part"], p))).to_pylist() for p in range(3)]
+    for i, core in enumerate(cores):
+        others = set(np.concatenate([c for j, c in enumerate(cores) if j != i]).tolist())
+        open_others = set(np.concatenate([c[o] for j, (c, o) in enumerate(zip(cores, opens)) if j != i and o is not None]).tolist())
+        mine, own = set(core.tolist()), set(core[opens[i]].tolist()) if opens[i] is not None else set()
+        rows = [r for part in some for r in part if r["src"] == i]
+        assert sum(r["have"] for r in rows) == len(mine & others)
+        assert any(r["is_target"] for r in rows) == bool(own & others) and any(r["is_source"] for r in rows) == bool(mine & open_others)
+
+
 def test_core_passages_are_the_verified_ones():
     rng = np.random.default_rng(5)
     some = 0
