@@ -44,6 +44,8 @@ FEW = 4
 #: Different cores of a crowd that are compared at once, tasks that those of a larger crowd are dealt over
 #: first, and blocks from which it pays to count their tokens before the blocks meet.
 BLOCK, SALTS, WIDE = 768, 16, 1
+#: Blocks of a crowd for each part in which its tokens are counted: a part has as many tokens as these blocks.
+PART_BLOCKS = 16
 #: Of a crowd's core: earlier ones that it meets first, those with most tokens in common, and then each time; and cores for which these are looked up at once.
 NEAREST, FURTHER, TOGETHER = 8, 32, 64
 #: Cores, and those of the last crowd among them, from which it pays to settle their crowds.
@@ -588,7 +590,7 @@ def _core_parts(width: int, similarity: float):
             size = np.array([len(c) for c in cores], dtype=np.int64)
             need = needed(np.array([len(c) for c in full], dtype=np.int64), size, width, similarity)
             of, token, free = row_ids(size), np.concatenate([*cores, np.zeros(0, np.uint32)]), np.concatenate([*opens, np.zeros(0, bool)])
-            part = token % batch.column("blocks").to_numpy().astype(np.uint32)[of]
+            part = token % (-(-batch.column("blocks").to_numpy() // PART_BLOCKS)).astype(np.uint32)[of]
             order = np.lexsort((part, of))
             of, part, token, free = of[order], part[order], token[order], free[order]
             lead = np.flatnonzero(_first_of(of, part))
@@ -642,7 +644,7 @@ def _crowd_links(texts: DataFrame, crowds: DataFrame, width: int, similarity: fl
     wide = cores.where(F.col("blocks") > WIDE)
     if wide.head(1):
         # what has too few tokens that come again among all of its crowd is like none of it; with no open one among
-        # them it is no target, and without one that is open in another core no source. A crowd has as many parts as blocks
+        # them it is no target, and without one that is open in another core no source. They are counted in parts
         parts = wide.mapInArrow(_core_parts(width, similarity), "key long, src long, s_span long, need long, part int, token binary, free binary")
         again = parts.groupBy("key", "part").applyInArrow(_again, "key long, src long, s_span long, need long, have long, is_target boolean, is_source boolean")
         may = again.groupBy("key", "src", "s_span").agg(F.sum("have").alias("have"), F.first("need").alias("need"), F.max("is_target").alias("is_target"),

@@ -306,7 +306,7 @@ def test_tokens_that_come_again_are_counted_by_parts():
     cores = [rng.integers(0, 400, 91).astype(np.uint32) for _ in range(40)]
     opens = [None if i % 3 else rng.random(91) < 0.1 for i in range(40)]
     batch = pa.RecordBatch.from_arrays([pa.array([7] * 40, pa.int64()), pa.array(range(40), pa.int64()), pa.array([0] * 40, pa.int64()), pa.array([c.tobytes() for c in cores]),
-                                        pa.array([None if o is None else np.packbits(o).tobytes() for o in opens]), pa.array([3] * 40, pa.int32())],
+                                        pa.array([None if o is None else np.packbits(o).tobytes() for o in opens]), pa.array([2 * substring.PART_BLOCKS + 1] * 40, pa.int32())],
                                        names=["key", "src", "s_span", "tokens", "open", "blocks"])
     parts = pa.Table.from_batches(substring._core_parts(46, 0.8)([batch]))
     assert parts.num_rows <= 3 * 40
